@@ -105,5 +105,8 @@ dash AS (
 
 
 def with_ctes(select: str) -> str:
-    """A full statement: the shared CTEs followed by ``select``."""
-    return f"WITH {BASE_CTES.strip()}\n{select.strip()}"
+    """A full statement: the shared CTEs followed by ``select``. A ``select``
+    starting with a comma adds its own CTEs after the shared ones."""
+    body = select.strip()
+    joiner = "" if body.startswith(",") else "\n"
+    return f"WITH {BASE_CTES.strip()}{joiner}{body}"

@@ -199,3 +199,502 @@ def a1_zone_kind_kpis(spark, sf_dir):
 @register("a1_zone_kind_kpis_exact", _A1_SQL)
 def a1_zone_kind_kpis_exact(spark, sf_dir):
     return K.zone_kind_kpis(L.silver(spark, sf_dir), median_kind="disc")
+
+
+# --------------------------------------------------------------------------
+# Dashboard analytics over the dashboard frame (A2-A21, P1-P3, T*, F7-F18)
+# --------------------------------------------------------------------------
+from lodgeframe.columns import KIND_LABELS, MAP_SAMPLE_ROWS  # noqa: E402
+from lodgeframe.functions import scalars as S  # noqa: E402
+from lodgeframe.operators import estimate as E  # noqa: E402
+from lodgeframe.operators import explore as X  # noqa: E402
+from lodgeframe.operators import filters as FL  # noqa: E402
+from lodgeframe.operators import rank as R  # noqa: E402
+from lodgeframe.operators import sampling as T  # noqa: E402
+from lodgeframe.operators.enrich import model_frame  # noqa: E402
+
+SEED = 42
+KINDS = ["Entire home/apt", "Private room", "Shared room"]
+KIND_ALIASES = ["entire_home", "private_room", "shared_room"]
+# Fixed query parameters of the filter queries.
+P1_ZONES = ["AMERICA", "EUROPE"]
+P1_KINDS = ["Entire home/apt", "Private room"]
+P1_PRICE_MAX, P1_AVAIL_MIN, P1_OCC_MIN_PCT = 300, 30, 20
+P2_ZONES = ["ASIA"]
+HASH_SQL = "((id % 2147483648) * 2654435761 + {seed}) % 4294967296"
+
+
+def _sz_cte(min_rows: int = 30) -> str:
+    return (f", sz AS (SELECT neighbourhood, median(price) AS m, count(*) AS n FROM dash "
+            f"GROUP BY neighbourhood HAVING count(*) >= {min_rows})")
+
+
+@register("a2_global_kpis", _sz_cte() + """
+SELECT count(*) AS n_listings,
+  round(coalesce(avg(price), 0.0), 2) AS mean_price,
+  round(coalesce(median(price), 0.0), 2) AS median_price,
+  round(coalesce(avg(availability_365), 0.0), 2) AS mean_availability,
+  round(coalesce(avg(occupancy_rate) * 100, 0.0), 2) AS mean_occupancy_pct,
+  round(coalesce(avg(number_of_reviews), 0.0), 2) AS mean_reviews,
+  count(*) FILTER (WHERE availability_365 > 180) AS n_long_availability,
+  coalesce((SELECT neighbourhood FROM sz ORDER BY m, neighbourhood LIMIT 1), '—') AS cheapest_subzone,
+  coalesce((SELECT m FROM sz ORDER BY m, neighbourhood LIMIT 1), 0.0) AS cheapest_median,
+  coalesce((SELECT neighbourhood FROM sz ORDER BY m DESC, neighbourhood LIMIT 1), '—') AS dearest_subzone,
+  coalesce((SELECT m FROM sz ORDER BY m DESC, neighbourhood LIMIT 1), 0.0) AS dearest_median
+FROM dash""")
+def a2_global_kpis(spark, sf_dir):
+    return K.global_kpis(L.dash(spark, sf_dir))
+
+
+@register("a3_extreme_groups", _sz_cte() + """
+SELECT (SELECT neighbourhood FROM sz ORDER BY m, neighbourhood LIMIT 1) AS cheapest_subzone,
+  (SELECT m FROM sz ORDER BY m, neighbourhood LIMIT 1) AS cheapest_median,
+  (SELECT neighbourhood FROM sz ORDER BY m DESC, neighbourhood LIMIT 1) AS dearest_subzone,
+  (SELECT m FROM sz ORDER BY m DESC, neighbourhood LIMIT 1) AS dearest_median""")
+def a3_extreme_groups(spark, sf_dir):
+    return R.extreme_groups(L.dash(spark, sf_dir))
+
+
+@register("a4_price_by_zone", """
+SELECT neighbourhood_group, median(price) AS median_price, round(avg(price), 4) AS mean_price,
+  count(*) AS n FROM dash GROUP BY neighbourhood_group""")
+def a4_price_by_zone(spark, sf_dir):
+    return K.price_by_zone(L.dash(spark, sf_dir))
+
+
+@register("a5_price_by_kind", """
+SELECT room_type, median(price) AS median_price, round(avg(price), 4) AS mean_price,
+  count(*) AS n, round(avg(availability_365), 4) AS mean_availability
+FROM dash GROUP BY room_type""")
+def a5_price_by_kind(spark, sf_dir):
+    return K.price_by_kind(L.dash(spark, sf_dir))
+
+
+def _rank_sql(n: int, cheapest: bool) -> str:
+    direction = "ASC" if cheapest else "DESC"
+    return f"""
+SELECT neighbourhood, neighbourhood_group, median(price) AS median_price,
+  round(avg(availability_365), 4) AS mean_availability,
+  round(avg(occupancy_rate), 4) AS mean_occupancy, count(*) AS n
+FROM dash GROUP BY neighbourhood, neighbourhood_group HAVING count(*) >= 30
+ORDER BY median_price {direction}, neighbourhood, neighbourhood_group LIMIT {n}"""
+
+
+@register("a6_t5_cheapest_subzones", _rank_sql(10, True))
+def a6_t5_cheapest_subzones(spark, sf_dir):
+    return R.rank_subzones(L.dash(spark, sf_dir), n=10, cheapest=True)
+
+
+@register("a6_t5_dearest_subzones", _rank_sql(12, False))
+def a6_t5_dearest_subzones(spark, sf_dir):
+    return R.rank_subzones(L.dash(spark, sf_dir), n=12, cheapest=False)
+
+
+_SCORE_CTES = """
+, st AS (
+  SELECT neighbourhood, neighbourhood_group, median(price) AS mp, avg(availability_365) AS ma,
+         avg(number_of_reviews) AS mr, avg(occupancy_rate) AS mo, count(*) AS n
+  FROM dash GROUP BY neighbourhood, neighbourhood_group HAVING count(*) >= 30),
+mm AS (SELECT min(mp) AS lp, max(mp) AS hp, min(ma) AS la, max(ma) AS ha,
+              min(mr) AS lr, max(mr) AS hr FROM st),
+scored AS (
+  SELECT neighbourhood, neighbourhood_group, mp AS median_price,
+    round(ma, 4) AS mean_availability, round(mr, 4) AS mean_reviews,
+    round(mo, 4) AS mean_occupancy, n,
+    round(0.5 * (1.0 - coalesce((mp - lp) / nullif(hp - lp, 0), 0.0))
+          + 0.3 * coalesce((ma - la) / nullif(ha - la, 0), 0.0)
+          + 0.2 * coalesce((mr - lr) / nullif(hr - lr, 0), 0.0), 3) AS score
+  FROM st CROSS JOIN mm)"""
+
+
+@register("a7_compromise_score", _SCORE_CTES + """
+SELECT * FROM scored ORDER BY score DESC, neighbourhood, neighbourhood_group""")
+def a7_compromise_score(spark, sf_dir):
+    return R.compromise_score(L.dash(spark, sf_dir))
+
+
+@register("f18_t5_recommendations", _SCORE_CTES + """
+SELECT neighbourhood AS subzone, neighbourhood_group AS zone,
+  round(median_price, 0) AS median_price, round(mean_availability, 0) AS availability_days,
+  round(mean_reviews, 0) AS mean_reviews, round(mean_occupancy * 100, 0) AS occupancy_pct,
+  n AS listings, score
+FROM scored ORDER BY score DESC, neighbourhood, neighbourhood_group LIMIT 8""")
+def f18_t5_recommendations(spark, sf_dir):
+    return R.recommendation_table(L.dash(spark, sf_dir), k=8)
+
+
+@register("a8_pivot_median", """
+SELECT neighbourhood_group,
+  median(price) FILTER (WHERE room_type = 'Entire home/apt') AS entire_home,
+  median(price) FILTER (WHERE room_type = 'Private room') AS private_room,
+  median(price) FILTER (WHERE room_type = 'Shared room') AS shared_room
+FROM dash GROUP BY neighbourhood_group""")
+def a8_pivot_median(spark, sf_dir):
+    return X.pivot_median(L.dash(spark, sf_dir), COLS.zone, COLS.kind, COLS.value,
+                          KINDS, KIND_ALIASES)
+
+
+@register("a9_p4_value_bounds", """
+SELECT min(price) AS value_min, CAST(trunc(quantile_cont(price, 0.99)) AS INTEGER) AS value_p99,
+  max(price) AS value_max FROM dash""")
+def a9_p4_value_bounds(spark, sf_dir):
+    return X.value_bounds(L.dash(spark, sf_dir), COLS.value)
+
+
+@register("a10_t2_color_range", f"""
+, smp AS (SELECT * FROM dash ORDER BY {HASH_SQL.format(seed=SEED)}, id LIMIT {MAP_SAMPLE_ROWS})
+SELECT round(quantile_cont(price, 0.02), 6) AS color_low,
+  round(quantile_cont(price, 0.95), 6) AS color_high FROM smp""")
+def a10_t2_color_range(spark, sf_dir):
+    smp = T.sample_n(L.dash(spark, sf_dir), MAP_SAMPLE_ROWS, COLS.key, SEED)
+    out = X.color_range(smp, COLS.value)
+    return out.select(*[F.round(c, 6).alias(c) for c in out.columns])
+
+
+@register("a11_p5_histogram", """
+, bins AS (SELECT CAST(range AS INTEGER) AS bin FROM range(40)),
+cnt AS (SELECT CAST(least(floor((CAST(price AS DOUBLE) - 0.0) / 12.5), 39) AS INTEGER) AS bin,
+          count(*) AS n
+        FROM dash WHERE CAST(price AS DOUBLE) >= 0.0 AND CAST(price AS DOUBLE) <= 500.0 GROUP BY 1)
+SELECT bins.bin, round(0.0 + bins.bin * 12.5, 6) AS bin_low,
+  round(0.0 + (bins.bin + 1) * 12.5, 6) AS bin_high, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n,
+  (SELECT median(price) FROM dash) AS overall_median
+FROM bins LEFT JOIN cnt ON bins.bin = cnt.bin""")
+def a11_p5_histogram(spark, sf_dir):
+    return X.histogram(L.dash(spark, sf_dir), COLS.value, bins=40, lo=0.0, hi=500.0)
+
+
+@register("a15_price_grid", """
+SELECT cell_y, cell_x,
+  round((CAST(cell_y AS DOUBLE) + 0.5) * CAST(0.01 AS DOUBLE), 6) AS center_lat,
+  round((CAST(cell_x AS DOUBLE) + 0.5) * CAST(0.01 AS DOUBLE), 6) AS center_lon,
+  count(*) AS n, CAST(sum(price) AS BIGINT) AS value_sum, round(avg(price), 4) AS value_mean
+FROM (SELECT CAST(floor(latitude / CAST(0.01 AS DOUBLE)) AS BIGINT) AS cell_y,
+             CAST(floor(longitude / CAST(0.01 AS DOUBLE)) AS BIGINT) AS cell_x, price FROM dash)
+GROUP BY cell_y, cell_x""")
+def a15_price_grid(spark, sf_dir):
+    return X.price_grid(L.dash(spark, sf_dir), 0.01)
+
+
+GOLD_NUMERIC = ["price", "minimum_nights", "number_of_reviews", "reviews_per_month",
+                "calculated_host_listings_count", "availability_365", "price_log",
+                "has_reviews", "occupancy_rate", "zone_avg_price", "price_vs_zone_pct",
+                "zone_type_avg_price", "latitude", "longitude"]
+
+
+def _box_sql(columns: list[str]) -> str:
+    parts = []
+    for c in columns:
+        parts.append(f"""
+SELECT '{c}' AS column_name, round(q[1], 6) AS q1, round(q[2], 6) AS median, round(q[3], 6) AS q3,
+  round(q[3] - q[1], 6) AS iqr,
+  round(min(x) FILTER (WHERE x >= q[1] - 1.5 * (q[3] - q[1])), 6) AS whisker_low,
+  round(max(x) FILTER (WHERE x <= q[3] + 1.5 * (q[3] - q[1])), 6) AS whisker_high,
+  count(*) FILTER (WHERE x < q[1] - 1.5 * (q[3] - q[1])) AS outliers_low,
+  count(*) FILTER (WHERE x > q[3] + 1.5 * (q[3] - q[1])) AS outliers_high,
+  count(x) AS n
+FROM (SELECT CAST({c} AS DOUBLE) AS x FROM gold) t
+CROSS JOIN (SELECT quantile_cont(CAST({c} AS DOUBLE), [0.25, 0.5, 0.75]) AS q FROM gold) s
+GROUP BY q""")
+    return " UNION ALL ".join(parts)
+
+
+def _rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+    """Round every double column (interpolated quantiles and means)."""
+    return df.select(*[F.round(F.col(c), digits).alias(c) if t == "double" else F.col(c)
+                       for c, t in df.dtypes])
+
+
+@register("a16_box_stats", _box_sql(GOLD_NUMERIC))
+def a16_box_stats(spark, sf_dir):
+    return _rounded(X.box_stats(L.gold(spark, sf_dir), GOLD_NUMERIC))
+
+
+def _corr_sql(columns: list[str]) -> str:
+    parts = []
+    for i, a in enumerate(columns):
+        for b in columns[i + 1:]:
+            parts.append(f"SELECT '{a}' AS column_a, '{b}' AS column_b, "
+                         f"round(CASE WHEN isnan(corr({a}, {b})) THEN NULL "
+                         f"ELSE corr({a}, {b}) END, 6) AS corr FROM gold")
+    return " UNION ALL ".join(parts)
+
+
+@register("a17_correlation_matrix", _corr_sql(GOLD_NUMERIC))
+def a17_correlation_matrix(spark, sf_dir):
+    return X.correlation_matrix(L.gold(spark, sf_dir), GOLD_NUMERIC)
+
+
+@register("a18_leakage_screen", f"""
+SELECT column_b AS column_name, corr FROM ({_corr_sql(['price_log'] + [c for c in GOLD_NUMERIC if c != 'price_log'])})
+WHERE column_a = 'price_log' AND abs(corr) > 0.9""")
+def a18_leakage_screen(spark, sf_dir):
+    return X.leakage_screen(L.gold(spark, sf_dir), "price_log", GOLD_NUMERIC)
+
+
+@register("a19_count_by_zone", """
+SELECT neighbourhood_group, count(*) AS n FROM silver GROUP BY neighbourhood_group""")
+def a19_count_by_zone(spark, sf_dir):
+    return K.count_by_zone(L.silver(spark, sf_dir))
+
+
+@register("a20_occupancy_by_zone", """
+SELECT neighbourhood_group, round(avg(occupancy_rate), 4) AS mean_occupancy
+FROM gold GROUP BY neighbourhood_group""")
+def a20_occupancy_by_zone(spark, sf_dir):
+    return K.occupancy_by_zone(L.gold(spark, sf_dir))
+
+
+def _pairs_sql(x: str, y: str, xw: float, yw: float) -> str:
+    return f"""
+SELECT x_bin, y_bin, CAST(x_bin AS DOUBLE) * {xw} AS x_low, CAST(y_bin AS DOUBLE) * {yw} AS y_low,
+  count(*) AS n
+FROM (SELECT CAST(floor(CAST({x} AS DOUBLE) / {xw}) AS BIGINT) AS x_bin,
+             CAST(floor(CAST({y} AS DOUBLE) / {yw}) AS BIGINT) AS y_bin
+      FROM dash WHERE {x} IS NOT NULL AND {y} IS NOT NULL)
+GROUP BY x_bin, y_bin"""
+
+
+@register("a21_availability_vs_price", _pairs_sql("availability_365", "price", 30.0, 25.0))
+def a21_availability_vs_price(spark, sf_dir):
+    return X.binned_pairs(L.dash(spark, sf_dir), COLS.availability, COLS.value, 30.0, 25.0)
+
+
+@register("a21_reviews_vs_price", _pairs_sql("number_of_reviews", "price", 1.0, 25.0))
+def a21_reviews_vs_price(spark, sf_dir):
+    return X.binned_pairs(L.dash(spark, sf_dir), COLS.reviews, COLS.value, 1.0, 25.0)
+
+
+def _in(values: list[str]) -> str:
+    return ", ".join(f"'{v}'" for v in values)
+
+
+_P1_WHERE = (f"neighbourhood_group IN ({_in(P1_ZONES)}) AND room_type IN ({_in(P1_KINDS)}) "
+             f"AND price <= {P1_PRICE_MAX} AND availability_365 >= {P1_AVAIL_MIN} "
+             f"AND occupancy_rate >= {P1_OCC_MIN_PCT} / 100")
+
+
+def _p1_predicate():
+    return FL.listing_predicate(zones=P1_ZONES, kinds=P1_KINDS, price_max=P1_PRICE_MAX,
+                                avail_min=P1_AVAIL_MIN, occ_min_pct=P1_OCC_MIN_PCT)
+
+
+@register("p1_listing_filter", f"SELECT * FROM dash WHERE {_P1_WHERE}")
+def p1_listing_filter(spark, sf_dir):
+    return L.dash(spark, sf_dir).filter(_p1_predicate())
+
+
+@register("p2_filter_options", f"""
+SELECT DISTINCT * FROM (
+  SELECT 'zone' AS option, neighbourhood_group AS value FROM dash
+  UNION ALL SELECT 'kind', room_type FROM dash
+  UNION ALL SELECT 'subzone', neighbourhood FROM dash WHERE neighbourhood_group IN ({_in(P2_ZONES)}))""")
+def p2_filter_options(spark, sf_dir):
+    return FL.filter_options(L.dash(spark, sf_dir), zones=P2_ZONES)
+
+
+@register("p3_match_share", f"""
+SELECT count(*) FILTER (WHERE {_P1_WHERE}) AS n_matching, count(*) AS n_total,
+  round(count(*) FILTER (WHERE {_P1_WHERE}) / count(*), 4) AS share FROM dash""")
+def p3_match_share(spark, sf_dir):
+    return FL.match_share(L.dash(spark, sf_dir), _p1_predicate())
+
+
+@register("t1_sample_fraction", f"""
+SELECT * FROM gold WHERE {HASH_SQL.format(seed=SEED)} < {int(0.1 * 2 ** 32)}""")
+def t1_sample_fraction(spark, sf_dir):
+    return T.sample_fraction(L.gold(spark, sf_dir), 0.1, COLS.key, SEED)
+
+
+@register("t2_sample_n", f"""
+SELECT * FROM dash ORDER BY {HASH_SQL.format(seed=SEED)}, id LIMIT {MAP_SAMPLE_ROWS}""")
+def t2_sample_n(spark, sf_dir):
+    return T.sample_n(L.dash(spark, sf_dir), MAP_SAMPLE_ROWS, COLS.key, SEED)
+
+
+@register("t3_split", f"""
+SELECT *, CASE WHEN {HASH_SQL.format(seed=SEED)} < {int(0.8 * 2 ** 32)} THEN 'train'
+  ELSE 'test' END AS split FROM gold""")
+def t3_split(spark, sf_dir):
+    return T.split(L.gold(spark, sf_dir), 0.8, COLS.key, SEED)
+
+
+@register("f7_f8_dashboard_frame", "SELECT * FROM dash")
+def f7_f8_dashboard_frame(spark, sf_dir):
+    return L.dash(spark, sf_dir)
+
+
+_BED = r"(\d+)\s*(?:br|bdrm|bedroom|bed|bdr)"
+
+
+def _flag_sql(text: str, word: str, alias: str) -> str:
+    return f"CASE WHEN regexp_matches(lower({text}), '{word}') THEN 1.0 ELSE 0.0 END AS {alias}"
+
+
+@register("f9_f12_model_frame", f"""
+SELECT gold.*, {_flag_sql('name', 'studio', 'is_studio')}, {_flag_sql('name', 'loft', 'is_loft')},
+  CASE WHEN regexp_matches(lower(name), 'studio') THEN 0.0
+       ELSE CAST(CASE WHEN regexp_extract(lower(name), '{_BED}', 1) = '' THEN '0'
+                      ELSE regexp_extract(lower(name), '{_BED}', 1) END AS DOUBLE) END
+    AS bedrooms_extracted,
+  {', '.join(_flag_sql('name', w, 'has_' + w) for w in ['luxury', 'spacious', 'view', 'private', 'renovated', 'huge'])},
+  sqrt(pow(latitude - 40.7580, 2) + pow(longitude - (-73.9855), 2)) AS distance_center,
+  sqrt(pow(latitude - 40.6413, 2) + pow(longitude - (-73.7781), 2)) AS distance_jfk,
+  CAST(length(name) AS INTEGER) AS name_length
+FROM gold""")
+def f9_f12_model_frame(spark, sf_dir):
+    return model_frame(L.gold(spark, sf_dir))
+
+
+@register("f9_f12_document_text", f"""
+SELECT doc_id,
+  {', '.join(_flag_sql('text', w, 'has_' + w) for w in ['luxury', 'spacious', 'view', 'private', 'renovated', 'huge'])},
+  CAST(CASE WHEN regexp_extract(lower(text), '{_BED}', 1) = '' THEN '0'
+            ELSE regexp_extract(lower(text), '{_BED}', 1) END AS DOUBLE) AS bedrooms_extracted,
+  CAST(length(text) AS INTEGER) AS text_length
+FROM documents""")
+def f9_f12_document_text(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    from lodgeframe.columns import PREMIUM_WORDS
+    return docs.select("doc_id", *S.keyword_flags("text", PREMIUM_WORDS),
+                       S.extract_count("text").alias("bedrooms_extracted"),
+                       S.name_length("text").alias("text_length"))
+
+
+@register("f13_log_label", """
+SELECT id, price, round(CASE WHEN price > 0 THEN ln(price) END, 6) AS log_label FROM dash""")
+def f13_log_label(spark, sf_dir):
+    d = L.dash(spark, sf_dir)
+    return d.select(COLS.key, COLS.value, F.round(S.log_label(COLS.value), 6).alias("log_label"))
+
+
+@register("f14_map_labels", f"""
+SELECT id, room_type, CASE room_type {' '.join(f"WHEN '{k}' THEN '{v}'" for k, v in KIND_LABELS.items())}
+  ELSE room_type END AS kind_label FROM dash""")
+def f14_map_labels(spark, sf_dir):
+    d = L.dash(spark, sf_dir)
+    return d.select(COLS.key, COLS.kind, S.map_labels(COLS.kind, KIND_LABELS).alias("kind_label"))
+
+
+F16_MAE = 25.0
+
+
+@register("f16_f17_price_interval", f"""
+SELECT id, minimum_nights, round(exp(price_log) - 1, 4) AS estimate,
+  round(greatest(0.0, exp(price_log) - 1 - {F16_MAE}), 4) AS estimate_low,
+  round(exp(price_log) - 1 + {F16_MAE}, 4) AS estimate_high,
+  round((exp(price_log) - 1) * minimum_nights, 4) AS stay_cost,
+  round(greatest(0.0, exp(price_log) - 1 - {F16_MAE}) * minimum_nights, 4) AS stay_cost_low,
+  round((exp(price_log) - 1 + {F16_MAE}) * minimum_nights, 4) AS stay_cost_high
+FROM gold""")
+def f16_f17_price_interval(spark, sf_dir):
+    """The log-price column stands in for a model's log prediction."""
+    g = L.gold(spark, sf_dir).select(COLS.key, COLS.nights, "price_log")
+    iv = g.select(COLS.key, COLS.nights, *S.price_interval("price_log", F16_MAE, plus_one=True))
+    return iv.select(
+        COLS.key, COLS.nights,
+        *[F.round(c, 4).alias(c) for c in ("estimate", "estimate_low", "estimate_high")],
+        F.round(S.stay_cost("estimate", COLS.nights), 4).alias("stay_cost"),
+        F.round(S.stay_cost("estimate_low", COLS.nights), 4).alias("stay_cost_low"),
+        F.round(S.stay_cost("estimate_high", COLS.nights), 4).alias("stay_cost_high"))
+
+
+# --------------------------------------------------------------------------
+# Estimation lookups (A12-A14, J1-J3). Requests: every dashboard listing,
+# with some sub-zones, zones and kinds renamed (by key) to unseen values so
+# every fallback is exercised.
+# --------------------------------------------------------------------------
+UNKNOWN_SUBZONE, UNKNOWN_ZONE, UNKNOWN_KIND = "Unknown district", "ATLANTIS", "Hotel room"
+FEATS = E.imputed_features(COLS)
+
+
+def _requests(spark, sf_dir) -> DataFrame:
+    d = L.dash(spark, sf_dir)
+    k = F.col(COLS.key)
+    return d.select(
+        COLS.key,
+        F.when(k % 13 == 4, F.lit(UNKNOWN_SUBZONE)).otherwise(F.col(COLS.subzone)).alias(COLS.subzone),
+        F.when(k % 11 == 5, F.lit(UNKNOWN_ZONE)).otherwise(F.col(COLS.zone)).alias(COLS.zone),
+        F.when(k % 7 == 3, F.lit(UNKNOWN_KIND)).otherwise(F.col(COLS.kind)).alias(COLS.kind),
+        COLS.availability)
+
+
+_REQ_CTE = f"""
+, req AS (
+  SELECT id,
+    CASE WHEN id % 13 = 4 THEN '{UNKNOWN_SUBZONE}' ELSE neighbourhood END AS neighbourhood,
+    CASE WHEN id % 11 = 5 THEN '{UNKNOWN_ZONE}' ELSE neighbourhood_group END AS neighbourhood_group,
+    CASE WHEN id % 7 = 3 THEN '{UNKNOWN_KIND}' ELSE room_type END AS room_type,
+    availability_365
+  FROM dash)"""
+
+
+@register("a12_group_medians", f"""
+SELECT neighbourhood, room_type, {', '.join(f'round(median({f}), 6) AS {f}' for f in FEATS)}
+FROM dash GROUP BY neighbourhood, room_type""")
+def a12_group_medians(spark, sf_dir):
+    return _rounded(E.group_medians(L.dash(spark, sf_dir), [COLS.subzone, COLS.kind], FEATS))
+
+
+@register("a13_global_medians", f"""
+SELECT {', '.join(f'round(median({f}), 6) AS {f}' for f in FEATS)} FROM dash""")
+def a13_global_medians(spark, sf_dir):
+    return _rounded(E.global_medians(L.dash(spark, sf_dir), FEATS))
+
+
+@register("a14_centroids", """
+SELECT neighbourhood, round(avg(latitude), 6) AS latitude, round(avg(longitude), 6) AS longitude
+FROM dash GROUP BY neighbourhood""")
+def a14_centroids(spark, sf_dir):
+    return _rounded(E.centroids(L.dash(spark, sf_dir), COLS.subzone, COLS.lat, COLS.lon))
+
+
+@register("j1_impute_from_group", _REQ_CTE + f"""
+, gm AS (SELECT neighbourhood, room_type, {', '.join(f'median({f}) AS {f}' for f in FEATS)}
+         FROM dash GROUP BY neighbourhood, room_type),
+gmed AS (SELECT {', '.join(f'median({f}) AS {f}' for f in FEATS)} FROM dash)
+SELECT req.*, {', '.join(f'round(coalesce(gm.{f}, gmed.{f}), 6) AS {f}' for f in FEATS)}
+FROM req LEFT JOIN gm ON req.neighbourhood IS NOT DISTINCT FROM gm.neighbourhood
+  AND req.room_type IS NOT DISTINCT FROM gm.room_type CROSS JOIN gmed""")
+def j1_impute_from_group(spark, sf_dir):
+    out = E.impute_from_group(_requests(spark, sf_dir), L.dash(spark, sf_dir),
+                              [COLS.subzone, COLS.kind], FEATS)
+    return _rounded(out)
+
+
+@register("j2_attach_centroid", _REQ_CTE + """
+, cent AS (SELECT neighbourhood, avg(latitude) AS lat, avg(longitude) AS lon
+           FROM dash GROUP BY neighbourhood),
+fb AS (SELECT avg(lat) AS lat, avg(lon) AS lon FROM cent)
+SELECT req.*, round(coalesce(cent.lat, fb.lat), 6) AS latitude,
+  round(coalesce(cent.lon, fb.lon), 6) AS longitude
+FROM req LEFT JOIN cent ON req.neighbourhood IS NOT DISTINCT FROM cent.neighbourhood
+CROSS JOIN fb""")
+def j2_attach_centroid(spark, sf_dir):
+    out = E.attach_centroid(_requests(spark, sf_dir), L.dash(spark, sf_dir),
+                            COLS.subzone, COLS.lat, COLS.lon)
+    return _rounded(out)
+
+
+@register("j3_estimate_range", _REQ_CTE + """
+, pk AS (SELECT neighbourhood_group, room_type, quantile_cont(price, [0.25, 0.5, 0.75]) AS q,
+                count(*) AS n FROM dash GROUP BY neighbourhood_group, room_type),
+pz AS (SELECT neighbourhood_group, quantile_cont(price, [0.25, 0.5, 0.75]) AS q, count(*) AS n
+       FROM dash GROUP BY neighbourhood_group),
+pa AS (SELECT quantile_cont(price, [0.25, 0.5, 0.75]) AS q, count(*) AS n FROM dash)
+SELECT req.*,
+  round(coalesce(pk.q[2], pz.q[2], pa.q[2]), 6) AS estimate,
+  round(coalesce(pk.q[1], pz.q[1], pa.q[1]), 6) AS low,
+  round(coalesce(pk.q[3], pz.q[3], pa.q[3]), 6) AS high,
+  coalesce(pk.n, pz.n, pa.n) AS n_comparable,
+  CASE WHEN pk.n IS NOT NULL THEN 'zone_kind' WHEN pz.n IS NOT NULL THEN 'zone' ELSE 'all' END
+    AS basis
+FROM req
+LEFT JOIN pk ON req.neighbourhood_group IS NOT DISTINCT FROM pk.neighbourhood_group
+  AND req.room_type IS NOT DISTINCT FROM pk.room_type
+LEFT JOIN pz ON req.neighbourhood_group IS NOT DISTINCT FROM pz.neighbourhood_group
+CROSS JOIN pa""")
+def j3_estimate_range(spark, sf_dir):
+    out = E.estimate_range(_requests(spark, sf_dir), L.dash(spark, sf_dir),
+                           COLS.zone, COLS.kind, COLS.value)
+    return _rounded(out)
