@@ -698,3 +698,223 @@ def j3_estimate_range(spark, sf_dir):
     out = E.estimate_range(_requests(spark, sf_dir), L.dash(spark, sf_dir),
                            COLS.zone, COLS.kind, COLS.value)
     return _rounded(out)
+
+
+# --------------------------------------------------------------------------
+# Machine learning (M1-M16, S10, T6). No SQL twin: rows-only checks, plus
+# unit tests for finite metrics, round trips and top-k sizes.
+# --------------------------------------------------------------------------
+from lodgeframe.plans import ml as M  # noqa: E402
+from lodgeframe.columns import LAT_CENTER, LAT_JFK, LON_CENTER, LON_JFK  # noqa: E402
+from lodgeframe.session import scratch_path  # noqa: E402
+
+
+@register("m1_m3_m8_m11_linear_baseline")
+def m1_m3_m8_m11_linear_baseline(spark, sf_dir):
+    return M.compare_models(L.gold(spark, sf_dir), ["lr"], iteration=1)
+
+
+@register("m9_random_forest_baseline")
+def m9_random_forest_baseline(spark, sf_dir):
+    return M.compare_models(L.gold(spark, sf_dir), ["rf"], iteration=1)
+
+
+@register("m10_gradient_boosted_baseline")
+def m10_gradient_boosted_baseline(spark, sf_dir):
+    return M.compare_models(L.gold(spark, sf_dir), ["gbt"], iteration=1)
+
+
+@register("m12_m13_compare_advanced_linear")
+def m12_m13_compare_advanced_linear(spark, sf_dir):
+    """Iteration 2 features (text TF-IDF, keyword flags, distances) with the
+    linear model; the 120-tree forest and 175-round boosting are options of
+    ``compare_models`` (iteration=2), not smoke queries."""
+    return M.compare_models(model_frame(L.gold(spark, sf_dir)), ["lr"], iteration=2,
+                            text=COLS.name)
+
+
+@register("m4_m7_text_features")
+def m4_m7_text_features(spark, sf_dir):
+    """Tokenise, drop stop words, hash to 100 slots and weight by IDF (fitted
+    on the training split), then summarise each listing's vector."""
+    g = L.gold(spark, sf_dir).select(COLS.key, COLS.name)
+    train, _ = T.train_test(g, 0.8, COLS.key, SEED)
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    stages = M.feature_stages(g, categorical=[], text=COLS.name, numeric=[])[:-1]
+    model = Pipeline(stages=stages).fit(train)
+    out = model.transform(g)
+    arr = vector_to_array("tf_idf")
+    return out.select(COLS.key, F.size("words").alias("n_words"),
+                      F.size("filtered_words").alias("n_kept"),
+                      F.size(F.filter(arr, lambda v: v != 0)).alias("n_slots"),
+                      F.round(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v), 6)
+                       .alias("tf_idf_sum"))
+
+
+DASH_NUMERIC = [COLS.availability, COLS.reviews, COLS.reviews_per_month, COLS.host_listings,
+                COLS.nights, COLS.occupancy, COLS.lat, COLS.lon, "distance_center",
+                "distance_jfk"]
+
+
+def _with_distances(df: DataFrame) -> DataFrame:
+    return df.select("*",
+                     S.planar_distance(COLS.lat, COLS.lon, LAT_CENTER, LON_CENTER).alias("distance_center"),
+                     S.planar_distance(COLS.lat, COLS.lon, LAT_JFK, LON_JFK).alias("distance_jfk"))
+
+
+def _dashboard_model(spark, sf_dir):
+    """The price estimator behind batch scoring: gradient-boosted trees on
+    ln(price) with the request-level features, fitted on the train split."""
+    d = _with_distances(L.dash(spark, sf_dir)).withColumn("log_label", S.log_label(COLS.value))
+    train, test = T.train_test(d, 0.8, COLS.key, SEED)
+    stages = M.feature_stages(d, categorical=[COLS.kind, COLS.subzone], numeric=DASH_NUMERIC)
+    model = M.fit(train, stages, M.estimator("gbt", 1, label="log_label"))
+    metrics = M.evaluate(model.transform(test), "log_label", plus_one=False)
+    return model, metrics, test
+
+
+@register("m15_j1_j2_batch_scoring")
+def m15_j1_j2_batch_scoring(spark, sf_dir):
+    """Requests -> group medians (J1) -> centroid (J2) -> distances (F11) ->
+    model -> price interval (F16) -> stay cost for 7 nights (F17)."""
+    model, metrics, _ = _dashboard_model(spark, sf_dir)
+    d = L.dash(spark, sf_dir)
+    req = _requests(spark, sf_dir).drop(COLS.zone)
+    req = E.impute_from_group(req, d, [COLS.subzone, COLS.kind], FEATS)
+    req = E.attach_centroid(req, d, COLS.subzone, COLS.lat, COLS.lon)
+    req = _with_distances(req).withColumn("nights", F.lit(7))
+    return M.score_requests(model, req, metrics["mae_price"], nights="nights",
+                            label_plus_one=False)
+
+
+@register("t6_m14_top_importances")
+def t6_m14_top_importances(spark, sf_dir):
+    model, _, test = _dashboard_model(spark, sf_dir)
+    return M.top_importances(spark, model, model.transform(test))
+
+
+@register("m16_prediction_pairs")
+def m16_prediction_pairs(spark, sf_dir):
+    g = L.gold(spark, sf_dir)
+    train, test = T.train_test(g, 0.8, COLS.key, SEED)
+    model = M.fit(train, M.feature_stages(g), M.estimator("lr", 1))
+    return M.prediction_pairs(model.transform(test), 0.1)
+
+
+@register("s10_model_roundtrip")
+def s10_model_roundtrip(spark, sf_dir):
+    """Save the whole fitted pipeline, load it back and score raw rows."""
+    g = L.gold(spark, sf_dir)
+    train, test = T.train_test(g, 0.8, COLS.key, SEED)
+    model = M.fit(train, M.feature_stages(g), M.estimator("lr", 1))
+    path = scratch_path(spark, "model")
+    M.save_model(model, path)
+    return M.load_model(path).transform(test).select(COLS.key, M.LABEL, "prediction")
+
+
+# --------------------------------------------------------------------------
+# Sources and sinks (S1-S12): written to the shared checkpoint folder, read
+# back, and compared with the in-memory result.
+# --------------------------------------------------------------------------
+from lodgeframe.sources import raw as SR  # noqa: E402
+from lodgeframe.sources import sinks as SK  # noqa: E402
+from lodgeframe.sources import tables as ST  # noqa: E402
+from lodgeframe.operators.enrich import dashboard_columns  # noqa: E402
+from pyspark.sql.types import StringType, StructField, StructType  # noqa: E402
+
+
+def _landed(spark, sf_dir):
+    """The raw binding written as CSV by Spark, then landed in Bronze."""
+    src = scratch_path(spark, "source-csv")
+    SR.write_raw_csv(L.raw(spark, sf_dir), src)
+    return SR.land_raw(spark, src, scratch_path(spark, "bronze"))
+
+
+@register("s1_s3_csv_to_silver", "SELECT * FROM silver")
+def s1_s3_csv_to_silver(spark, sf_dir):
+    landing = _landed(spark, sf_dir)
+    return Q.clean(SR.read_raw_csv(spark, landing.path))
+
+
+@register("s3_land_raw", "SELECT count(*) AS n_rows, 16 AS n_columns FROM typed")
+def s3_land_raw(spark, sf_dir):
+    landing = _landed(spark, sf_dir)
+    return spark.createDataFrame([(landing.rows, landing.columns)], "n_rows long, n_columns int")
+
+
+def _silver_written(spark, sf_dir) -> str:
+    path = scratch_path(spark, "silver")
+    SK.write_partitioned(L.silver(spark, sf_dir), path, COLS.zone)
+    return path
+
+
+def _silver_schema(spark, sf_dir) -> StructType:
+    s = L.silver(spark, sf_dir).schema
+    fields = [f for f in s.fields if f.name != COLS.zone]
+    return StructType(fields + [StructField(COLS.zone, StringType(), True)])
+
+
+@register("s2_s4_partitioned_roundtrip", "SELECT * FROM silver")
+def s2_s4_partitioned_roundtrip(spark, sf_dir):
+    path = _silver_written(spark, sf_dir)
+    back = ST.read_table(spark, path, schema=_silver_schema(spark, sf_dir))
+    return back.select(*L.silver(spark, sf_dir).columns)
+
+
+@register("s5_features_roundtrip", "SELECT * FROM gold")
+def s5_features_roundtrip(spark, sf_dir):
+    g = L.gold(spark, sf_dir)
+    path = scratch_path(spark, "gold")
+    SK.write_features(g, path, COLS.zone)
+    return spark.read.parquet(path).select(*g.columns)
+
+
+@register("s6_small_roundtrip", _A1_SQL)
+def s6_small_roundtrip(spark, sf_dir):
+    path = scratch_path(spark, "kpis")
+    SK.write_small(K.zone_kind_kpis(L.silver(spark, sf_dir)), path)
+    return spark.read.parquet(path)
+
+
+@register("s7_quality_report")
+def s7_quality_report(spark, sf_dir):
+    raw_df, silver_df = L.raw(spark, sf_dir), L.silver(spark, sf_dir)
+    report = SK.quality_report(spark, P.retention(raw_df, silver_df),
+                               P.null_profile(raw_df), P.null_profile(silver_df))
+    path = scratch_path(spark, "quality-report")
+    SK.write_quality_report(report, path)
+    return spark.read.json(path).drop("generated_at")
+
+
+@register("s8_resolve_source", "SELECT * FROM silver")
+def s8_resolve_source(spark, sf_dir):
+    path = _silver_written(spark, sf_dir)
+    df, _ = SR.resolve_source(spark, [("parquet", scratch_path(spark, "missing")),
+                                      ("parquet", path)])
+    return df.select(*L.silver(spark, sf_dir).columns)
+
+
+@register("s9_register_table", """
+SELECT neighbourhood_group, count(*) AS n FROM silver GROUP BY neighbourhood_group""")
+def s9_register_table(spark, sf_dir):
+    path = _silver_written(spark, sf_dir)
+    SK.register_table(spark, "lodgeframe_silver", path)
+    return spark.sql(f"SELECT {COLS.zone}, count(*) AS n FROM lodgeframe_silver "
+                     f"GROUP BY {COLS.zone}")
+
+
+@register("s11_project_known", f"""
+SELECT {', '.join(c for c in dashboard_columns(COLS))} FROM gold""")
+def s11_project_known(spark, sf_dir):
+    return ST.project_known(L.gold(spark, sf_dir), dashboard_columns(COLS) + ["host_since"])
+
+
+@register("s12_verify_table", """
+SELECT CAST(neighbourhood_group AS VARCHAR) AS group_value, 0 AS is_total, count(*) AS n_rows,
+  16 AS n_columns FROM silver GROUP BY neighbourhood_group
+UNION ALL SELECT NULL, 1, count(*), 16 FROM silver""")
+def s12_verify_table(spark, sf_dir):
+    path = _silver_written(spark, sf_dir)
+    return ST.verify_table(ST.read_table(spark, path, schema=_silver_schema(spark, sf_dir)),
+                           COLS.zone)

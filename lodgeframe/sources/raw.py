@@ -39,6 +39,9 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
     """Write a Bronze table as header CSV readable by ``read_raw_csv``."""
     (df.write.mode("overwrite")
        .option("header", "true").option("quote", '"').option("escape", '"')
+       # The writer trims by default, which would turn a blank name into null.
+       .option("ignoreLeadingWhiteSpace", "false")
+       .option("ignoreTrailingWhiteSpace", "false")
        .csv(path))
 
 

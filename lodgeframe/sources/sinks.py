@@ -49,14 +49,14 @@ def quality_report(spark: SparkSession, run: DataFrame, before: DataFrame,
     null profiles (Q1) in long form. Column metrics are nested as arrays of
     structs, collected from profiles whose size is the column count.
     """
-    def nested(profile: DataFrame, label: str) -> DataFrame:
+    def nested(profile: DataFrame):
         return profile.agg(F.sort_array(F.collect_list(F.struct(
-            F.col("column_name"), F.col("missing").alias("nulls"),
-            F.col("missing_pct").alias("null_rate_pct")))).alias(label))
+            F.col("position"), F.col("column_name"), F.col("missing").alias("nulls"),
+            F.col("missing_pct").alias("null_rate_pct"))))).scalar()
 
-    return (run.join(nested(before, "columns_before"), how="left")
-               .join(nested(after, "columns_after"), how="left")
-               .withColumn("generated_at", F.current_timestamp()))
+    return run.select("*", nested(before).alias("columns_before"),
+                      nested(after).alias("columns_after"),
+                      F.current_timestamp().alias("generated_at"))
 
 
 def write_quality_report(report: DataFrame, path: str) -> bool:
