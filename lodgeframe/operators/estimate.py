@@ -46,9 +46,10 @@ def impute_from_group(requests: DataFrame, df: DataFrame, keys: Sequence[str],
     lookup = group_medians(df, keys, features).select(
         *keys, *[F.col(f).alias(f"_g_{f}") for f in features])
     glob = global_medians(df, features).select(F.struct(*features).alias("g")).scalar()
-    joined = attach_lookup(requests, lookup, list(keys))
+    joined = attach_lookup(requests, lookup, list(keys)).select("*", glob.alias("_glob"))
     return joined.select(*requests.columns,
-                         *[F.coalesce(F.col(f"_g_{f}"), glob[f]).alias(f) for f in features])
+                         *[F.coalesce(F.col(f"_g_{f}"), F.col(f"_glob.{f}")).alias(f)
+                           for f in features])
 
 
 def attach_centroid(requests: DataFrame, df: DataFrame, by: str, lat: str,
@@ -58,10 +59,10 @@ def attach_centroid(requests: DataFrame, df: DataFrame, by: str, lat: str,
     cent = centroids(df, by, lat, lon)
     fallback = cent.agg(F.struct(F.avg(lat).alias(lat), F.avg(lon).alias(lon))).scalar()
     lookup = cent.select(by, F.col(lat).alias("_c_lat"), F.col(lon).alias("_c_lon"))
-    joined = attach_lookup(requests, lookup, [by])
+    joined = attach_lookup(requests, lookup, [by]).select("*", fallback.alias("_fb"))
     return joined.select(*requests.columns,
-                         F.coalesce("_c_lat", fallback[lat]).alias(lat),
-                         F.coalesce("_c_lon", fallback[lon]).alias(lon))
+                         F.coalesce("_c_lat", F.col(f"_fb.{lat}")).alias(lat),
+                         F.coalesce("_c_lon", F.col(f"_fb.{lon}")).alias(lon))
 
 
 def estimate_range(requests: DataFrame, df: DataFrame, zone: str, kind: str,
@@ -84,10 +85,12 @@ def estimate_range(requests: DataFrame, df: DataFrame, zone: str, kind: str,
     by_zone = stats.filter(F.col("level") == 1).select(zone, F.col("r").alias("_r_zone"))
     overall = stats.filter(F.col("level") == 3).select(F.col("r")).scalar()
     out = attach_lookup(attach_lookup(requests, pair, [zone, kind]), by_zone, [zone])
-    r = F.coalesce("_r_pair", "_r_zone", overall)
-    return out.select(*requests.columns, r["estimate"].alias("estimate"),
-                      r["low"].alias("low"), r["high"].alias("high"),
-                      r["n"].alias("n_comparable"),
-                      F.when(F.col("_r_pair").isNotNull(), F.lit("zone_kind"))
-                       .when(F.col("_r_zone").isNotNull(), F.lit("zone"))
-                       .otherwise(F.lit("all")).alias("basis"))
+    # The one-row fallback is projected once, then its fields are read.
+    picked = out.select(*requests.columns,
+                        F.coalesce("_r_pair", "_r_zone", overall).alias("_r"),
+                        F.when(F.col("_r_pair").isNotNull(), F.lit("zone_kind"))
+                         .when(F.col("_r_zone").isNotNull(), F.lit("zone"))
+                         .otherwise(F.lit("all")).alias("basis"))
+    return picked.select(*requests.columns, F.col("_r.estimate").alias("estimate"),
+                         F.col("_r.low").alias("low"), F.col("_r.high").alias("high"),
+                         F.col("_r.n").alias("n_comparable"), "basis")

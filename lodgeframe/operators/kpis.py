@@ -36,7 +36,6 @@ def global_kpis(df: DataFrame, cols: ListingColumns = COLS,
     sub-zones. Every column is present even for an empty input (zeros and
     a dash). The A3 part is a scalar subquery, so no join is planned."""
     ext = extreme_groups(df, cols, min_rows)
-    ext_struct = ext.select(F.struct(*ext.columns)).scalar()
     base = df.agg(
         F.count(F.lit(1)).alias("n_listings"),
         F.avg(cols.value).alias("_mean"),
@@ -47,6 +46,8 @@ def global_kpis(df: DataFrame, cols: ListingColumns = COLS,
         F.count_if(F.col(cols.availability) > long_days).alias("n_long_availability"),
     )
     z = F.lit(0.0)
+    ext_struct = F.col("_ext")
+    base = base.select("*", ext.select(F.struct(*ext.columns)).scalar().alias("_ext"))
     return base.select(
         "n_listings",
         F.round(F.coalesce("_mean", z), 2).alias("mean_price"),

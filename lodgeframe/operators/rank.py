@@ -58,11 +58,17 @@ def rank_subzones(df: DataFrame, n: int = 10, cheapest: bool = True,
                     F.round("mean_occupancy", 4).alias("mean_occupancy"), "n"))
 
 
-def _minmax(stats: DataFrame, c: str):
-    """Normalise ``c`` to [0, 1] over all groups; a constant column gives 0."""
-    lo = stats.agg(F.min(c)).scalar()
-    hi = stats.agg(F.max(c)).scalar()
-    return F.coalesce(F.try_divide(F.col(c) - lo, hi - lo), F.lit(0.0))
+def _normalised(stats: DataFrame, columns: list[str]) -> DataFrame:
+    """Add ``<c>_norm`` in [0, 1] over all groups for each column; a
+    constant column gives 0. The bounds are one scalar subquery (one small
+    job over the grouped result), projected once and read by field."""
+    bounds = stats.agg(F.struct(*[F.min(c).alias(f"lo_{c}") for c in columns],
+                                *[F.max(c).alias(f"hi_{c}") for c in columns])).scalar()
+    with_b = stats.select("*", bounds.alias("_b"))
+    return with_b.select(*stats.columns, *[
+        F.coalesce(F.try_divide(F.col(c) - F.col(f"_b.lo_{c}"),
+                                F.col(f"_b.hi_{c}") - F.col(f"_b.lo_{c}")),
+                   F.lit(0.0)).alias(f"{c}_norm") for c in columns])
 
 
 def compromise_score(df: DataFrame, cols: ListingColumns = COLS,
@@ -70,11 +76,12 @@ def compromise_score(df: DataFrame, cols: ListingColumns = COLS,
                      weights: tuple[float, float, float] = SCORE_WEIGHTS) -> DataFrame:
     """``w0 (1 - price_n) + w1 availability_n + w2 reviews_n`` per
     sub-zone, 3 dp, best first. Empty when no group is large enough."""
-    s = subzone_stats(df, cols, min_rows)
+    s = _normalised(subzone_stats(df, cols, min_rows),
+                    ["median_price", "mean_availability", "mean_reviews"])
     w_price, w_avail, w_rev = weights
-    score = (F.lit(w_price) * (F.lit(1.0) - _minmax(s, "median_price"))
-             + F.lit(w_avail) * _minmax(s, "mean_availability")
-             + F.lit(w_rev) * _minmax(s, "mean_reviews"))
+    score = (F.lit(w_price) * (F.lit(1.0) - F.col("median_price_norm"))
+             + F.lit(w_avail) * F.col("mean_availability_norm")
+             + F.lit(w_rev) * F.col("mean_reviews_norm"))
     return (s.select(cols.subzone, cols.zone, "median_price",
                      F.round("mean_availability", 4).alias("mean_availability"),
                      F.round("mean_reviews", 4).alias("mean_reviews"),

@@ -110,3 +110,19 @@ def test_percentile_approx_matches_exact_on_integer_prices(spark, sf_small):
     a = {(r[0], r[1]): r.median_price for r in K.zone_kind_kpis(s, median_kind="approx").collect()}
     b = {(r[0], r[1]): r.median_price for r in K.zone_kind_kpis(s, median_kind="disc").collect()}
     assert a == b
+
+
+def test_box_stats_auto_mixes_exact_and_approx(spark):
+    from lodgeframe.operators import explore as XX
+    rows = [(float(i % 3), float(i)) for i in range(2000)]
+    df = spark.createDataFrame(rows, "few double, many double")
+    assert XX.exact_columns(df, ["few", "many"], limit=100) == ["few"]
+    old = XX.EXACT_DISTINCT_LIMIT
+    try:
+        XX.EXACT_DISTINCT_LIMIT = 100
+        got = {r.column_name: r for r in XX.box_stats(df, ["few", "many"], exact="auto").collect()}
+    finally:
+        XX.EXACT_DISTINCT_LIMIT = old
+    exact = {r.column_name: r for r in XX.box_stats(df, ["few", "many"], exact=True).collect()}
+    assert got["few"].q1 == exact["few"].q1 and got["few"].q3 == exact["few"].q3
+    assert abs(got["many"].median - exact["many"].median) <= 2.0

@@ -136,3 +136,22 @@ def test_fill_numeric_excludes_label(spark):
     df = spark.createDataFrame([(None, None, 1)], "label double, x double, k int")
     r = Q.fill_numeric(df, 0.0, exclude=["label"]).first()
     assert r.label is None and r.x == 0.0
+
+
+def test_audit_with_deduplicated_table(spark):
+    raw = raw_df(spark)
+    typed = Q.fill_missing(Q.cast_columns(raw))
+    a = sorted(P.clean_audit(typed).collect())
+    b = sorted(P.clean_audit(typed, deduplicated=Q.clean(raw)).collect())
+    assert a == b
+
+
+def test_bronze_to_silver_job(spark):
+    import tempfile
+    from lodgeframe.plans import medallion
+    d = tempfile.mkdtemp(prefix="lf-job-")
+    run = medallion.bronze_to_silver(spark, raw_df(spark), f"{d}/silver", f"{d}/report")
+    assert sorted(r.id for r in spark.read.parquet(f"{d}/silver").collect()) == [1, 2, 6]
+    assert {r.rule: r.removed for r in run.audit.collect()}["duplicates"] == 1
+    rep = spark.read.json(f"{d}/report").first()
+    assert rep.rows_in == 7 and rep.rows_out == 3 and rep.retention_pct == round(300 / 7, 2)
