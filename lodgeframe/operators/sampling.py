@@ -45,3 +45,11 @@ def train_test(df: DataFrame, train_fraction: float, key: str, seed: int = 0):
     tagged = split(df, train_fraction, key, seed, "_split")
     return (tagged.filter(F.col("_split") == "train").drop("_split"),
             tagged.filter(F.col("_split") == "test").drop("_split"))
+
+
+def preview(df: DataFrame, n: int = 5, sample_fraction_of: float | None = None,
+            key: str | None = None, seed: int = 0) -> DataFrame:
+    """The first ``n`` rows, optionally of a key-hash sample."""
+    if sample_fraction_of is not None and key is not None:
+        df = sample_fraction(df, sample_fraction_of, key, seed)
+    return df.limit(n)

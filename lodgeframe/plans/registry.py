@@ -752,6 +752,25 @@ def m4_m7_text_features(spark, sf_dir):
                        .alias("tf_idf_sum"))
 
 
+@register("m4_m7_document_tfidf")
+def m4_m7_document_tfidf(spark, sf_dir):
+    """The same text stages over every full document: tokens, stop words
+    removed, 100 hashed slots weighted by IDF (fitted on a key-hash 80 %
+    of the documents; the document-frequency vector has 100 entries)."""
+    from pyspark.ml import Pipeline
+    from pyspark.ml.functions import vector_to_array
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
+    train, _ = T.train_test(docs, 0.8, "doc_id", SEED)
+    stages = M.feature_stages(docs, categorical=[], text="text", numeric=[])[:-1]
+    out = Pipeline(stages=stages).fit(train).transform(docs)
+    arr = vector_to_array("tf_idf")
+    return out.select("doc_id", F.size("words").alias("n_words"),
+                      F.size("filtered_words").alias("n_kept"),
+                      F.size(F.filter(arr, lambda v: v != 0)).alias("n_slots"),
+                      F.round(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v), 6)
+                       .alias("tf_idf_sum"))
+
+
 DASH_NUMERIC = [COLS.availability, COLS.reviews, COLS.reviews_per_month, COLS.host_listings,
                 COLS.nights, COLS.occupancy, COLS.lat, COLS.lon, "distance_center",
                 "distance_jfk"]
