@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lodgeframe.columns import COLS, ListingColumns
@@ -17,22 +18,25 @@ def string_schema(columns: Sequence[str]) -> StructType:
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-                 cols: ListingColumns = COLS) -> DataFrame:
+                 cols: ListingColumns = COLS, recursive: bool = False) -> DataFrame:
     """Header CSV with quoted multi-line fields; every column a string.
 
     ``"`` is both quote and escape, so a doubled quote inside a quoted field
     is one literal quote. The schema is fixed (never inferred). Multi-line
     CSV cannot be split inside a file, so parallelism comes from the number
-    of files: land large sources as many files.
+    of files: land large sources as many files. ``recursive`` reads every
+    file below ``path`` (as ``land_raw`` lays them out).
     """
-    return (spark.read
-            .schema(schema or string_schema(cols.raw_order))
-            .option("header", "true")
-            .option("multiLine", "true")
-            .option("quote", '"')
-            .option("escape", '"')
-            .option("mode", "PERMISSIVE")
-            .csv(path))
+    reader = (spark.read
+              .schema(schema or string_schema(cols.raw_order))
+              .option("header", "true")
+              .option("multiLine", "true")
+              .option("quote", '"')
+              .option("escape", '"')
+              .option("mode", "PERMISSIVE"))
+    if recursive:
+        reader = reader.option("recursiveFileLookup", "true")
+    return reader.csv(path)
 
 
 def write_raw_csv(df: DataFrame, path: str) -> None:
@@ -54,20 +58,25 @@ class Landing:
 
 def land_raw(spark: SparkSession, src: str, dst: str,
              cols: ListingColumns = COLS) -> Landing:
-    """Land a raw CSV in Bronze, unmodified, and report its shape.
+    """Land raw CSV files in Bronze, unmodified, and report their shape.
 
-    The files are copied as text lines (no re-serialisation, so quoting and
-    number formats are kept); the counts come from one parse of the copy.
-    A missing source raises ``FileNotFoundError``.
+    Each source file is read whole (one row per file) and written to its own
+    folder under ``dst``, so its bytes, header and quoted line breaks are
+    kept as they are (the writer may add one final line break). Files are
+    spread over tasks; one file is never split. Counts come from one parse
+    of the landed copy. A missing source raises ``FileNotFoundError``.
     """
     try:
-        lines = spark.read.text(src)
+        files = spark.read.text(src, wholetext=True)
     except AnalysisException as exc:
         if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
             raise FileNotFoundError(src) from exc
         raise
-    lines.write.mode("overwrite").text(dst)
-    parsed = read_raw_csv(spark, dst, cols=cols)
+    named = files.select(F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1),
+                                          "[^A-Za-z0-9._-]", "_").alias("source_file"),
+                         "value")
+    named.write.mode("overwrite").partitionBy("source_file").text(dst)
+    parsed = read_raw_csv(spark, dst, cols=cols, recursive=True)
     return Landing(dst, parsed.count(), len(parsed.columns))
 
 

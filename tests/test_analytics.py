@@ -126,3 +126,18 @@ def test_box_stats_auto_mixes_exact_and_approx(spark):
     exact = {r.column_name: r for r in XX.box_stats(df, ["few", "many"], exact=True).collect()}
     assert got["few"].q1 == exact["few"].q1 and got["few"].q3 == exact["few"].q3
     assert abs(got["many"].median - exact["many"].median) <= 2.0
+
+
+def test_approx_median_rank_error_is_bounded(spark):
+    """percentile_approx (accuracy 10000) is within n/10000 + 1 ranks of
+    the exact median in every zone x kind group."""
+    s = L.silver(spark, "/root/testdata/sf0.01")
+    approx = K.zone_kind_kpis(s, median_kind="approx").select(COLS.zone, COLS.kind, "median_price")
+    j = s.join(approx, [COLS.zone, COLS.kind])
+    ranks = j.groupBy(COLS.zone, COLS.kind).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col(COLS.value) < F.col("median_price")).alias("below"),
+        F.count_if(F.col(COLS.value) <= F.col("median_price")).alias("at_or_below")).collect()
+    for r in ranks:
+        target, slack = 0.5 * r.n, r.n / 10000 + 1
+        assert r.below <= target + slack and r.at_or_below >= target - slack

@@ -100,3 +100,17 @@ def test_quality_report_json(spark):
     assert SK.write_quality_report(rep, f"{d}/r")
     back = spark.read.json(f"{d}/r").first()
     assert back.rows_in == 7 and back.rows_out == 3 and len(back.columns_before) == 16
+
+
+def test_land_raw_keeps_each_file_whole(spark):
+    src = tempfile.mkdtemp(prefix="lf-land-src-")
+    header = ",".join(COLS.raw_order)
+    line = ('{i},"multi\nline, ""quoted""",10,Ana,Harbour,Docks,40.7,-74.0,'
+            'Private room,100,2,3,2019-01-01,0.1,1,20\n')
+    for f in range(3):
+        _write(os.path.join(src, f"part{f}.csv"),
+               header + "\n" + "".join(line.format(i=f * 100 + i) for i in range(50)))
+    landing = SR.land_raw(spark, src, tempfile.mkdtemp(prefix="lf-land-dst-"))
+    assert (landing.rows, landing.columns) == (150, 16)
+    back = SR.read_raw_csv(spark, landing.path, recursive=True)
+    assert back.filter(F.col("name") == 'multi\nline, "quoted"').count() == 150
