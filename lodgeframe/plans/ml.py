@@ -112,14 +112,19 @@ def compare_models(df: DataFrame, kinds: Sequence[str] = ("lr", "rf", "gbt"),
     per model: (model, iteration, r2, rmse, mae_price, n_train, n_test,
     n_skipped)."""
     spark = df.sparkSession
-    # The input is read once: every fit and evaluation below reuses it.
-    data = df.filter(F.col(label).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK)
+    # The input is read once, narrowed to the columns the models use, and
+    # reused by every fit and evaluation below.
+    used = set(numeric_features(df)) | set(CATEGORICAL) | {label, key}
+    if text is not None:
+        used.add(text)
+    data = (df.select(*[c for c in df.columns if c in used])
+            .filter(F.col(label).isNotNull()).persist(StorageLevel.MEMORY_AND_DISK))
     train, test = train_test(data, train_fraction, key, SEED)
     rows = []
     try:
         n_train, n_test = train.count(), test.count()
         for kind in kinds:
-            stages = feature_stages(df, text=text)
+            stages = feature_stages(data, text=text)
             model = fit(train, stages, estimator(kind, iteration, label))
             pred = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
             m = evaluate(pred, label)

@@ -137,8 +137,10 @@ SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_lin
   ORDER BY l_shipdate DESC NULLS LAST, {_LI.replace('l_orderkey, ', '', 1).replace('l_linenumber, ', '', 1).replace(', l_shipdate', '').replace(', ', ' NULLS FIRST, ')} NULLS FIRST) = 1""")
 def q9_dedup_lineitem(spark, sf_dir):
     li = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
-    # Latest shipment first: order by the negated epoch, then every column.
-    keyed = li.withColumn("_neg_ship", -F.unix_micros(F.col("l_shipdate").cast("timestamp")))
+    # Latest shipment first: order by the negated microseconds since the
+    # epoch (wall clock, no time zone involved), then by every column.
+    keyed = li.withColumn("_neg_ship", -F.expr(
+        "timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', l_shipdate)"))
     return Q.dedup(keyed, ["l_orderkey", "l_linenumber"], order=["_neg_ship"]).drop("_neg_ship")
 
 

@@ -52,3 +52,24 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique path under the shared checkpoint folder."""
     return f"{checkpoint_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def shuffle_partitions_for(input_bytes: int, target_bytes: int = 256 * 1024 ** 2,
+                           total_cores: int = 1) -> int:
+    """A starting ``spark.sql.shuffle.partitions`` for a cluster: enough
+    partitions that each holds about ``target_bytes`` of shuffled data, and
+    at least two per core. Adaptive execution then coalesces small ones and
+    splits skewed ones."""
+    return max(2 * total_cores, -(-int(input_bytes) // target_bytes))
+
+
+def apply_scale_conf(spark: SparkSession, input_bytes: int, total_cores: int) -> None:
+    """Size shuffles and scans for the input, leaving AQE in charge at run
+    time (coalescing, skew-join splits)."""
+    spark.conf.set("spark.sql.shuffle.partitions",
+                   str(shuffle_partitions_for(input_bytes, total_cores=total_cores)))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", str(256 * 1024 ** 2))
+    spark.conf.set("spark.sql.adaptive.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.skewJoin.enabled", "true")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(256 * 1024 ** 2))
