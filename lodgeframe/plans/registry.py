@@ -362,8 +362,9 @@ def a10_t2_color_range(spark, sf_dir):
 cnt AS (SELECT CAST(least(floor((CAST(price AS DOUBLE) - 0.0) / 12.5), 39) AS INTEGER) AS bin,
           count(*) AS n
         FROM dash WHERE CAST(price AS DOUBLE) >= 0.0 AND CAST(price AS DOUBLE) <= 500.0 GROUP BY 1)
-SELECT bins.bin, round(0.0 + bins.bin * 12.5, 6) AS bin_low,
-  round(0.0 + (bins.bin + 1) * 12.5, 6) AS bin_high, CAST(coalesce(cnt.n, 0) AS BIGINT) AS n,
+SELECT bins.bin, round(CAST(0.0 AS DOUBLE) + bins.bin * CAST(12.5 AS DOUBLE), 6) AS bin_low,
+  round(CAST(0.0 AS DOUBLE) + (bins.bin + 1) * CAST(12.5 AS DOUBLE), 6) AS bin_high,
+  CAST(coalesce(cnt.n, 0) AS BIGINT) AS n,
   (SELECT median(price) FROM dash) AS overall_median
 FROM bins LEFT JOIN cnt ON bins.bin = cnt.bin""")
 def a11_p5_histogram(spark, sf_dir):
@@ -534,7 +535,8 @@ _BED = r"(\d+)\s*(?:br|bdrm|bedroom|bed|bdr)"
 
 
 def _flag_sql(text: str, word: str, alias: str) -> str:
-    return f"CASE WHEN regexp_matches(lower({text}), '{word}') THEN 1.0 ELSE 0.0 END AS {alias}"
+    return (f"CASE WHEN regexp_matches(lower({text}), '{word}') THEN CAST(1.0 AS DOUBLE) "
+            f"ELSE CAST(0.0 AS DOUBLE) END AS {alias}")
 
 
 @register("f9_f12_model_frame", f"""

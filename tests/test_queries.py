@@ -8,6 +8,8 @@ from tools.compare import TABLES, close, key, norm
 SF = "/root/testdata/sf0.001"
 ML_PREFIXES = ("m", "t6", "s10")
 NAMES = sorted(entry.queries())
+DUCK_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string",
+              "BOOLEAN": "boolean", "TIMESTAMP": "timestamp_ntz", "DATE": "date"}
 
 
 @pytest.fixture(scope="module")
@@ -35,6 +37,9 @@ def test_query_matches_oracle(spark, duck, name):
     rel = duck.sql(entry.oracle_sql()[name])
     dcols = list(rel.columns)
     assert sorted(dcols) == cols
+    stypes = dict(sdf.dtypes)
+    for c, t in zip(rel.columns, rel.types):
+        assert DUCK_TYPES.get(str(t), str(t)) == stypes[c], (c, str(t), stypes[c])
     idx = [dcols.index(c) for c in cols]
     drows = sorted((tuple(norm(r[i]) for i in idx) for r in rel.fetchall()), key=key)
     assert len(srows) == len(drows)
