@@ -10,13 +10,27 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
-from lodgeframe.columns import COLS
+from lodgeframe.columns import (COLS, KIND_LABELS, LAT_CENTER, LAT_JFK, LON_CENTER, LON_JFK,
+                                MAP_SAMPLE_ROWS, PREMIUM_WORDS)
+from lodgeframe.functions import scalars as S
 from lodgeframe.operators import clean as Q
+from lodgeframe.operators import estimate as E
+from lodgeframe.operators import explore as X
+from lodgeframe.operators import filters as FL
 from lodgeframe.operators import kpis as K
 from lodgeframe.operators import profile as P
+from lodgeframe.operators import rank as R
+from lodgeframe.operators import sampling as T
+from lodgeframe.operators.enrich import dashboard_columns, model_frame
 from lodgeframe.plans import listings as L
+from lodgeframe.plans import ml as M
 from lodgeframe.plans.oracle import RAW_COLUMNS, with_ctes
+from lodgeframe.session import scratch_path
+from lodgeframe.sources import raw as SR
+from lodgeframe.sources import sinks as SK
+from lodgeframe.sources import tables as ST
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -210,14 +224,6 @@ def a1_zone_kind_kpis_approx(spark, sf_dir):
 # --------------------------------------------------------------------------
 # Dashboard analytics over the dashboard frame (A2-A21, P1-P3, T*, F7-F18)
 # --------------------------------------------------------------------------
-from lodgeframe.columns import KIND_LABELS, MAP_SAMPLE_ROWS  # noqa: E402
-from lodgeframe.functions import scalars as S  # noqa: E402
-from lodgeframe.operators import estimate as E  # noqa: E402
-from lodgeframe.operators import explore as X  # noqa: E402
-from lodgeframe.operators import filters as FL  # noqa: E402
-from lodgeframe.operators import rank as R  # noqa: E402
-from lodgeframe.operators import sampling as T  # noqa: E402
-from lodgeframe.operators.enrich import model_frame  # noqa: E402
 
 SEED = 42
 KINDS = ["Entire home/apt", "Private room", "Shared room"]
@@ -563,7 +569,6 @@ SELECT doc_id,
 FROM documents""")
 def f9_f12_document_text(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    from lodgeframe.columns import PREMIUM_WORDS
     return docs.select("doc_id", *S.keyword_flags("text", PREMIUM_WORDS),
                        S.extract_count("text").alias("bedrooms_extracted"),
                        S.name_length("text").alias("text_length"))
@@ -712,9 +717,6 @@ def j3_estimate_range(spark, sf_dir):
 # Machine learning (M1-M16, S10, T6). No SQL twin: rows-only checks, plus
 # unit tests for finite metrics, round trips and top-k sizes.
 # --------------------------------------------------------------------------
-from lodgeframe.plans import ml as M  # noqa: E402
-from lodgeframe.columns import LAT_CENTER, LAT_JFK, LON_CENTER, LON_JFK  # noqa: E402
-from lodgeframe.session import scratch_path  # noqa: E402
 
 
 @register("m1_m3_m8_m11_linear_baseline")
@@ -844,11 +846,6 @@ def s10_model_roundtrip(spark, sf_dir):
 # Sources and sinks (S1-S12): written to the shared checkpoint folder, read
 # back, and compared with the in-memory result.
 # --------------------------------------------------------------------------
-from lodgeframe.sources import raw as SR  # noqa: E402
-from lodgeframe.sources import sinks as SK  # noqa: E402
-from lodgeframe.sources import tables as ST  # noqa: E402
-from lodgeframe.operators.enrich import dashboard_columns  # noqa: E402
-from pyspark.sql.types import StringType, StructField, StructType  # noqa: E402
 
 
 def _landed(spark, sf_dir):
