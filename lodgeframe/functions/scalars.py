@@ -54,10 +54,14 @@ def keyword_flags(text, words: Sequence[str], prefix: str = "has_") -> list[Colu
     return [keyword_flag(text, w).alias(f"{prefix}{w}") for w in words]
 
 
-def extract_count(text, studio_flag=None, pattern: str = BEDROOM_PATTERN) -> Column:
+def extract_count(text, studio_flag=None, pattern: str = BEDROOM_PATTERN,
+                  word_boundary: bool = False) -> Column:
     """the integer before a bedroom word, 0 when absent, forced to 0 for
-    studios; a double. Matches inside words too ("5 brooklyn" gives 5), as
-    the pattern has no word boundary."""
+    studios; a double. By default it matches inside words too ("5 brooklyn"
+    gives 5), as the reference pattern has no word boundary;
+    ``word_boundary=True`` requires the bedroom word to end there."""
+    if word_boundary:
+        pattern = pattern + r"\b"
     got = F.regexp_extract(F.lower(_c(text)), pattern, 1)
     n = F.when(got == "", F.lit("0")).otherwise(got).cast("double")
     if studio_flag is not None:

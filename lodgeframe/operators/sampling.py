@@ -20,9 +20,14 @@ def key_hash(key: str, seed: int = 0) -> Column:
     return F.pmod(k * F.lit(MULTIPLIER) + F.lit(int(seed)), F.lit(SPACE))
 
 
-def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 0) -> DataFrame:
+def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 0,
+                    method: str = "hash") -> DataFrame:
     """The rows whose key hash falls in the first ``fraction`` of the
-    hash space; a pure filter, pushed into the scan's stage."""
+    hash space; a pure filter, pushed into the scan's stage.
+    ``method="random"`` is ``df.sample`` (Bernoulli per partition: the same
+    seed picks other rows after a repartition)."""
+    if method == "random":
+        return df.sample(fraction=fraction, seed=seed)
     return df.filter(key_hash(key, seed) < F.lit(int(fraction * SPACE)))
 
 
@@ -41,7 +46,13 @@ def split(df: DataFrame, train_fraction: float, key: str, seed: int = 0,
                          .otherwise(F.lit("test")))
 
 
-def train_test(df: DataFrame, train_fraction: float, key: str, seed: int = 0):
+def train_test(df: DataFrame, train_fraction: float, key: str, seed: int = 0,
+               method: str = "hash"):
+    """(train, test). ``method="random"`` is ``randomSplit`` (layout
+    dependent, like ``df.sample``)."""
+    if method == "random":
+        train, test = df.randomSplit([train_fraction, 1 - train_fraction], seed=seed)
+        return train, test
     tagged = split(df, train_fraction, key, seed, "_split")
     return (tagged.filter(F.col("_split") == "train").drop("_split"),
             tagged.filter(F.col("_split") == "test").drop("_split"))

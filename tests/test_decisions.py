@@ -75,3 +75,19 @@ def test_t7_preview(spark):
     df = spark.range(100).withColumnRenamed("id", "k")
     assert T.preview(df, 5).count() == 5
     assert T.preview(df, 5, sample_fraction_of=0.5, key="k").count() == 5
+
+
+def test_f10_word_boundary_option(spark):
+    from lodgeframe.functions import scalars as S
+    df = spark.createDataFrame([("Room near 5 brooklyn stops",), ("Huge 3br loft",)], "t string")
+    plain = [r.n for r in df.select(S.extract_count("t").alias("n")).collect()]
+    strict = [r.n for r in df.select(S.extract_count("t", word_boundary=True).alias("n")).collect()]
+    assert plain == [5.0, 3.0] and strict == [0.0, 3.0]
+
+
+def test_d14_random_methods_are_options(spark):
+    df = spark.range(2000).withColumnRenamed("id", "k")
+    n = T.sample_fraction(df, 0.1, "k", 7, method="random").count()
+    assert 100 < n < 300
+    train, test = T.train_test(df, 0.8, "k", 7, method="random")
+    assert train.count() + test.count() == 2000
