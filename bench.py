@@ -59,15 +59,15 @@ def main() -> None:
     state = {}
 
     def b2s():
-        state["s"] = medallion.bronze_to_silver(spark, listings_raw(spark, sf_dir),
+        state["s"] = medallion.raw_to_silver(spark, listings_raw(spark, sf_dir),
                                                 f"{out}/silver", f"{out}/report")
 
     def s2g():
-        state["g"] = medallion.silver_to_gold(spark, f"{out}/silver", f"{out}/gold",
+        state["g"] = medallion.silver_to_features(spark, f"{out}/silver", f"{out}/gold",
                                               f"{out}/kpis")
 
-    timed("bronze_to_silver", b2s)
-    timed("silver_to_gold", s2g)
+    timed("raw_to_silver", b2s)
+    timed("silver_to_features", s2g)
     silver = spark.read.parquet(f"{out}/silver")
     gold = spark.read.parquet(f"{out}/gold")
     dash = dashboard_frame(gold)

@@ -31,7 +31,7 @@ class SilverRun:
     report: DataFrame
 
 
-def bronze_to_silver(spark: SparkSession, raw: DataFrame, silver_path: str,
+def raw_to_silver(spark: SparkSession, raw: DataFrame, silver_path: str,
                      report_path: str | None = None, cols: ListingColumns = COLS,
                      stage: str = "parquet") -> SilverRun:
     """Clean ``raw`` (all-string listing rows) into a zone-partitioned
@@ -67,7 +67,7 @@ def bronze_to_silver(spark: SparkSession, raw: DataFrame, silver_path: str,
     return SilverRun(silver_path, audit, before, after, report)
 
 
-def silver_to_gold(spark: SparkSession, silver_path: str, gold_path: str,
+def silver_to_features(spark: SparkSession, silver_path: str, gold_path: str,
                    kpi_path: str, cols: ListingColumns = COLS) -> tuple[DataFrame, DataFrame]:
     """Feature table (partitioned like Silver) and the small KPI table."""
     silver = spark.read.parquet(silver_path)

@@ -146,11 +146,11 @@ def test_audit_with_deduplicated_table(spark):
     assert a == b
 
 
-def test_bronze_to_silver_job(spark):
+def test_raw_to_silver_job(spark):
     import tempfile
     from lodgeframe.plans import medallion
     d = tempfile.mkdtemp(prefix="lf-job-")
-    run = medallion.bronze_to_silver(spark, raw_df(spark), f"{d}/silver", f"{d}/report")
+    run = medallion.raw_to_silver(spark, raw_df(spark), f"{d}/silver", f"{d}/report")
     assert sorted(r.id for r in spark.read.parquet(f"{d}/silver").collect()) == [1, 2, 6]
     assert {r.rule: r.removed for r in run.audit.collect()}["duplicates"] == 1
     rep = spark.read.json(f"{d}/report").first()
