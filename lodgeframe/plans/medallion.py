@@ -1,17 +1,22 @@
 """The two batch jobs: raw -> silver (with profile, audit and quality
-report) and silver -> gold (features and the zone x kind KPI table).
+report) and silver -> features (the feature table and the zone x kind KPI
+table).
 
-Raw is parsed once and staged as Parquet in the shared checkpoint folder
-for the passes that need it: the missing-value profile, the rule audit and
-the Silver write. Post-clean metrics are read from the written Silver table
-rather than recomputed.
+The raw -> silver job makes two passes over full rows. The source is
+parsed once and written as Parquet to the shared checkpoint folder, and
+its missing-value profile is observed during that write. Silver is then
+written from the staged copy, with its own profile and row count observed
+during that write. Observed metrics are gathered in each write's final
+stage, where Spark applies every task's update exactly once, even when a
+task is retried. The rule audit is one more scan of the staged copy that
+reads only the five columns the rules use. A lost executor re-reads its
+split of the staged copy, not the source.
 """
 from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 
 from lodgeframe.columns import COLS, ListingColumns
 from lodgeframe.operators import clean as Q
@@ -32,35 +37,27 @@ class SilverRun:
 
 
 def raw_to_silver(spark: SparkSession, raw: DataFrame, silver_path: str,
-                     report_path: str | None = None, cols: ListingColumns = COLS,
-                     stage: str = "parquet") -> SilverRun:
+                  report_path: str | None = None, cols: ListingColumns = COLS) -> SilverRun:
     """Clean ``raw`` (all-string listing rows) into a zone-partitioned
-    Silver table, with the per-rule audit and a before/after quality report.
+    Silver table, with the per-rule audit and a before/after quality report."""
+    raw_columns = raw.columns
+    staged_path = scratch_path(spark, "raw-staged")
+    seen_raw = Observation("raw_profile")
+    raw.observe(seen_raw, *P.missing_metrics(raw)).write.mode("overwrite").parquet(staged_path)
+    staged = spark.read.parquet(staged_path)
 
-    ``stage="parquet"`` (default) first writes the raw rows as Parquet in
-    the shared checkpoint folder: the source is parsed once, lineage is cut
-    (a lost executor re-reads its split of the staged copy, not the source)
-    and later passes read only the columns they need (the audit reads five).
-    ``stage="cache"`` keeps raw in executor memory, spilling to disk.
-    """
-    if stage == "parquet":
-        staged_path = scratch_path(spark, "bronze-staged")
-        raw.write.mode("overwrite").parquet(staged_path)
-        raw = spark.read.parquet(staged_path)
-    else:
-        raw = raw.persist(StorageLevel.MEMORY_AND_DISK)
-    before = P.null_profile(raw).persist()
-    before.count()
-    SK.write_partitioned(Q.clean(raw, cols), silver_path, cols.zone)
-    silver = spark.read.parquet(silver_path)
-    typed = Q.fill_missing(Q.cast_columns(raw, cols=cols), cols=cols)
-    audit = P.clean_audit(typed, cols, deduplicated=silver).persist()
-    run = P.retention(raw, silver).persist()
+    cleaned = Q.clean(staged, cols)
+    seen_silver = Observation("silver_profile")
+    SK.write_partitioned(cleaned.observe(seen_silver, *P.missing_metrics(cleaned)),
+                         silver_path, cols.zone)
+    before = P.profile_from_metrics(spark, seen_raw.get, raw_columns)
+    after = P.profile_from_metrics(spark, seen_silver.get, cleaned.columns)
+    n_in, n_out = int(seen_raw.get["total"]), int(seen_silver.get["total"])
+
+    typed = Q.fill_missing(Q.cast_columns(staged, cols=cols), cols=cols)
+    audit = P.clean_audit(typed, cols, deduplicated=n_out).persist()
     audit.count()
-    run.count()
-    if stage != "parquet":
-        raw.unpersist()
-    after = P.null_profile(silver).persist()
+    run = P.retention_from_counts(spark, n_in, n_out)
     report = SK.quality_report(spark, run, before, after)
     if report_path:
         SK.write_quality_report(report, report_path)

@@ -155,3 +155,18 @@ def test_raw_to_silver_job(spark):
     assert {r.rule: r.removed for r in run.audit.collect()}["duplicates"] == 1
     rep = spark.read.json(f"{d}/report").first()
     assert rep.rows_in == 7 and rep.rows_out == 3 and rep.retention_pct == round(300 / 7, 2)
+
+
+def test_observed_metrics_equal_standalone_passes(spark):
+    import tempfile
+    from lodgeframe.plans import listings as L
+    from lodgeframe.plans import medallion
+    sf = "/root/testdata/sf0.001"
+    d = tempfile.mkdtemp(prefix="lf-obs-")
+    run = medallion.raw_to_silver(spark, L.raw(spark, sf), f"{d}/silver")
+    silver = spark.read.parquet(f"{d}/silver")
+    assert sorted(run.profile_before.collect()) == sorted(P.null_profile(L.raw(spark, sf)).collect())
+    assert sorted(run.profile_after.collect()) == sorted(P.null_profile(L.silver(spark, sf)).collect())
+    assert sorted(run.audit.collect()) == sorted(P.clean_audit(L.typed(spark, sf)).collect())
+    rep = run.report.first()
+    assert (rep.rows_in, rep.rows_out) == (1503, 1493) and silver.count() == 1493
