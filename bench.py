@@ -9,7 +9,8 @@ completely with a ``noop`` write (no rows pulled to the driver).
 Before timing, the two jobs run once, untimed, on the smallest driver scale
 factor (sf0.001, when present). This warms the JVM and Spark's
 generated-code cache, so the figures are steady-state times and not the
-one-off start-up of the first query.
+one-off start-up of the first query. Set $BENCH_EVENT_LOG_DIR to write
+Spark's event log (stage and task times) to that folder.
 """
 from __future__ import annotations
 
@@ -46,7 +47,13 @@ def run(df) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app="lodgeframe-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG_DIR"):
+        # Stage and task times for later reading, without the web UI.
+        extra = {"spark.eventLog.enabled": "true",
+                 "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG_DIR"]}
+    spark = local_session(cpus, int(cpus) if cpus.isdigit() else 8, app="lodgeframe-bench",
+                          extra_conf=extra)
     root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lodgeframe-bench-")
     if not spark.conf.get("spark.checkpoint.dir", None):
         spark.conf.set("spark.checkpoint.dir", root)

@@ -102,15 +102,13 @@ def retention(before: DataFrame, after: DataFrame) -> DataFrame:
 
     The two counts are scalar subqueries, so no join is planned.
     """
-    n_in = before.agg(F.count(F.lit(1))).scalar()
-    n_out = after.agg(F.count(F.lit(1))).scalar()
-    one = before.sparkSession.range(1)
-    return one.select(
-        n_in.cast("long").alias("rows_in"),
-        n_out.cast("long").alias("rows_out"),
-        (n_in - n_out).cast("long").alias("rows_removed"),
-        F.round(F.try_divide(n_out * 100.0, n_in), 2).alias("retention_pct"),
-    )
+    counts = before.sparkSession.range(1).select(
+        before.agg(F.count(F.lit(1))).scalar().cast("long").alias("n_in"),
+        after.agg(F.count(F.lit(1))).scalar().cast("long").alias("n_out"))
+    return counts.select(
+        F.col("n_in").alias("rows_in"), F.col("n_out").alias("rows_out"),
+        (F.col("n_in") - F.col("n_out")).alias("rows_removed"),
+        F.round(F.try_divide(F.col("n_out") * 100.0, F.col("n_in")), 2).alias("retention_pct"))
 
 
 def retention_from_counts(spark, rows_in: int, rows_out: int) -> DataFrame:

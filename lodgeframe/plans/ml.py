@@ -193,6 +193,8 @@ def prediction_pairs(predictions: DataFrame, fraction: float, key: str = COLS.ke
     # its test rows all sit in one band of it; xxhash64 of the key does not.
     h = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(2 ** 32))
     smp = predictions.select(key, label, "prediction").filter(h < F.lit(int(fraction * 2 ** 32)))
-    lo = smp.agg(F.least(F.min(label), F.min("prediction"))).scalar()
-    hi = smp.agg(F.greatest(F.max(label), F.max("prediction"))).scalar()
-    return smp.select(key, label, "prediction", lo.alias("axis_min"), hi.alias("axis_max"))
+    axis = smp.agg(F.struct(F.least(F.min(label), F.min("prediction")).alias("lo"),
+                            F.greatest(F.max(label), F.max("prediction")).alias("hi"))).scalar()
+    with_axis = smp.select(key, label, "prediction", axis.alias("_axis"))
+    return with_axis.select(key, label, "prediction", F.col("_axis.lo").alias("axis_min"),
+                            F.col("_axis.hi").alias("axis_max"))

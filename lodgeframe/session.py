@@ -12,10 +12,14 @@ CHECKPOINT_CONF = "spark.checkpoint.dir"
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "lodgeframe") -> SparkSession:
-    """A local session configured like the test and bench harnesses."""
+                  app: str = "lodgeframe", extra_conf: dict | None = None) -> SparkSession:
+    """A local session configured like the test and bench harnesses. The
+    web UI stays off; ``extra_conf`` adds settings (e.g. an event log)."""
+    builder = SparkSession.builder
+    for k, v in (extra_conf or {}).items():
+        builder = builder.config(k, v)
     spark = (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.ui.enabled", "false")

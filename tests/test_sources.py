@@ -114,3 +114,9 @@ def test_land_raw_keeps_each_file_whole(spark):
     assert (landing.rows, landing.columns) == (150, 16)
     back = SR.read_raw_csv(spark, landing.path, recursive=True)
     assert back.filter(F.col("name") == 'multi\nline, "quoted"').count() == 150
+
+
+def test_schema_rows(spark):
+    df = Q.cast_columns(raw_df(spark))
+    rows = ST.schema_rows(spark, df).orderBy("position").collect()
+    assert len(rows) == 16 and rows[0].column == "id" and rows[0].type == "bigint"
