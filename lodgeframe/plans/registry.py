@@ -911,6 +911,22 @@ def s7_quality_report(spark, sf_dir):
     return spark.read.json(path).drop("generated_at")
 
 
+_RETENTION_SQL = """
+SELECT CAST((SELECT count(*) FROM typed) AS BIGINT) AS rows_in,
+       CAST((SELECT count(*) FROM silver) AS BIGINT) AS rows_out,
+       CAST((SELECT count(*) FROM typed) - (SELECT count(*) FROM silver) AS BIGINT) AS rows_removed,
+       round((SELECT count(*) FROM silver) * 100.0 / (SELECT count(*) FROM typed), 2)
+         AS retention_pct
+"""
+
+
+@register("s7_quality_report_summary", _RETENTION_SQL)
+def s7_quality_report_summary(spark, sf_dir):
+    """The run summary of the quality report, read back from its JSON."""
+    return s7_quality_report(spark, sf_dir).select("rows_in", "rows_out", "rows_removed",
+                                                   "retention_pct")
+
+
 @register("s8_resolve_source", "SELECT * FROM silver")
 def s8_resolve_source(spark, sf_dir):
     path = _silver_written(spark, sf_dir)
