@@ -141,3 +141,12 @@ def test_approx_median_rank_error_is_bounded(spark):
     for r in ranks:
         target, slack = 0.5 * r.n, r.n / 10000 + 1
         assert r.below <= target + slack and r.at_or_below >= target - slack
+
+
+def test_pivot_discovers_values(spark, sf_small):
+    d = L.dash(spark, sf_small)
+    given = X.pivot_median(d, COLS.zone, COLS.kind, COLS.value,
+                           ["Entire home/apt", "Private room", "Shared room"])
+    found = X.pivot_median(d, COLS.zone, COLS.kind, COLS.value)
+    assert sorted(found.columns) == sorted(given.columns)
+    assert sorted(found.collect()) == sorted(given.select(*found.columns).collect())
