@@ -70,8 +70,12 @@ def extract_count(text, studio_flag=None, pattern: str = BEDROOM_PATTERN,
 
 
 def planar_distance(lat, lon, point_lat: float, point_lon: float) -> Column:
-    """Euclidean distance in degrees to a fixed point."""
-    return F.sqrt(F.pow(_c(lat) - F.lit(point_lat), 2) + F.pow(_c(lon) - F.lit(point_lon), 2))
+    """Euclidean distance in degrees to a fixed point. Squares are
+    products, not ``pow``: IEEE multiplication and square root round the
+    same way in every engine, library ``pow`` functions may not."""
+    dy = _c(lat) - F.lit(point_lat)
+    dx = _c(lon) - F.lit(point_lon)
+    return F.sqrt(dy * dy + dx * dx)
 
 
 def name_length(text) -> Column:

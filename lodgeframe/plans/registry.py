@@ -552,8 +552,10 @@ SELECT gold.*, {_flag_sql('name', 'studio', 'is_studio')}, {_flag_sql('name', 'l
                       ELSE regexp_extract(lower(name), '{_BED}', 1) END AS DOUBLE) END
     AS bedrooms_extracted,
   {', '.join(_flag_sql('name', w, 'has_' + w) for w in ['luxury', 'spacious', 'view', 'private', 'renovated', 'huge'])},
-  sqrt(pow(latitude - 40.7580, 2) + pow(longitude - (-73.9855), 2)) AS distance_center,
-  sqrt(pow(latitude - 40.6413, 2) + pow(longitude - (-73.7781), 2)) AS distance_jfk,
+  sqrt((latitude - 40.7580) * (latitude - 40.7580)
+       + (longitude - (-73.9855)) * (longitude - (-73.9855))) AS distance_center,
+  sqrt((latitude - 40.6413) * (latitude - 40.6413)
+       + (longitude - (-73.7781)) * (longitude - (-73.7781))) AS distance_jfk,
   CAST(length(name) AS INTEGER) AS name_length
 FROM gold""")
 def f9_f12_model_frame(spark, sf_dir):
