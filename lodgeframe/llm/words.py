@@ -76,6 +76,42 @@ class Words:
         return at, window_names(self.name, k)[at]
 
 
+LETTER = np.zeros(256, bool)
+LETTER[65:91] = LETTER[97:123] = True
+LETTER[128:] = True
+
+
+def cores(words: Words, kind: np.ndarray = LETTER) -> tuple[np.ndarray, np.ndarray]:
+    """Each word's first and last byte of a kind (letters; every byte of a
+    letter beyond ASCII counts), as start and end; empty if it has none."""
+    data = words.bytes
+    start, end = words.start.copy(), words.end.copy()
+    live = np.flatnonzero(~kind[data[start]])
+    while len(live):
+        start[live] += 1
+        live = live[start[live] < end[live]]
+        live = live[~kind[data[start[live]]]]
+    live = np.flatnonzero((end > start) & ~kind[data[end - 1]])
+    while len(live):
+        end[live] -= 1
+        live = live[~kind[data[end[live] - 1]]]
+    return start, end
+
+
+def names_between(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit names of byte ranges; ``data`` ends with eight spare bytes."""
+    return _names(data, start, end - start)
+
+
+def names_of(texts: list[str]) -> np.ndarray:
+    """Names of given strings, as ``names_between`` gives them."""
+    raw = [t.encode() for t in texts]
+    end = np.cumsum([len(r) for r in raw], dtype=np.int64)
+    data = np.frombuffer(b"".join(raw) + bytes(8), np.uint8)
+    return _names(data, np.concatenate([[0], end[:-1]]).astype(np.int64) if len(raw) else end,
+                  np.array([len(r) for r in raw], np.int64))
+
+
 def window_names(name: np.ndarray, k: int) -> np.ndarray:
     """Names of all windows of k consecutive values."""
     n = len(name) - k + 1
