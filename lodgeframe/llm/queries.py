@@ -1,7 +1,7 @@
 """Queries over the operators, and their SQL where SQL can express them."""
 from __future__ import annotations
 
-from lodgeframe.llm import bitslice, line_quality, mixing, packing, pii
+from lodgeframe.llm import bitslice, langid, line_quality, mixing, packing, pii
 from lodgeframe.llm.staging import read_table
 
 
@@ -17,6 +17,10 @@ def op5_personal_data(spark, sf_dir):
     return pii.find(read_table(spark, sf_dir, "documents"))
 
 
+def op6_language_crf(spark, sf_dir):
+    return langid.identify(read_table(spark, sf_dir, "documents"))
+
+
 def op7_source_mixing(spark, sf_dir):
     return mixing.digest(mixing.mix_plan(read_table(spark, sf_dir, "documents")))
 
@@ -25,5 +29,5 @@ def op9_bit_sliced_search(spark, sf_dir):
     return bitslice.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op3_line_quality, op4_best_fit_packing, op5_personal_data, op7_source_mixing, op9_bit_sliced_search)}
+QUERIES = {f.__name__: f for f in (op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op9_bit_sliced_search)}
 ORACLE = {"op9_bit_sliced_search": bitslice.DIGEST_SQL, "op3_line_quality": line_quality.DIGEST_SQL, "op7_source_mixing": mixing.DIGEST_SQL}
