@@ -1,7 +1,7 @@
 """Queries over the operators, and their SQL where SQL can express them."""
 from __future__ import annotations
 
-from lodgeframe.llm import bitslice, langid, line_quality, mixing, packing, pii, toxicity
+from lodgeframe.llm import bitslice, kneser_ney, langid, line_quality, mixing, packing, pii, toxicity
 from lodgeframe.llm.staging import read_table
 
 
@@ -9,6 +9,10 @@ def op1_toxicity(spark, sf_dir):
     return toxicity.score(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "labels"))
 
 
+def op2_kneser_ney(spark, sf_dir):
+    return kneser_ney.score(read_table(spark, sf_dir, "documents"))
+
+
 def op3_line_quality(spark, sf_dir):
     return line_quality.digest(line_quality.judge(read_table(spark, sf_dir, "documents")))
 
@@ -33,5 +37,5 @@ def op9_bit_sliced_search(spark, sf_dir):
     return bitslice.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op9_bit_sliced_search)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_kneser_ney, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op9_bit_sliced_search)}
 ORACLE = {"op9_bit_sliced_search": bitslice.DIGEST_SQL, "op3_line_quality": line_quality.DIGEST_SQL, "op7_source_mixing": mixing.DIGEST_SQL}
