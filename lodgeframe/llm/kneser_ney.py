@@ -32,11 +32,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.llm import shared_arrays
+from lodgeframe.llm.blocks import as_batch, borders_of, by_range, exchange, merged, summed
 from lodgeframe.llm.staging import partitions_for, stage
 from lodgeframe.llm.words import CHUNK_BYTES, Words, chunks, words_of
 from lodgeframe.session import scratch_path
@@ -58,67 +58,6 @@ def tokens(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return name, first
 
 
-def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Distinct keys in order, with the sums of their values."""
-    order = np.argsort(key, kind="stable")
-    key = key[order]
-    head = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]])) if len(key) else np.empty(0, np.int64)
-    return (key[head], *(np.add.reduceat(v[order], head) if len(key) else v for v in values))
-
-
-def pack(key: np.ndarray, *values: np.ndarray) -> bytes:
-    """Sorted keys as differences, and counts, each byte plane by itself,
-    compressed."""
-    step = np.diff(key, prepend=np.uint64(0))
-    planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(key), -1).T).tobytes()
-              for a in (step, *(v.astype("<u4") for v in values))]
-    return zstandard.ZstdCompressor(level=1).compress(
-        len(key).to_bytes(8, "little") + b"".join(planes))
-
-
-def unpack(block: bytes, n_values: int) -> tuple[np.ndarray, ...]:
-    raw = zstandard.ZstdDecompressor().decompress(block)
-    n, at, out = int.from_bytes(raw[:8], "little"), 8, []
-    for width, kind in ((8, "<u8"), *((4, "<u4"),) * n_values):
-        plane = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)
-        out.append(np.ascontiguousarray(plane.T).view(kind).ravel())
-        at += n * width
-    return (np.cumsum(out[0], dtype=np.uint64), *(v.astype(np.int64) for v in out[1:]))
-
-
-def by_range(key: np.ndarray, borders: np.ndarray, *values: np.ndarray):
-    """(range, packed block) of each range that sorted keys meet."""
-    cut = [0, *np.searchsorted(key, borders).tolist(), len(key)]
-    for r, (a, b) in enumerate(zip(cut[:-1], cut[1:])):
-        if b > a:
-            yield r, pack(key[a:b], *(v[a:b] for v in values))
-
-
-def exchange(blocks: DataFrame, ranges: int) -> DataFrame:
-    """Blocks dealt so that each task holds whole ranges, sorted by range."""
-    return blocks.repartition(ranges, "range").sortWithinPartitions("range")
-
-
-def merged(batches, n_values: int):
-    """(range, keys, sums) for each range of a task's sorted blocks."""
-    held, own = [], None
-    for batch in batches:
-        for r, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            if r != own and held:
-                yield own, *summed(*(np.concatenate(c) for c in zip(*held)))
-                held = []
-            own = r
-            held.append(unpack(block, n_values))
-    if held:
-        yield own, *summed(*(np.concatenate(c) for c in zip(*held)))
-
-
-def _blocks(pairs) -> pa.RecordBatch:
-    pairs = list(pairs)
-    return pa.RecordBatch.from_arrays([pa.array([r for r, _ in pairs], pa.int32()),
-                                       pa.array([b for _, b in pairs], pa.binary())], names=["range", "block"])
-
-
 class Ranged:
     """Arrays sorted by key over several files, as one array."""
 
@@ -151,10 +90,6 @@ class Ranged:
         return [place, *out]
 
 
-def _borders(ranges: int, top: int = 1 << 64) -> np.ndarray:
-    return np.array([top * i // ranges for i in range(1, ranges)], np.uint64)
-
-
 def _writer(folder: str, fields: tuple[str, ...], tail=None):
     """Task function: merge blocks, write arrays, report each range's size,
     and what ``tail`` makes of them."""
@@ -198,14 +133,14 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     spark, text = docs.sparkSession, docs.select(F.col(text_col).alias("text"))
     folder = scratch_path(spark, "kneser-ney")
     ranges = partitions_for(text, "text")
-    borders = _borders(ranges)
+    borders = borders_of(ranges)
     sized = "range int, size bigint, total bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint"
 
     def count_words(batches):
         for chunk in chunks(batches, "text", COUNT_CHUNK):
             name, _ = tokens(words_of(chunk, "text", True))
             key, n = np.unique(name, return_counts=True)
-            yield _blocks(by_range(key, borders, n))
+            yield as_batch(by_range(key, borders, n))
 
     def word_report(r, key, values):
         (n,) = values
@@ -218,8 +153,8 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
     word_sizes = sorted((r["range"], r["size"]) for r in words)
     n_words, n_tokens = sum(n for _, n in word_sizes), sum(r["total"] for r in words)
     start, stride = n_words, n_words + 1
-    number_borders = _borders(ranges, max(stride, ranges))
-    bigram_borders = _borders(ranges, max(stride * max(n_words, 1), ranges))
+    number_borders = borders_of(ranges, max(stride, ranges))
+    bigram_borders = borders_of(ranges, max(stride * max(n_words, 1), ranges))
 
     def count_bigrams(batches):
         vocabulary = Ranged(f"{folder}/words", word_sizes, ("count",))
@@ -227,7 +162,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
             name, first = tokens(words_of(chunk, "text", True))
             ids = _numbers(vocabulary, name, borders)[0]
             key, n = np.unique(_bigrams(ids, first, start, max(n_words, 1)), return_counts=True)
-            yield _blocks(by_range(key, bigram_borders, n))
+            yield as_batch(by_range(key, bigram_borders, n))
 
     def pass_on(r, key, values):
         """Per word: context sums of this range's bigrams, and how many of them end in it."""
@@ -240,7 +175,7 @@ def train(docs: DataFrame, text_col: str = "text") -> Model:
                                                            ((n > 2) * one, zero), (zero, one))))
         parts = list(by_range(key2, number_borders, *sums))
         report = [(-1, np.array([r, len(key), int(n.sum()), *_count_classes(n)], "<i8").tobytes())]
-        return _blocks(report + parts)
+        return as_batch(report + parts)
 
     paired = exchange(text.mapInArrow(count_bigrams, "range int, block binary"), ranges)
     passed = stage(paired.mapInArrow(_writer(f"{folder}/bigrams", ("count",), pass_on),
@@ -289,13 +224,13 @@ def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
     """Per text: tokens, known tokens, base score, model score (log10)."""
     words, bigrams, sums = opened
     n, v = model.n_words, max(model.n_words, 1)
-    ids, count = _numbers(words, name, _borders(model.ranges))
+    ids, count = _numbers(words, name, borders_of(model.ranges))
     base = np.log10((count + 1) / (model.n_tokens + n + 1))
     known = np.flatnonzero(ids >= 0)
     before = np.concatenate([[n], ids[:-1]])
     before[first[:-1]] = n
-    number_borders = _borders(model.ranges, max(n + 1, model.ranges))
-    bigram_borders = _borders(model.ranges, max((n + 1) * v, model.ranges))
+    number_borders = borders_of(model.ranges, max(n + 1, model.ranges))
+    bigram_borders = borders_of(model.ranges, max((n + 1) * v, model.ranges))
 
     def looked(array: Ranged, key: np.ndarray, borders: np.ndarray, *fields: str) -> list[np.ndarray]:
         distinct, inverse = np.unique(key, return_inverse=True)

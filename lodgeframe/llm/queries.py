@@ -1,7 +1,7 @@
 """Queries over the operators, and their SQL where SQL can express them."""
 from __future__ import annotations
 
-from lodgeframe.llm import bitslice, kneser_ney, langid, line_quality, mixing, packing, pii, toxicity
+from lodgeframe.llm import bitslice, kneser_ney, langid, line_quality, mixing, packing, pii, recompression, toxicity
 from lodgeframe.llm.staging import read_table
 
 
@@ -37,5 +37,9 @@ def op9_bit_sliced_search(spark, sf_dir):
     return bitslice.top_k(read_table(spark, sf_dir, "embeddings"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_kneser_ney, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op9_bit_sliced_search)}
-ORACLE = {"op9_bit_sliced_search": bitslice.DIGEST_SQL, "op3_line_quality": line_quality.DIGEST_SQL, "op7_source_mixing": mixing.DIGEST_SQL}
+def op10_recompression(spark, sf_dir):
+    return recompression.remove_repeats(read_table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_kneser_ney, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op9_bit_sliced_search, op10_recompression)}
+ORACLE = {"op10_recompression": recompression.DIGEST_SQL, "op9_bit_sliced_search": bitslice.DIGEST_SQL, "op3_line_quality": line_quality.DIGEST_SQL, "op7_source_mixing": mixing.DIGEST_SQL}
