@@ -1,7 +1,7 @@
 """Queries over the operators, and their SQL where SQL can express them."""
 from __future__ import annotations
 
-from lodgeframe.llm import bitslice, kneser_ney, langid, line_quality, mixing, packing, pii, recompression, toxicity
+from lodgeframe.llm import bitslice, jaccard_join, kneser_ney, langid, line_quality, mixing, packing, pii, recompression, toxicity
 from lodgeframe.llm.staging import read_table
 
 
@@ -33,6 +33,10 @@ def op7_source_mixing(spark, sf_dir):
     return mixing.digest(mixing.mix_plan(read_table(spark, sf_dir, "documents")))
 
 
+def op8_parity_sketch_join(spark, sf_dir):
+    return jaccard_join.classes(read_table(spark, sf_dir, "documents"), k=4, percent=85)
+
+
 def op9_bit_sliced_search(spark, sf_dir):
     return bitslice.top_k(read_table(spark, sf_dir, "embeddings"))
 
@@ -41,5 +45,5 @@ def op10_recompression(spark, sf_dir):
     return recompression.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_kneser_ney, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op9_bit_sliced_search, op10_recompression)}
+QUERIES = {f.__name__: f for f in (op1_toxicity, op2_kneser_ney, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op8_parity_sketch_join, op9_bit_sliced_search, op10_recompression)}
 ORACLE = {"op10_recompression": recompression.DIGEST_SQL, "op9_bit_sliced_search": bitslice.DIGEST_SQL, "op3_line_quality": line_quality.DIGEST_SQL, "op7_source_mixing": mixing.DIGEST_SQL}

@@ -32,21 +32,19 @@ result. Extra columns are ignored.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.blocks import borders_of, by_range, exchange, unpack
+from lodgeframe.llm.blocks import borders_of, by_range
+from lodgeframe.llm.packs import answer, flags_of, opened, packs, rows_of, sent, shared_by_two
 from lodgeframe.llm.staging import partitions_for, stage
-from lodgeframe.llm.words import CHUNK_BYTES, END_ID, Words, chunks, ids_of, mix, text_buffer, window_names
+from lodgeframe.llm.words import END_ID, Words, mix, window_names
 
 WINDOW = 13
 ROUNDS = 2
-PACK_BYTES = 2 * CHUNK_BYTES
 SYMBOL_BITS = 48
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _FAR = np.int64(1 << 40)
@@ -114,92 +112,6 @@ def candidate_windows(w: Words, window: int, shared: np.ndarray, place, ctx_from
     return at, window_names(w.name, window)[at]
 
 
-def packs(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """pack, ids, bounds, texts (compressed): a row per few megabytes of text."""
-    def run(batches):
-        for chunk in chunks(batches, "text", PACK_BYTES):
-            data, bounds = text_buffer(chunk.column(1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([uuid.uuid4().int >> 65], pa.int64()), pa.array([ids_of(chunk, "doc_id").tobytes()]),
-                 pa.array([bounds.tobytes()]), pa.array([zstandard.ZstdCompressor(level=1).compress(data.tobytes())])],
-                names=["pack", "ids", "bounds", "texts"])
-
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")) \
-        .mapInArrow(run, "pack bigint, ids binary, bounds binary, texts binary")
-
-
-def _opened(row: dict) -> tuple[np.ndarray, Words]:
-    data = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["texts"]), np.uint8)
-    return np.frombuffer(row["ids"], np.int64), Words(data, np.frombuffer(row["bounds"], np.int64))
-
-
-def _flags(replies, n: int) -> np.ndarray:
-    """A pack's reply bits in key order, from its ranges' replies."""
-    parts = [np.unpackbits(np.frombuffer(r["bits"], np.uint8), count=r["size"]) for r in
-             sorted(replies or [], key=lambda r: r["range"])]
-    flags = np.concatenate(parts).astype(bool) if parts else np.zeros(0, bool)
-    assert len(flags) == n, "a reply is missing"
-    return flags
-
-
-def _rows(batches):
-    for batch in batches:
-        for i in range(batch.num_rows):
-            yield batch.slice(i, 1).to_pylist()[0]
-
-
-def _sent(pack: int, blocks) -> pa.RecordBatch:
-    blocks = list(blocks)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([pack] * len(blocks), pa.int64()), pa.array([r for r, _ in blocks], pa.int32()),
-         pa.array([b for _, b in blocks], pa.binary())], names=["pack", "range", "block"])
-
-
-def answer(blocks: DataFrame, ranges: int, judge) -> DataFrame:
-    """Per pack its replies. ``judge(keys, values, head, group)`` sees a
-    range's entries in key order and gives a bit for each."""
-    def run(batches):
-        held, own = [], None
-
-        def replies():
-            unpacked = [unpack(b, 1) for _, b in held]
-            keys = np.concatenate([k for k, _ in unpacked])
-            values = np.concatenate([v for _, v in unpacked])
-            order = np.argsort(keys, kind="stable")
-            ordered = keys[order]
-            head = np.flatnonzero(np.concatenate([[True], ordered[1:] != ordered[:-1]]))
-            group = np.repeat(np.arange(len(head)), np.diff(np.append(head, len(keys))))
-            bits = np.empty(len(keys), bool)
-            bits[order] = judge(values[order], head, group)
-            ends = np.cumsum([len(k) for k, _ in unpacked])
-            for (pack, _), a, b in zip(held, ends - [len(k) for k, _ in unpacked], ends):
-                yield pack, own, int(b - a), np.packbits(bits[a:b]).tobytes()
-
-        def batch_of(rows):
-            rows = list(rows)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int32(), pa.int32(), pa.binary()))],
-                names=["pack", "range", "size", "bits"])
-
-        for batch in batches:
-            for p, r, b in zip(*(c.to_pylist() for c in batch.columns)):
-                if r != own and held:
-                    yield batch_of(replies())
-                    held = []
-                own = r
-                held.append((p, b))
-        if held:
-            yield batch_of(replies())
-
-    return (exchange(blocks, ranges).mapInArrow(run, "pack bigint, range int, size int, bits binary")
-            # As many replies per pack as there are ranges.
-            .groupBy("pack").agg(F.collect_list(F.struct("range", "size", "bits")).alias("replies")))
-
-
-def _judge_shared(values, head, group):
-    return (np.add.reduceat(values, head) >= 2)[group]
-
-
 def _judge_smaller(values, head, group):
     return np.minimum.reduceat(values, head)[group] < values
 
@@ -213,18 +125,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     packed = stage(packs(docs, id_col, text_col), "recompression-packs")
 
     def send_symbols(batches):
-        for row in _rows(batches):
-            _, w = _opened(row)
+        for row in rows_of(batches):
+            _, w = opened(row)
             key, n, *_ = symbol_keys(w, rounds)
-            yield _sent(row["pack"], by_range(key, borders, n))
+            yield sent(row["pack"], by_range(key, borders, n))
 
     shared = stage(answer(packed.mapInArrow(send_symbols, "pack bigint, range int, block binary"),
-                          ranges, _judge_shared), "recompression-symbols")
+                          ranges, shared_by_two), "recompression-symbols")
 
     def windows(row):
-        ids, w = _opened(row)
+        ids, w = opened(row)
         key, _, place, ctx_from, ctx_to = symbol_keys(w, rounds)
-        at, name = candidate_windows(w, window, _flags(row["replies"], len(key)), place, ctx_from, ctx_to)
+        at, name = candidate_windows(w, window, flags_of(row["replies"], len(key)), place, ctx_from, ctx_to)
         own = ids[w.text_of()[at]]
         order = np.lexsort((own, name))
         named, least = name[order], own[order]
@@ -234,18 +146,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return ids, w, at, own, group, named[head], least[head]
 
     def send_windows(batches):
-        for row in _rows(batches):
+        for row in rows_of(batches):
             *_, name, least = windows(row)
-            yield _sent(row["pack"], by_range(name, borders, least))
+            yield sent(row["pack"], by_range(name, borders, least))
 
     marked = packed.join(shared, "pack", "left")
     smaller = answer(marked.mapInArrow(send_windows, "pack bigint, range int, block binary"),
                      ranges, _judge_smaller).withColumnRenamed("replies", "smaller")
 
     def drop(batches):
-        for row in _rows(batches):
+        for row in rows_of(batches):
             ids, w, at, own, group, name, least = windows(row)
-            elsewhere = _flags(row["smaller"], len(name))
+            elsewhere = flags_of(row["smaller"], len(name))
             gone = at[elsewhere[group] | (least[group] < own)]
             change = np.zeros(len(w.name) + 1, np.int64)
             change[gone] += 1
