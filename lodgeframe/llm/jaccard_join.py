@@ -26,8 +26,8 @@ signature, but no component, are compared, block by block of a signature's
 nodes. Pairs inside a component need no test: they cannot change it. So no
 link between different texts is lost.
 
-Comparing. Each node also has a bit sketch (each shingle flips one bit) of 2
-to 4 bits per shingle; a wider one folds onto a narrower. A pair whose bit
+Comparing. Each node also has a bit sketch (each shingle flips one bit) of 4
+to 8 bits per shingle; a wider one folds onto a narrower. A pair whose bit
 sketches differ in more than d bits cannot link and is never sent on; the rest
 are verified on their exact sets.
 
@@ -138,8 +138,8 @@ def signatures(text: np.ndarray, name: np.ndarray, size: np.ndarray, percent: in
 
 
 def bit_sketches(text: np.ndarray, name: np.ndarray, size: np.ndarray) -> list[bytes]:
-    """Per text its parity bits: 4 * 2**band, but 64 at least."""
-    bits = np.maximum(4 << np.floor(np.log2(np.maximum(size, 1))).astype(np.int64), 64)
+    """Per text its parity bits: 8 * 2**band, but 64 at least."""
+    bits = np.maximum(8 << np.floor(np.log2(np.maximum(size, 1))).astype(np.int64), 64)
     at = np.concatenate([[0], np.cumsum(bits)])
     flips = np.bincount(at[text] + (mix(name + _SALT[2]) % bits[text].astype(np.uint64)).astype(np.int64),
                         minlength=int(at[-1]))
