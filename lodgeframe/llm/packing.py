@@ -4,7 +4,8 @@ Every text becomes token ids plus an end id; only documents longer than a
 sequence are cut, into full pieces and a rest. Pieces are dealt by hash into
 shards of about ``shard_pieces`` and packed per shard, longest first: a piece
 goes to the open sequence whose choice leaves the smallest sum, over residual
-gaps g, of (open sequences with gap g) squared. Closed (full) sequences do not
+gaps g, of (open sequences with gap g) squared, and to a new one if none has
+room. Closed (full) sequences do not
 count. Each shard's work is bounded and shards are independent, so shards grow
 in number with the data, not in size.
 
@@ -138,18 +139,17 @@ def sum_of_squares(lengths: np.ndarray, sequence: int = SEQUENCE) -> tuple[np.nd
     """Sequence number and offset for each length, placed in the given order.
 
     Placing a piece of length s in a gap g changes the sum by
-    2 * (N[g - s] - N[g]) + 2, by 1 - 2 * N[g] if it fills the gap, and by
-    2 * N[sequence - s] + 1 in a new sequence; ties go to the smallest gap."""
+    2 * (N[g - s] - N[g]) + 2, and by 1 - 2 * N[g] if it fills the gap; ties go
+    to the smallest gap. A new sequence is opened where no open one has room:
+    longest first, that takes fewer sequences than opening by the sum too."""
     count = np.zeros(sequence + 1, np.int64)
     open_in: list[list[int]] = [[] for _ in range(sequence + 1)]
     where = np.empty(len(lengths), np.int64)
     offset = np.empty(len(lengths), np.int64)
     made = 0
     for i, s in enumerate(lengths.tolist()):
-        best, gap = 2 * int(count[sequence - s]) + 1, sequence
-        if s == sequence:
-            best = 0
-        if count[s] and 1 - 2 * int(count[s]) <= best:
+        best, gap = 1 << 39, sequence
+        if count[s]:
             best, gap = 1 - 2 * int(count[s]), s
         held = count[s + 1:sequence]
         if len(held):
