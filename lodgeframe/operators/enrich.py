@@ -27,7 +27,7 @@ def with_group_average(df: DataFrame, by: Sequence[str], value: str, alias: str,
     """Attach a per-group mean to every row.
 
     ``form="join"`` (default, the scale form): a partial aggregate per group,
-    then a size-checked broadcast join. ``form="window"``: the
+    then an ordinary join, broadcast by measured size. ``form="window"``: the
     ``avg over (partition by ...)`` twin, which shuffles every row by the
     group key, so a few large groups become a few huge tasks.
     """

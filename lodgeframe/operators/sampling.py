@@ -2,22 +2,39 @@
 
 ``df.sample`` and ``randomSplit`` draw per partition, so the same seed
 gives different rows after a repartition. These operators decide from the
-row's key alone: an arithmetic hash ``((key mod 2^31) * 2654435761 + seed)
-mod 2^32``, the same in any engine and for any layout. Reducing the key
-mod 2^31 first keeps the product inside a signed 64-bit integer.
+row's key alone: ``h = ((key mod p) * A + B) mod p`` with p = 2^31 - 1. A and
+B are derived from the seed and the operation, so two seeds, or a sample and a
+split under one seed, are independent. Products stay below 2^62, so every
+engine computes the same number.
 """
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+import hashlib
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MULTIPLIER = 2654435761
-SPACE = 2 ** 32
+SPACE = 2 ** 31 - 1
+#: Prefixes of the hash space that sample_n counts.
+PREFIXES = 4096
+
+
+def hash_terms(seed: int, operation: str) -> tuple[int, int]:
+    """Multiplier and offset for a seed and an operation."""
+    raw = hashlib.sha256(f"{operation}:{int(seed)}".encode()).digest()
+    return (1 + int.from_bytes(raw[:8], "big") % (SPACE - 1), int.from_bytes(raw[8:16], "big") % SPACE)
+
+
+def key_hash(key: str, seed: int = 0, operation: str = "sample") -> Column:
+    a, b = hash_terms(seed, operation)
+    k = F.pmod(F.col(key).cast("long"), F.lit(SPACE))
+    return F.pmod(k * F.lit(a) + F.lit(b), F.lit(SPACE))
 
 
-def key_hash(key: str, seed: int = 0) -> Column:
-    k = F.pmod(F.col(key).cast("long"), F.lit(2 ** 31))
-    return F.pmod(k * F.lit(MULTIPLIER) + F.lit(int(seed)), F.lit(SPACE))
+def key_hash_sql(key: str, seed: int = 0, operation: str = "sample") -> str:
+    """The same hash as SQL text, for non-negative keys."""
+    a, b = hash_terms(seed, operation)
+    return f"(({key} % {SPACE}) * {a} + {b}) % {SPACE}"
 
 
 def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 0,
@@ -33,16 +50,23 @@ def sample_fraction(df: DataFrame, fraction: float, key: str, seed: int = 0,
 
 def sample_n(df: DataFrame, n: int, key: str, seed: int = 0) -> DataFrame:
     """At most ``n`` rows, those with the smallest key hash (ties by
-    key). A top-k: each task keeps ``n`` rows, no global sort."""
-    return (df.withColumn("_h", key_hash(key, seed))
-            .orderBy("_h", key).limit(n).drop("_h"))
+    key). Rows are counted per hash prefix first; only prefixes that are
+    needed for ``n`` rows go on, so little more than ``n`` rows in all meet in
+    the final top-k, however many tasks there are."""
+    hashed = df.withColumn("_h", key_hash(key, seed, "sample_n"))
+    prefix = F.floor(F.coalesce("_h", F.lit(0)) / F.lit(SPACE // PREFIXES + 1))
+    counts = hashed.groupBy(prefix.alias("_p")).agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(Window.orderBy("_p").rowsBetween(Window.unboundedPreceding, -1))
+    last = (counts.withColumn("_b", F.coalesce(before, F.lit(0))).filter(F.col("_b") < n)
+            .agg(F.max("_p"))).scalar()
+    return hashed.filter(prefix <= last).orderBy("_h", key).limit(n).drop("_h")
 
 
 def split(df: DataFrame, train_fraction: float, key: str, seed: int = 0,
           label: str = "split") -> DataFrame:
     """Tag every row ``train`` or ``test``; disjoint and complete."""
     cut = F.lit(int(train_fraction * SPACE))
-    return df.withColumn(label, F.when(key_hash(key, seed) < cut, F.lit("train"))
+    return df.withColumn(label, F.when(key_hash(key, seed, "split") < cut, F.lit("train"))
                          .otherwise(F.lit("test")))
 
 

@@ -1,41 +1,24 @@
-"""Joins against derived lookup tables whose size is checked, not assumed.
+"""Joins against derived lookup tables (group averages, medians, centroids).
 
-``attach_lookup`` is used for group averages, medians and centroids: the
-lookup is an aggregate whose row count is the number of groups. It is
-cached, counted, and broadcast only when that count is within
-``max_broadcast_rows``; otherwise the join is left to a shuffle join,
-where adaptive execution splits any hot key's partition (skew join).
+The join is an ordinary one and starts no job while the plan is built:
+adaptive execution broadcasts the lookup when its measured size allows it, and
+otherwise shuffles, splitting a hot key's partition (skew join).
 """
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MAX_BROADCAST_ROWS = 200_000
-
-
-def sized(lookup: DataFrame, max_rows: int = MAX_BROADCAST_ROWS) -> tuple[DataFrame, bool]:
-    """Persist ``lookup`` and report whether it has at most ``max_rows`` rows.
-
-    Counting a ``limit(max_rows + 1)`` stops early on a large lookup.
-    """
-    lookup = lookup.persist(StorageLevel.MEMORY_AND_DISK)
-    small = lookup.limit(max_rows + 1).count() <= max_rows
-    return lookup, small
-
 
 def attach_lookup(df: DataFrame, lookup: DataFrame, on: Sequence[str] | str,
-                  how: str = "left", max_rows: int = MAX_BROADCAST_ROWS) -> DataFrame:
+                  how: str = "left") -> DataFrame:
     """Join ``lookup`` on ``on`` with null-safe key equality (a null group
     key matches its own aggregate, as a window partition would)."""
     on = [on] if isinstance(on, str) else list(on)
-    renamed = lookup.select(*[F.col(c).alias(f"_lk_{c}") if c in on else F.col(c)
-                              for c in lookup.columns])
-    renamed, small = sized(renamed, max_rows)
-    right = F.broadcast(renamed) if small else renamed
+    right = lookup.select(*[F.col(c).alias(f"_lk_{c}") if c in on else F.col(c)
+                            for c in lookup.columns])
     cond = None
     for c in on:
         term = df[c].eqNullSafe(right[f"_lk_{c}"])

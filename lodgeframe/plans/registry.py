@@ -233,7 +233,6 @@ P1_ZONES = ["AMERICA", "EUROPE"]
 P1_KINDS = ["Entire home/apt", "Private room"]
 P1_PRICE_MAX, P1_AVAIL_MIN, P1_OCC_MIN_PCT = 300, 30, 20
 P2_ZONES = ["ASIA"]
-HASH_SQL = "((id % 2147483648) * 2654435761 + {seed}) % 4294967296"
 
 
 def _sz_cte(min_rows: int = 30) -> str:
@@ -354,7 +353,7 @@ def a9_p4_value_bounds(spark, sf_dir):
 
 
 @register("a10_t2_color_range", f"""
-, smp AS (SELECT * FROM dash ORDER BY {HASH_SQL.format(seed=SEED)}, id LIMIT {MAP_SAMPLE_ROWS})
+, smp AS (SELECT * FROM dash ORDER BY {T.key_hash_sql('id', SEED, 'sample_n')}, id LIMIT {MAP_SAMPLE_ROWS})
 SELECT round(quantile_cont(price, 0.02), 6) AS color_low,
   round(quantile_cont(price, 0.95), 6) AS color_high FROM smp""")
 def a10_t2_color_range(spark, sf_dir):
@@ -514,19 +513,19 @@ def p3_match_share(spark, sf_dir):
 
 
 @register("t1_sample_fraction", f"""
-SELECT * FROM gold WHERE {HASH_SQL.format(seed=SEED)} < {int(0.1 * 2 ** 32)}""")
+SELECT * FROM gold WHERE {T.key_hash_sql('id', SEED)} < {int(0.1 * T.SPACE)}""")
 def t1_sample_fraction(spark, sf_dir):
     return T.sample_fraction(L.gold(spark, sf_dir), 0.1, COLS.key, SEED)
 
 
 @register("t2_sample_n", f"""
-SELECT * FROM dash ORDER BY {HASH_SQL.format(seed=SEED)}, id LIMIT {MAP_SAMPLE_ROWS}""")
+SELECT * FROM dash ORDER BY {T.key_hash_sql('id', SEED, 'sample_n')}, id LIMIT {MAP_SAMPLE_ROWS}""")
 def t2_sample_n(spark, sf_dir):
     return T.sample_n(L.dash(spark, sf_dir), MAP_SAMPLE_ROWS, COLS.key, SEED)
 
 
 @register("t3_split", f"""
-SELECT *, CASE WHEN {HASH_SQL.format(seed=SEED)} < {int(0.8 * 2 ** 32)} THEN 'train'
+SELECT *, CASE WHEN {T.key_hash_sql('id', SEED, 'split')} < {int(0.8 * T.SPACE)} THEN 'train'
   ELSE 'test' END AS split FROM gold""")
 def t3_split(spark, sf_dir):
     return T.split(L.gold(spark, sf_dir), 0.8, COLS.key, SEED)

@@ -39,13 +39,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     On a cluster this comes from ``spark.checkpoint.dir`` (a shared file
-    system every executor can reach). Only when the session leaves it unset,
-    as in local tests, do we create one and register it.
+    system every executor can reach). A local session that leaves it
+    unset, as in tests, gets a temporary one; any other raises an error.
     """
     root = spark.conf.get(CHECKPOINT_CONF, None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise ValueError(f"set {CHECKPOINT_CONF} to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="lodgeframe-ckpt-")
         spark.conf.set(CHECKPOINT_CONF, root)
     if not spark.sparkContext.getCheckpointDir():

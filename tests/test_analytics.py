@@ -1,4 +1,5 @@
 """Aggregations, rankings, lookups, sampling and their properties."""
+import pytest
 from pyspark.sql import functions as F
 
 from lodgeframe.columns import COLS
@@ -112,20 +113,21 @@ def test_percentile_approx_matches_exact_on_integer_prices(spark, sf_small):
     assert a == b
 
 
-def test_box_stats_auto_mixes_exact_and_approx(spark):
-    from lodgeframe.operators import explore as XX
-    rows = [(float(i % 3), float(i)) for i in range(2000)]
-    df = spark.createDataFrame(rows, "few double, many double")
-    assert XX.exact_columns(df, ["few", "many"], limit=100) == ["few"]
-    old = XX.EXACT_DISTINCT_LIMIT
-    try:
-        XX.EXACT_DISTINCT_LIMIT = 100
-        got = {r.column_name: r for r in XX.box_stats(df, ["few", "many"], exact="auto").collect()}
-    finally:
-        XX.EXACT_DISTINCT_LIMIT = old
-    exact = {r.column_name: r for r in XX.box_stats(df, ["few", "many"], exact=True).collect()}
-    assert got["few"].q1 == exact["few"].q1 and got["few"].q3 == exact["few"].q3
-    assert abs(got["many"].median - exact["many"].median) <= 2.0
+def test_seeds_and_operations_are_independent(spark):
+    df = spark.range(20000).withColumnRenamed("id", "k")
+    keys = lambda d: {r.k for r in d.collect()}
+    one, two = keys(T.sample_fraction(df, 0.1, "k", 1)), keys(T.sample_fraction(df, 0.1, "k", 2))
+    assert 1700 < len(one) < 2300 and len(one & two) < 400
+    test = keys(T.split(df, 0.8, "k", 1).filter("split = 'test'"))
+    assert 0.12 < len(one & test) / len(one) < 0.28
+    assert keys(T.sample_n(df, 50, "k", 3)) == keys(T.sample_n(df.repartition(9), 50, "k", 3))
+    assert keys(T.sample_n(df, 50, "k", 3)) != keys(T.sample_n(df, 50, "k", 4))
+
+
+def test_pivot_refuses_an_unlisted_value(spark):
+    df = spark.createDataFrame([("a", "x", 1.0), ("a", "hotel", 2.0)], "r string, c string, v double")
+    with pytest.raises(Exception, match="not listed"):
+        X.pivot_median(df, "r", "c", "v", ["x"]).collect()
 
 
 def test_approx_median_rank_error_is_bounded(spark):
