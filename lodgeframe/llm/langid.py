@@ -267,7 +267,9 @@ def label_chunk(chunk: pa.RecordBatch, column: int, names: list[str], weights: n
 
 
 def sample(docs: DataFrame, text_col: str, label_col: str, per_label: int) -> list[tuple[str, str]]:
-    """About ``per_label`` labelled texts of each of the commonest labels."""
+    """At most about ``per_label`` distinct texts of each of the commonest
+    labels. Copies share a hash, so a drawn text comes once, however often it
+    is repeated."""
     known = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
     counts = (known.groupBy(label_col).agg(F.count("*").alias("n"))
               .orderBy(F.col("n").desc(), label_col).limit(MOST_LABELS).collect())
@@ -277,7 +279,7 @@ def sample(docs: DataFrame, text_col: str, label_col: str, per_label: int) -> li
                             (F.lit(r[0]), F.lit(min(1.0, per_label / r[1])))])
     chance = F.pmod(F.xxhash64(text_col, F.lit(29)), F.lit(1 << 30)) / float(1 << 30)
     picked = known.filter(chance < F.coalesce(shares[F.col(label_col)], F.lit(0.0)))
-    return sorted((r[0], r[1]) for r in picked.select(label_col, text_col).collect())
+    return sorted((r[0], r[1]) for r in picked.select(label_col, text_col).distinct().collect())
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
