@@ -13,8 +13,9 @@ to. Trees and calibration are Spark ML's; every document is then scored by
 the JVM, with one Python pass for the features and no shuffle.
 
 Edge cases: a null or empty text gets the features of an empty one; labels
-without a document, and null labels, teach nothing; repeated labels count as
-often as they stand. A null id is not held out and has no label. Without
+without a document, and null labels, teach nothing; an id labelled more than
+once counts once, as toxic if any label says so, and teaches the least of its
+texts if documents share it. A null id is not held out and has no label. Without
 labelled rows of both classes every score is the share of class 1 (0 if there
 is none). Extra columns are ignored.
 """
@@ -175,12 +176,15 @@ def draw_sample(docs: DataFrame, labels: DataFrame, rate: dict[int, float]) -> D
     """label, text, part in [0, 1): rows of each class at its rate."""
     chance = F.pmod(F.xxhash64("doc_id", F.lit(11)), F.lit(1 << 30)) / float(1 << 30)
     share = F.when(F.col("label") == 1, rate[1]).otherwise(rate[0])
-    # About 2 * per_class narrow rows, so broadcasting them is bounded.
+    # Ids are unique here: about 2 * per_class narrow rows, so broadcasting them is bounded.
     drawn = labels.filter(chance < share).select(
         F.col("doc_id").alias("labelled"), "label",
         (F.pmod(F.xxhash64("doc_id", F.lit(12)), F.lit(1 << 30)) / float(1 << 30)).alias("part"))
+    # An id that many documents share gives one text, so the sample stays bounded.
     return (docs.join(F.broadcast(drawn), docs["doc_id"] == F.col("labelled"))
-            .select("label", F.coalesce("text", F.lit("")).alias("text"), "part"))
+            .groupBy("labelled").agg(F.min("label").alias("label"), F.min("part").alias("part"),
+                                     F.min(F.coalesce("text", F.lit(""))).alias("text"))
+            .select("label", "text", "part"))
 
 
 def _constant(out: DataFrame, share: float, cut: float) -> DataFrame:
@@ -195,6 +199,7 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     labels = labels.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(label_col).cast("int").alias("label"))
     out = docs.withColumn("held_out", held_out(F.col("doc_id")))
     usable = labels.filter(~held_out(F.col("doc_id")) & F.col("label").isin(0, 1) & F.col("doc_id").isNotNull())
+    usable = usable.groupBy("doc_id").agg(F.max("label").alias("label"))
     counts = {r[0]: r[1] for r in usable.groupBy("label").count().collect()}
     if len(counts) < 2:
         return _constant(out, float(1 in counts), cut)

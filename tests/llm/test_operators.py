@@ -228,6 +228,13 @@ def test_toxicity_learns_held_out_texts(spark):
     assert all(0 <= r.score <= 1 and r.predicted == (r.doc_id % 3 == 0) for r in rows)
 
 
+def test_toxicity_sample_holds_an_id_once(spark):
+    docs = spark.createDataFrame([(1, "b"), (1, "a")] * 50 + [(2, None)], "doc_id bigint, text string")
+    marked = labels(spark, [(1, 0, 1), (2, 0, 0)]).selectExpr("doc_id", "toxic AS label")
+    drawn = toxicity.draw_sample(docs, marked, {0: 1.0, 1: 1.0})
+    assert sorted((r.label, r.text) for r in drawn.collect()) == [(0, ""), (1, "a")]
+
+
 def test_mix_emits_what_the_plan_takes(docs):
     plan = {r.doc_id: r.copies for r in mixing.mix_plan(docs).collect()}
     got = Counter(r.doc_id for r in mixing.mix(docs).collect())
