@@ -16,7 +16,6 @@ from collections.abc import Sequence
 
 from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import (IDF, HashingTF, OneHotEncoder, RegexTokenizer,
                                 StopWordsRemover, StringIndexer, VectorAssembler)
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
@@ -25,7 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import NumericType
 
 from lodgeframe.columns import COLS, ListingColumns, TOP_IMPORTANCES
-from lodgeframe.operators.sampling import train_test
+from lodgeframe.operators.sampling import SPACE, key_hash, train_test
 from lodgeframe.session import checkpoint_root
 
 LABEL = "price_log"
@@ -94,15 +93,26 @@ def fit(train: DataFrame, stages: list, est) -> PipelineModel:
     return Pipeline(stages=list(stages) + [est]).fit(train)
 
 
-def evaluate(predictions: DataFrame, label: str = LABEL, plus_one: bool = True) -> dict:
-    """R2 and RMSE on the log label; MAE back in price units (``expm1``
-    inverts an ``ln(1 + price)`` label, ``exp`` an ``ln(price)`` one)."""
-    ev = RegressionEvaluator(labelCol=label, predictionCol="prediction")
+def metrics(predictions: DataFrame, label: str = LABEL, plus_one: bool = True) -> DataFrame:
+    """One row (r2, rmse, mae_price, n) from one aggregation. R2 and
+    RMSE are on the log label, MAE back in price units (``expm1`` inverts an
+    ``ln(1 + price)`` label, ``exp`` an ``ln(price)`` one). A constant label
+    gives a null R2, no rows give nulls."""
     back = F.expm1 if plus_one else F.exp
-    mae = predictions.agg(F.avg(F.abs(back(label) - back("prediction")))).first()[0]
-    return {"r2": ev.setMetricName("r2").evaluate(predictions),
-            "rmse": ev.setMetricName("rmse").evaluate(predictions),
-            "mae_price": float(mae) if mae is not None else math.nan}
+    y, p = F.col(label), F.col("prediction")
+    squared = (y - p) * (y - p)
+    both = predictions.filter(y.isNotNull() & p.isNotNull())
+    return both.agg(
+        (1 - F.try_divide(F.avg(squared), F.var_pop(y))).alias("r2"),
+        F.sqrt(F.avg(squared)).alias("rmse"),
+        F.avg(F.abs(back(y) - back(p))).alias("mae_price"),
+        F.count(F.lit(1)).alias("n"))
+
+
+def evaluate(predictions: DataFrame, label: str = LABEL, plus_one: bool = True) -> dict:
+    """The row of ``metrics`` as a dict; NaN where it is null."""
+    row = metrics(predictions, label, plus_one).first()
+    return {k: math.nan if row[k] is None else row[k] for k in ("r2", "rmse", "mae_price", "n")}
 
 
 def compare_models(df: DataFrame, kinds: Sequence[str] = ("lr", "rf", "gbt"),
@@ -128,10 +138,9 @@ def compare_models(df: DataFrame, kinds: Sequence[str] = ("lr", "rf", "gbt"),
             model = fit(train, stages, estimator(kind, iteration, label))
             pred = model.transform(test).persist(StorageLevel.MEMORY_AND_DISK)
             m = evaluate(pred, label)
-            n_scored = pred.count()
             pred.unpersist()
             rows.append((MODEL_NAMES[kind], iteration, m["r2"], m["rmse"], m["mae_price"],
-                         n_train, n_test, n_test - n_scored))
+                         n_train, n_test, n_test - m["n"]))
     finally:
         data.unpersist()
     return spark.createDataFrame(
@@ -189,10 +198,9 @@ def prediction_pairs(predictions: DataFrame, fraction: float, key: str = COLS.ke
                      label: str = LABEL) -> DataFrame:
     """A key-hash sample of (label, prediction) pairs with the common
     axis range (min and max over both), for error plots."""
-    # An independent draw: the split already used the linear key hash, so
-    # its test rows all sit in one band of it; xxhash64 of the key does not.
-    h = F.pmod(F.xxhash64(F.col(key), F.lit(SEED)), F.lit(2 ** 32))
-    smp = predictions.select(key, label, "prediction").filter(h < F.lit(int(fraction * 2 ** 32)))
+    # Its own operation name makes the draw independent of the split's.
+    h = key_hash(key, SEED, "prediction_pairs")
+    smp = predictions.select(key, label, "prediction").filter(h < F.lit(int(fraction * SPACE)))
     axis = smp.agg(F.struct(F.least(F.min(label), F.min("prediction")).alias("lo"),
                             F.greatest(F.max(label), F.max("prediction")).alias("hi"))).scalar()
     with_axis = smp.select(key, label, "prediction", axis.alias("_axis"))

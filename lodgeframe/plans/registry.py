@@ -715,9 +715,137 @@ def j3_estimate_range(spark, sf_dir):
 
 
 # --------------------------------------------------------------------------
-# Machine learning (M1-M16, S10, T6). No SQL twin: rows-only checks, plus
-# unit tests for finite metrics, round trips and top-k sizes.
+# Machine learning (M1-M16, S10, T6). Stages and metrics that SQL can express
+# have their own queries with a twin; fitted models are checked by unit tests.
 # --------------------------------------------------------------------------
+_IN_TRAIN = f"{T.key_hash_sql('id', SEED, 'split')} < {int(0.8 * T.SPACE)}"
+_INDEX_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS label, "
+    f"CAST(row_number() OVER (ORDER BY count(*) DESC, {c}) - 1 AS DOUBLE) AS idx, "
+    f"count(*) OVER () AS n_labels FROM gold WHERE {_IN_TRAIN} GROUP BY {c}"
+    for c in M.CATEGORICAL)
+
+
+def _indexed(spark, sf_dir) -> DataFrame:
+    """Gold rows with the index and the one-hot slot of each categorical
+    column, both fitted on the training part."""
+    from pyspark.ml import Pipeline
+    g = L.gold(spark, sf_dir).select(COLS.key, *M.CATEGORICAL)
+    train, _ = T.train_test(g, 0.8, COLS.key, SEED)
+    stages = M.feature_stages(g, numeric=[])[:-1]
+    return Pipeline(stages=stages).fit(train).transform(g)
+
+
+@register("m1_string_index", f"""
+SELECT g.column_name, g.label, coalesce(i.idx, m.n_labels) AS idx, g.n FROM (
+  {" UNION ALL ".join(f"SELECT '{c}' AS column_name, {c} AS label, count(*) AS n FROM gold GROUP BY {c}"
+                      for c in M.CATEGORICAL)}) g
+LEFT JOIN ({_INDEX_SQL}) i ON g.column_name = i.column_name AND g.label = i.label
+JOIN (SELECT DISTINCT column_name, CAST(n_labels AS DOUBLE) AS n_labels FROM ({_INDEX_SQL})) m
+  ON g.column_name = m.column_name""")
+def m1_string_index(spark, sf_dir):
+    """Index by frequency in the training part, ties by label; a label unseen
+    there gets the number of labels."""
+    pairs = ", ".join(f"'{c}', `{c}`, `{c}_idx`" for c in M.CATEGORICAL)
+    long = _indexed(spark, sf_dir).selectExpr(
+        f"stack({len(M.CATEGORICAL)}, {pairs}) AS (column_name, label, idx)")
+    return long.groupBy("column_name", "label", "idx").agg(F.count(F.lit(1)).alias("n"))
+
+
+@register("m2_one_hot", f"""
+SELECT g.id, (SELECT CAST(max(n_labels) AS INTEGER) FROM ({_INDEX_SQL})
+              WHERE column_name = '{COLS.kind}') AS n_slots,
+  CAST(CASE WHEN i.label IS NULL THEN 0 ELSE 1 END AS DOUBLE) AS total, CAST(i.idx AS INTEGER) AS slot
+FROM gold g LEFT JOIN ({_INDEX_SQL}) i ON i.column_name = '{COLS.kind}' AND i.label = g.{COLS.kind}""")
+def m2_one_hot(spark, sf_dir):
+    """Per listing the size of the one-hot vector of its kind and the slot set."""
+    from pyspark.ml.functions import vector_to_array
+    arr = vector_to_array(f"{COLS.kind}_ohe")
+    at = F.array_position(arr, F.lit(1.0)).cast("int") - 1
+    return _indexed(spark, sf_dir).select(
+        COLS.key, F.size(arr).alias("n_slots"),
+        F.aggregate(arr, F.lit(0.0), lambda a, v: a + v).alias("total"),
+        F.when(at >= 0, at).alias("slot"))
+
+
+_ASSEMBLED = [COLS.lat, COLS.lon, COLS.value, COLS.nights, COLS.reviews, COLS.reviews_per_month]
+
+
+@register("m3_assemble_skipped", f"""
+SELECT CASE WHEN {_IN_TRAIN} THEN 'train' ELSE 'test' END AS split, count(*) AS n_rows,
+  count(*) FILTER (WHERE {" OR ".join(f"{c} IS NULL" for c in _ASSEMBLED)}) AS n_skipped,
+  CAST({len(_ASSEMBLED)} AS INTEGER) AS n_features
+FROM typed GROUP BY split""")
+def m3_assemble_skipped(spark, sf_dir):
+    """Rows of each part that the assembler skips for a missing feature."""
+    from pyspark.ml.functions import vector_to_array
+    tagged = T.split(Q.cast_columns(L.raw(spark, sf_dir)), 0.8, COLS.key, SEED)
+    assembler = M.feature_stages(tagged, categorical=[], numeric=_ASSEMBLED)[-1]
+    kept = assembler.transform(tagged).groupBy("split").agg(
+        F.count(F.lit(1)).alias("n_kept"), F.max(F.size(vector_to_array("features"))).alias("n_features"))
+    rows = tagged.groupBy("split").agg(F.count(F.lit(1)).alias("n_rows"))
+    return rows.join(kept, "split", "left").select(
+        "split", "n_rows", (F.col("n_rows") - F.coalesce("n_kept", F.lit(0))).alias("n_skipped"),
+        "n_features")
+
+
+@register("m4_m5_words", r"""
+SELECT id, CAST(len(regexp_extract_all(lower(name), '[a-z0-9_]+')) AS INTEGER) AS n_words,
+  CAST(len(regexp_extract_all(lower(name), '[a-z0-9_]+'))
+       - len(regexp_extract_all(lower(name), '\bwith\b')) AS INTEGER) AS n_kept
+FROM gold""")
+def m4_m5_words(spark, sf_dir):
+    """Words of a name, and those left after the stop words (of which only
+    "with" occurs in listing names)."""
+    g = L.gold(spark, sf_dir).select(COLS.key, COLS.name)
+    tokens, stop = M.feature_stages(g, categorical=[], text=COLS.name, numeric=[])[:2]
+    return stop.transform(tokens.transform(g)).select(
+        COLS.key, F.size("words").alias("n_words"), F.size("filtered_words").alias("n_kept"))
+
+
+def _fixed_predictions(spark, sf_dir) -> DataFrame:
+    """Gold keys and labels with a prediction both engines can compute."""
+    return L.gold(spark, sf_dir).select(
+        COLS.key, M.LABEL, (F.floor(F.col(M.LABEL) * 2) / F.lit(2.0)).alias("prediction"))
+
+
+_FIXED_SQL = "SELECT id, price_log, floor(price_log * 2) / 2 AS prediction FROM gold"
+
+
+@register("m11_metrics", f"""
+SELECT round(1 - avg((price_log - prediction) * (price_log - prediction)) / var_pop(price_log), 6) AS r2,
+  round(sqrt(avg((price_log - prediction) * (price_log - prediction))), 6) AS rmse,
+  round(avg(abs(exp(price_log) - exp(prediction))), 4) AS mae_price, count(*) AS n
+FROM ({_FIXED_SQL})""")
+def m11_metrics(spark, sf_dir):
+    m = M.metrics(_fixed_predictions(spark, sf_dir))
+    return m.select(F.round("r2", 6).alias("r2"), F.round("rmse", 6).alias("rmse"),
+                    F.round("mae_price", 4).alias("mae_price"), "n")
+
+
+@register("m16_sampled_pairs", f"""
+SELECT id, price_log, prediction, least(min(price_log) OVER (), min(prediction) OVER ()) AS axis_min,
+  greatest(max(price_log) OVER (), max(prediction) OVER ()) AS axis_max
+FROM ({_FIXED_SQL}) WHERE {T.key_hash_sql('id', SEED, 'prediction_pairs')} < {int(0.1 * T.SPACE)}""")
+def m16_sampled_pairs(spark, sf_dir):
+    return M.prediction_pairs(_fixed_predictions(spark, sf_dir), 0.1)
+
+
+@register("s10_model_mismatches", f"""
+SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatches FROM gold WHERE NOT ({_IN_TRAIN})""")
+def s10_model_mismatches(spark, sf_dir):
+    """Rows on which the saved and reloaded pipeline predicts otherwise than
+    the fitted one."""
+    g = L.gold(spark, sf_dir)
+    train, test = T.train_test(g, 0.8, COLS.key, SEED)
+    model = M.fit(train, M.feature_stages(g), M.estimator("lr", 1))
+    path = scratch_path(spark, "model")
+    M.save_model(model, path)
+    own = model.transform(test).select(COLS.key, F.col("prediction").alias("own"))
+    again = M.load_model(path).transform(test).select(COLS.key, "prediction")
+    return own.join(again, COLS.key, "full").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(~F.col("own").eqNullSafe(F.col("prediction"))).alias("n_mismatches"))
 
 
 @register("m1_m3_m8_m11_linear_baseline")
