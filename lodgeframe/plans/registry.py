@@ -301,6 +301,11 @@ def a6_t5_dearest_subzones(spark, sf_dir):
     return R.rank_subzones(L.dash(spark, sf_dir), n=12, cheapest=False)
 
 
+@register("a6_t5_ten_dearest_subzones", _rank_sql(10, False))
+def a6_t5_ten_dearest_subzones(spark, sf_dir):
+    return R.rank_subzones(L.dash(spark, sf_dir), n=10, cheapest=False)
+
+
 _SCORE_CTES = """
 , st AS (
   SELECT neighbourhood, neighbourhood_group, median(price) AS mp, avg(availability_365) AS ma,
@@ -324,6 +329,12 @@ def a7_compromise_score(spark, sf_dir):
     return R.compromise_score(L.dash(spark, sf_dir))
 
 
+@register("a7_t5_best_subzones", _SCORE_CTES + """
+SELECT * FROM scored ORDER BY score DESC, neighbourhood, neighbourhood_group LIMIT 12""")
+def a7_t5_best_subzones(spark, sf_dir):
+    return R.compromise_score(L.dash(spark, sf_dir)).limit(12)
+
+
 @register("f18_t5_recommendations", _SCORE_CTES + """
 SELECT neighbourhood AS subzone, neighbourhood_group AS zone,
   round(median_price, 0) AS median_price, round(mean_availability, 0) AS availability_days,

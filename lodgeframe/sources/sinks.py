@@ -5,9 +5,14 @@ from __future__ import annotations
 import logging
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lodgeframe.columns import COLS, MIN_NIGHTS_HI, MIN_NIGHTS_LO, PRICE_MIN, ListingColumns
+from lodgeframe.operators.clean import listing_fills
+
 log = logging.getLogger(__name__)
 
 
@@ -42,8 +47,10 @@ def write_small(df: DataFrame, path: str) -> None:
 
 
 def quality_report(spark: SparkSession, run: DataFrame, before: DataFrame,
-                   after: DataFrame) -> DataFrame:
-    """One-row report: run summary plus per-column metrics before and after.
+                   after: DataFrame, cols: ListingColumns = COLS,
+                   write_mode: str = "overwrite") -> DataFrame:
+    """One-row report: run summary, the cleaning rules and the user, plus
+    per-column metrics before and after.
 
     ``run`` is the one-row retention summary (Q3); ``before``/``after`` are
     null profiles (Q1) in long form. Column metrics are nested as arrays of
@@ -54,8 +61,14 @@ def quality_report(spark: SparkSession, run: DataFrame, before: DataFrame,
             F.col("position"), F.col("column_name"), F.col("missing").alias("nulls"),
             F.col("missing_pct").alias("null_rate_pct"))))).scalar()
 
+    fills = F.create_map(*[F.lit(str(x)) for pair in listing_fills(cols).items() for x in pair])
+    rules = F.struct(F.lit(PRICE_MIN).alias("price_min"), F.lit(MIN_NIGHTS_LO).alias("minimum_nights_min"),
+                     F.lit(MIN_NIGHTS_HI).alias("minimum_nights_max"), fills.alias("fills"),
+                     F.lit(cols.zone).alias("partition_column"), F.lit("parquet").alias("format"),
+                     F.lit(write_mode).alias("write_mode"))
     return run.select("*", nested(before).alias("columns_before"),
-                      nested(after).alias("columns_after"),
+                      nested(after).alias("columns_after"), rules.alias("rules"),
+                      F.current_user().alias("generated_by"),
                       F.current_timestamp().alias("generated_at"))
 
 
@@ -64,7 +77,7 @@ def write_quality_report(report: DataFrame, path: str) -> bool:
     try:
         report.coalesce(1).write.mode("overwrite").json(path)
         return True
-    except Exception as exc:  # the report must not fail the load
+    except (PySparkException, Py4JError) as exc:  # a failed write must not fail the load
         log.warning("quality report not written to %s: %s", path, exc)
         return False
 

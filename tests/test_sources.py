@@ -100,6 +100,9 @@ def test_quality_report_json(spark):
     assert SK.write_quality_report(rep, f"{d}/r")
     back = spark.read.json(f"{d}/r").first()
     assert back.rows_in == 7 and back.rows_out == 3 and len(back.columns_before) == 16
+    assert back.rules.price_min == 1 and back.rules.minimum_nights_max == 365
+    assert back.rules.fills.name == "Unknown" and back.rules.partition_column == COLS.zone
+    assert back.rules.write_mode == "overwrite" and back.generated_by
 
 
 def test_land_raw_keeps_each_file_whole(spark):
