@@ -38,6 +38,7 @@ MOST_LABELS = 64
 BUCKETS = 1 << 16
 BLOCK = 128
 LONGEST = 24
+PLACES = 1 << 14
 SEGMENT = 24
 ROUNDS = 5
 
@@ -49,7 +50,8 @@ def held_out(ident: Column, parts: int = 3, part: int = 1) -> Column:
 def features(data: np.ndarray, start: np.ndarray, end: np.ndarray):
     """Yields (words, bucket): prefixes and suffixes of one to three bytes, all
     two- and three-byte runs, and the word itself (the lexicon). Bytes come
-    lower-cased; words beyond ``LONGEST`` bytes are read by their two ends."""
+    lower-cased. Words are in order; one beyond ``LONGEST`` bytes comes several
+    times in a yield, ``PLACES`` at most at once."""
     size = end - start
     rows = np.arange(len(start))
 
@@ -67,15 +69,18 @@ def features(data: np.ndarray, start: np.ndarray, end: np.ndarray):
         k = rows[size >= n]
         yield k, bucket(1 + n, run(start[k], n))
         yield k, bucket(4 + n, run(end[k] - n, n))
-    half = LONGEST // 2
+    short, long = rows[size <= LONGEST], rows[size > LONGEST]
     for n in (2, 3):
         for j in range(LONGEST):
-            k = rows[size - n >= j]
+            k = short[size[short] - n >= j]
             if not len(k):
                 break
-            at = np.where(size[k] <= LONGEST, start[k] + j,
-                          np.where(j < half, start[k] + j, end[k] - n - (LONGEST - 1 - j)))
-            yield k, bucket(8 + n, run(at, n))
+            yield k, bucket(8 + n, run(start[k] + j, n))
+        places = np.concatenate([[0], np.cumsum(size[long] - n + 1)])
+        for lo in range(0, int(places[-1]), PLACES):
+            place = np.arange(lo, min(lo + PLACES, int(places[-1])))
+            of = np.searchsorted(places, place, "right") - 1
+            yield long[of], bucket(8 + n, run(start[long[of]] + place - places[of], n))
 
 
 def emissions(weights: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -83,8 +88,13 @@ def emissions(weights: np.ndarray, data: np.ndarray, start: np.ndarray, end: np.
     total = np.zeros((len(start), weights.shape[1]))
     count = np.zeros(len(start))
     for k, b in features(data, start, end):
-        total[k] += weights[b]
-        count[k] += 1
+        head = np.flatnonzero(np.diff(k, prepend=-1))
+        if len(head) == len(k):
+            total[k] += weights[b]
+            count[k] += 1
+        else:
+            total[k[head]] += np.add.reduceat(weights[b], head, axis=0, dtype=float)
+            count[k[head]] += np.diff(head, append=len(k))
     return total / np.maximum(count, 1)[:, None] ** 0.5
 
 

@@ -208,6 +208,33 @@ def test_language_crf(spark, docs):
     assert {(r.lang_pred, r.score) for r in langid.identify(edge).collect()} == {("und", 0.0)}
 
 
+def test_long_words_are_read_at_every_byte():
+    texts = ["x" * 30 + m + "x" * 30 for m in ("", "q", "qz" * 20, "zq" * 20000)] + ["abc"]
+    raw = [t.encode() for t in texts]
+    end = np.cumsum([len(r) for r in raw])
+    start, data = end - [len(r) for r in raw], np.frombuffer(b"".join(raw) + bytes(8), np.uint8)
+    got = Counter()
+    for k, b in langid.features(data, start, end):
+        assert (np.diff(k) >= 0).all()
+        got.update(k.tolist())
+    assert got == {i: 7 + (len(r) - 1) + (len(r) - 2) for i, r in enumerate(raw)}
+    weights = np.random.default_rng(0).normal(size=(langid.BUCKETS, 3))
+    pairs = list(langid.features(data, start, end))
+    total = np.zeros((len(raw), 3))
+    np.add.at(total, np.concatenate([k for k, _ in pairs]), weights[np.concatenate([b for _, b in pairs])])
+    plain = total / np.array([got[i] for i in range(len(raw))])[:, None] ** 0.5
+    assert np.allclose(langid.emissions(weights, data, start, end), plain)
+
+
+def test_the_middle_of_a_text_without_blanks_decides(spark):
+    ends = "o" * 40
+    rng = random.Random(4)
+    rows = [(i, ends + "".join(rng.choice(("ab", "cd")[i % 2]) for _ in range(60)) + ends, ("l", "r")[i % 2])
+            for i in range(120)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert all(r.lang_pred == ("l", "r")[r.doc_id % 2] for r in got)
+
+
 def test_block_messages_equal_plain_forward_backward():
     rng = np.random.default_rng(0)
     score, trans = rng.normal(size=(700, 3)), rng.normal(size=(3, 3))
