@@ -7,8 +7,8 @@ the word marginals. A document's language is the one with the greatest sum of
 marginals, and its score that language's share.
 
 Training fits a classifier on a bounded sample: at most about ``per_label``
-documents of each label (drawn by hash of their text, whole texts), at most
-``MOST_LABELS`` labels. Their texts are cut into segments of random length and
+distinct texts of each label (drawn by their hash, whole texts), whatever the
+number of labels and copies. Their texts are cut into segments of random length and
 strung together across languages, so transitions are learned from text that
 does switch; gradients of the chain's log-likelihood come from
 forward-backward, steps from AdaGrad. Features are hashed into ``BUCKETS``
@@ -18,6 +18,8 @@ Labelling is one pass without a shuffle: a chunk's distinct words are scored
 once, and the chain is run over blocks of ``BLOCK`` words side by side.
 Transfer matrices of the blocks, multiplied along each text, give every
 block's exact in- and outgoing messages, so long texts cost no more per word.
+Beyond ``MANY_LABELS`` labels transfer matrices cost more than they save: texts
+are run side by side whole, in chunks smaller by as much.
 
 Edge cases: a text that is null or has no letter gives ``und`` with score 0;
 so do all texts when no labelled row exists. A null id is not held out. Rows
@@ -30,11 +32,11 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.words import LETTER, Words, chunks, cores, mix, names_between, text_buffer
+from lodgeframe.llm.words import CHUNK_BYTES, LETTER, Words, chunks, cores, mix, names_between, text_buffer
 
 UNKNOWN = "und"
 PER_LABEL = 120
-MOST_LABELS = 64
+MANY_LABELS = 64
 BUCKETS = 1 << 16
 BLOCK = 128
 LONGEST = 24
@@ -117,8 +119,9 @@ def _chain(score: np.ndarray, trans: np.ndarray):
     m /= m.sum(axis=2, keepdims=True)
     pair = np.zeros((l, l))
     for i in range(t - 1):
-        p = alpha[:, i][:, :, None] * a[None] * (beta[:, i + 1] * e[:, i + 1])[:, None, :]
-        pair += (p / p.sum(axis=(1, 2), keepdims=True)).sum(axis=0)
+        after = beta[:, i + 1] * e[:, i + 1]
+        whole = ((alpha[:, i] @ a) * after).sum(axis=1, keepdims=True)
+        pair += a * ((alpha[:, i] / whole).T @ after)
     return m, pair
 
 
@@ -179,14 +182,15 @@ def train(texts: list[str], labels: list[int], n_labels: int, rounds: int = ROUN
             g_word = np.zeros_like(table)
             np.add.at(g_word, local.ravel(), m.reshape(-1, n_labels))
             g_word *= scale[used][:, None]
-            grad = np.zeros_like(weights)
-            np.add.at(grad, bucket[mine], g_word[at])
+            touched, place = np.unique(bucket[mine], return_inverse=True)
+            grad = np.zeros((len(touched), n_labels))
+            np.add.at(grad, place, g_word[at])
             grad /= len(x)
             np.subtract.at(pair, (y[:, :-1].ravel(), y[:, 1:].ravel()), 1)
             pair /= len(x)
-            seen += grad ** 2
+            seen[touched] += grad ** 2
             seen_t += pair ** 2
-            weights -= 0.2 * grad / np.sqrt(seen)
+            weights[touched] -= 0.2 * grad / np.sqrt(seen[touched])
             trans -= 0.2 * pair / np.sqrt(seen_t)
     return weights, trans
 
@@ -196,15 +200,16 @@ def marginal_sums(score: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np
     the words of all texts in order; ``first`` points at each text's first."""
     n_labels = score.shape[1]
     sizes = np.diff(first)
-    n_blocks = -(-sizes // BLOCK)
+    size = BLOCK if n_labels <= MANY_LABELS else max(BLOCK, int(sizes.max(initial=0)))
+    n_blocks = -(-sizes // size)
     head = np.concatenate([[0], np.cumsum(n_blocks)])
     total = int(head[-1])
     out = np.zeros((len(sizes), n_labels))
     if not total:
         return out
     text = np.repeat(np.arange(len(sizes)), n_blocks)
-    begin = first[text] + (np.arange(total) - head[text]) * BLOCK
-    used = np.minimum(first[text + 1] - begin, BLOCK)
+    begin = first[text] + (np.arange(total) - head[text]) * size
+    used = np.minimum(first[text + 1] - begin, size)
     e = np.exp(score - score.max(axis=1, keepdims=True))
     a = np.exp(trans - trans.max())
 
@@ -223,28 +228,30 @@ def marginal_sums(score: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np
         return after
 
     # A block's transfer: incoming message to outgoing one.
-    through = np.broadcast_to(np.eye(n_labels), (total, n_labels, n_labels)).copy()
-    for i in range(int(used.max())):
-        live, emit = step(i)
-        x = moved(through[live], live, i) * emit[:, None, :]
-        through[live] = x / x.max(axis=(1, 2), keepdims=True)
+    most = int(n_blocks.max())
+    if most > 1:
+        through = np.broadcast_to(np.eye(n_labels), (total, n_labels, n_labels)).copy()
+        for i in range(int(used.max())):
+            live, emit = step(i)
+            x = moved(through[live], live, i) * emit[:, None, :]
+            through[live] = x / x.max(axis=(1, 2), keepdims=True)
     into, back = np.empty((total, n_labels)), np.empty((total, n_labels))
-    for i in range(int(n_blocks.max())):
+    for i in range(most):
         live = np.flatnonzero(n_blocks > i)
         at = head[live] + i
         into[at] = 1 / n_labels if i == 0 else _unit(np.einsum("bi,bij->bj", into[at - 1], through[at - 1]))
         at = head[live + 1] - 1 - i
         back[at] = 1 / n_labels if i == 0 else _unit(np.einsum("bij,bj->bi", through[at + 1], back[at + 1]))
-    alpha = np.zeros((total, BLOCK, n_labels))
+    alpha = np.empty_like(e)
     message = into
     for i in range(int(used.max())):
         live, emit = step(i)
-        message[live] = alpha[live, i] = _unit(moved(message[live], live, i) * emit)
+        message[live] = alpha[begin[live] + i] = _unit(moved(message[live], live, i) * emit)
     message = back
     sums = np.zeros((total, n_labels))
     for i in range(int(used.max()) - 1, -1, -1):
         live, emit = step(i)
-        sums[live] += _unit(alpha[live, i] * message[live])
+        sums[live] += _unit(alpha[begin[live] + i] * message[live])
         message[live] = _unit((message[live] * emit) @ a.T)
     np.add.at(out, text, sums)
     return out
@@ -277,19 +284,18 @@ def label_chunk(chunk: pa.RecordBatch, column: int, names: list[str], weights: n
 
 
 def sample(docs: DataFrame, text_col: str, label_col: str, per_label: int) -> list[tuple[str, str]]:
-    """At most about ``per_label`` distinct texts of each of the commonest
-    labels. Copies share a hash, so a drawn text comes once, however often it
-    is repeated."""
-    known = docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
-    counts = (known.groupBy(label_col).agg(F.count("*").alias("n"))
-              .orderBy(F.col("n").desc(), label_col).limit(MOST_LABELS).collect())
+    """About ``per_label`` distinct texts of every label, all where it has
+    fewer. Rates and draws go by distinct texts, however often one is repeated."""
+    known = (docs.filter(F.col(label_col).isNotNull() & F.col(text_col).isNotNull())
+             .select(F.col(label_col).alias("label"), F.col(text_col).alias("text")))
+    counts = (known.select("label", F.xxhash64("text").alias("name")).distinct()
+              .groupBy("label").agg(F.count("*").alias("n")).collect())
     if not counts:
         return []
-    shares = F.create_map(*[x for r in counts for x in
-                            (F.lit(r[0]), F.lit(min(1.0, per_label / r[1])))])
-    chance = F.pmod(F.xxhash64(text_col, F.lit(29)), F.lit(1 << 30)) / float(1 << 30)
-    picked = known.filter(chance < F.coalesce(shares[F.col(label_col)], F.lit(0.0)))
-    return sorted((r[0], r[1]) for r in picked.select(label_col, text_col).distinct().collect())
+    shares = F.create_map(*[x for r in counts for x in (F.lit(r[0]), F.lit(min(1.0, per_label / r[1])))])
+    chance = F.pmod(F.xxhash64("text", F.lit(29)), F.lit(1 << 30)) / float(1 << 30)
+    picked = known.filter(chance < shares[F.col("label")])
+    return sorted((r[0], r[1]) for r in picked.distinct().collect())
 
 
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
@@ -297,13 +303,14 @@ def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", la
     """doc_id, held_out, lang_pred, score. Learns from rows not held out."""
     drawn = sample(docs.filter(~held_out(F.col(id_col))), text_col, label_col, per_label)
     names = sorted({y for y, _ in drawn}) or [UNKNOWN]
-    weights, trans = train([t for _, t in drawn], [names.index(y) for y, _ in drawn], len(names))
+    number = {y: i for i, y in enumerate(names)}
+    weights, trans = train([t for _, t in drawn], [number[y] for y, _ in drawn], len(names))
     model = docs.sparkSession.sparkContext.broadcast((names, weights.astype(np.float32), trans))
     learned = bool(drawn)
 
     def run(batches):
         names, weights, trans = model.value
-        for chunk in chunks(batches, "text"):
+        for chunk in chunks(batches, "text", CHUNK_BYTES * MANY_LABELS // max(MANY_LABELS, len(names))):
             lang, score = label_chunk(chunk, 2, names, weights, trans)
             if not learned:
                 lang, score = [UNKNOWN] * len(lang), score * 0

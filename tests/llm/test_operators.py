@@ -245,6 +245,31 @@ def test_block_messages_equal_plain_forward_backward():
             assert np.allclose(got[i], _chain(score[None, a:b], trans)[0][0].sum(axis=0))
 
 
+def test_messages_are_exact_with_many_labels():
+    rng = np.random.default_rng(1)
+    n = langid.MANY_LABELS + 6
+    score, trans, first = rng.normal(size=(450, n)), rng.normal(size=(n, n)), np.array([0, 3, 3, 250, 450])
+    got = langid.marginal_sums(score, first, trans)
+    for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
+        if b > a:
+            assert np.allclose(got[i], _chain(score[None, a:b], trans)[0][0].sum(axis=0))
+
+
+def test_every_label_is_learned(spark):
+    rng = random.Random(5)
+    own = [["".join(rng.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(12)] for _ in range(70)]
+    rows = [(i, " ".join(rng.choice(own[i % 70]) for _ in range(12)), f"l{i % 70:02}") for i in range(70 * 12)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id bigint, text string, lang string")).collect()
+    assert {r.lang_pred for r in got} == {f"l{i:02}" for i in range(70)}
+    assert np.mean([r.lang_pred == f"l{r.doc_id % 70:02}" for r in got]) > 0.99
+
+
+def test_copies_do_not_thin_a_label_out(spark):
+    rows = [("a", "copied text")] * 2900 + [("a", f"text {i}") for i in range(100)] + [("b", "b")] * 3
+    drawn = Counter(y for y, _ in langid.sample(spark.createDataFrame(rows, "y string, t string"), "t", "y", 40))
+    assert 20 <= drawn["a"] <= 60 and drawn["b"] == 1
+
+
 def test_toxicity_learns_held_out_texts(spark):
     rng = random.Random(2)
     calm = [" ".join(rng.choice(["the", "of", "and", "river", "stone", "tree"]) for _ in range(40)) for _ in range(300)]
