@@ -10,7 +10,8 @@ kept, and a lost executor never costs more than one stage.
 - quality: documents that fail the rules go; lines above the host's limits are
   removed from the others.
 - near_duplicates: one document of each class of 5-word shingle sets with a
-  similarity of 0.8 or more stays, the one with the least id.
+  similarity of 0.8 or more stays, the one with the least id; and one of those
+  without an id.
 - personal_data: spans are replaced by their kind.
 - mixing: documents are repeated, or left out, to meet the sources' targets.
 - packing: texts are tokenised and packed into sequences.

@@ -390,8 +390,12 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                 percent: int = PERCENT) -> DataFrame:
-    """One row of each class: that with the least id. Rows without an id stay."""
-    kept = (classes(docs.filter(F.col(id_col).isNotNull()), id_col, text_col, k, percent)
-            .filter("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct())
-    one = docs.join(kept, F.col(id_col) == F.col("__kept"), "left_semi").dropDuplicates([id_col])
-    return one.union(docs.filter(F.col(id_col).isNull()))
+    """One row with an id of each class, and one without: the row with the
+    least id, then the least number in the staged table. Classes decide, not
+    ids: rows with one id and different texts each count for their class."""
+    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
+    ids = rows.select("__row", F.col(id_col).alias("__id"))
+    kept = (classes(rows, "__row", text_col, k, percent).join(ids, F.col("doc_id") == F.col("__row"))
+            .groupBy("component_id", F.col("__id").isNull().alias("__none"))
+            .agg(F.min(F.struct("__id", "__row")).alias("__least")).select(F.col("__least.__row").alias("__kept")))
+    return rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").drop("__row")

@@ -76,6 +76,15 @@ def test_near_duplicates_keep_one_of_each_class(spark, edge):
     assert kept == Counter([1, 2, 3, 4, None, 6, 7, 8, 9])
 
 
+def test_near_duplicates_go_by_class_and_not_by_id(spark):
+    rng = random.Random(8)
+    a, b, c, d = (" ".join(f"w{rng.randrange(10 ** 6)}" for _ in range(40)) for _ in range(4))
+    rows = [(None, a), (None, a), (None, a + " more"), (None, b), (1, c), (1, d), (2, d), (0, c), (3, None), (3, None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = Counter(map(tuple, jaccard_join.deduplicate(df.coalesce(1)).collect()))
+    assert kept == Counter([(None, a), (None, b), (0, c), (1, d), (3, None), (3, None)])
+
+
 def test_jaccard_classes_match_brute_force(spark):
     rng = random.Random(7)
     base = [[f"w{rng.randrange(400)}" for _ in range(rng.choice([1, 3, 9, 40, 150]))] for _ in range(40)]
