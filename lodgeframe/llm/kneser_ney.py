@@ -1,28 +1,30 @@
 """Interpolated modified Kneser-Ney language model and its text scores.
 
 Words are named by 64-bit hashes; every text ends with one end token and
-starts after a start context. The model has two orders:
+starts after one start token. The model has ``order`` levels (two or more):
 
-    p(w | v) = max(c(vw) - D(c(vw)), 0) / c(v) + gamma(v) * p(w)
+    p(w | h) = max(a(hw) - D(a(hw)), 0) / a(h) + gamma(h) * p(w | h')
     p(w)     = max(t(w) - D'(t(w)), 0) / T + gamma' / (V + 1)
 
-c counts bigrams, t(w) distinct words before w, T distinct bigrams; D has
-three values per order from the counts of counts; gamma gives back what the
+h' is h without its first word. a counts an n-gram itself at the highest level
+and where it begins a text, else the distinct words before it; a(h) sums it
+over w. t(w) counts distinct words before w, T distinct bigrams; D has
+three values per level from the counts of counts; gamma gives back what the
 discounts take. An unseen context leaves p(w), an unseen word gamma' / (V + 1),
 so the probabilities of the V words and one unknown sum to 1.
 
 Counting. Pass 1 counts words: each task sums its chunks and sends, per key
 range, one block of sorted names and counts; a range's task merges its blocks
-and writes sorted arrays. A word's number is its place in them. Pass 2 counts
-bigrams (two numbers in one 64-bit key) the same way; the blocks are
-compressed. A range's task writes its sorted keys and counts, and sends per
-word the context sums and continuation counts on; those are merged by word
-range into arrays too. A bigram or word with a third of all rows is one entry
-per chunk. Only counts of counts (numbers) come to the driver. All counts
+and writes sorted arrays. A word's number is its place in them. Pass k counts k-grams (place of the first
+k - 1 words and number of the last, in one 64-bit key) the same way; the blocks
+are compressed. From the highest level down, a range's task writes its sorted
+keys and counts, and sends the context sums and what it adds to the next level
+on; those are merged by range into arrays too. An n-gram or word with a third
+of all rows is one entry per chunk. Only counts of counts (numbers) come to the driver. All counts
 cover every training text; what is gathered grows with the corpus.
 
 Scoring. Workers memory-map the arrays and look up a chunk's distinct words
-and bigrams in key order.
+and n-grams in key order.
 
 Edge cases: a null or empty text is its end token alone; a null id is not held
 out; repeated rows count as often as they stand; without training rows every
@@ -43,6 +45,8 @@ from lodgeframe.session import scratch_path
 
 END_NAME = np.uint64(0x9B6D3F1AC5E84D27)
 COUNT_CHUNK = 6 * CHUNK_BYTES
+ORDER = 3
+SUMS = ("total", "one", "two", "more", "before")
 
 
 def held_out(ident: Column, parts: int = 7, part: int = 2) -> Column:
@@ -89,15 +93,25 @@ class Ranged:
                 o[a + has] = self.field(r, f)[at[has]]
         return [place, *out]
 
+    def keys(self, place: np.ndarray) -> np.ndarray:
+        """The keys at given places."""
+        out = np.zeros(len(place), np.uint64)
+        of = np.searchsorted(self.base, place, "right") - 1
+        for i in np.unique(of).tolist():
+            at = np.flatnonzero(of == i)
+            out[at] = self.field(self.ranges[i], "key")[place[at] - self.base[i]]
+        return out
 
-def _writer(folder: str, fields: tuple[str, ...], tail=None):
-    """Task function: merge blocks, write arrays, report each range's size,
-    and what ``tail`` makes of them."""
+
+def _writer(folder: str, fields: tuple[str, ...], tail=None, with_key: bool = True):
+    """Task function: merge blocks, write arrays (counts as narrow as they
+    fit), report each range's size, and what ``tail`` makes of them."""
     def run(batches):
         for r, key, *values in merged(batches, len(fields)):
-            shared_arrays.save(folder, f"key-{r}", key)
+            if with_key:
+                shared_arrays.save(folder, f"key-{r}", key)
             for f, v in zip(fields, values):
-                shared_arrays.save(folder, f"{f}-{r}", v)
+                shared_arrays.save(folder, f"{f}-{r}", v.astype(np.min_scalar_type(int(v.max(initial=0)))))
             yield tail(r, key, values)
     return run
 
@@ -122,84 +136,173 @@ class Model:
     def __init__(self, **known):
         self.__dict__.update(known)
 
+    def level(self, k: int) -> Ranged:
+        return Ranged(f"{self.folder}/{k}", self.sizes[k], ("count",))
+
     def opened(self):
-        return (Ranged(f"{self.folder}/words", self.word_sizes, ("count",)),
-                Ranged(f"{self.folder}/bigrams", self.bigram_sizes, ("count",)),
-                Ranged(f"{self.folder}/sums", self.sum_sizes, ("total", "one", "two", "more", "before")))
+        return ({k: self.level(k) for k in self.sizes},
+                {k: Ranged(f"{self.folder}/sums-{k}", self.sum_sizes[k], SUMS) for k in self.sum_sizes})
+
+    def contexts(self, k: int) -> int:
+        """Contexts of level k: the places of level k - 1, and the start."""
+        return sum(n for _, n in self.sizes[k - 1]) + (k == 2)
+
+    def borders(self, k: int) -> np.ndarray:
+        if k == 1:
+            return borders_of(self.ranges)
+        return borders_of(self.ranges, max(self.contexts(k) * max(self.n_words, 1), self.ranges))
+
+    def sum_borders(self, k: int) -> np.ndarray:
+        return borders_of(self.ranges, max(self.contexts(k), self.ranges))
+
+    def grams(self, levels: dict, name: np.ndarray, first: np.ndarray, top: int):
+        """Yields (k, contexts' places, keys, own places) of the k-grams that
+        end at each token, up to level ``top`` (whose places are left out);
+        -1 where unknown. Level 1 comes with counts for contexts."""
+        ids, count = _numbers(levels[1], name, self.borders(1))
+        yield 1, count, None, ids
+        place = ids
+        for k in range(2, top + 1):
+            before = np.concatenate([[-1], place[:-1]])[:len(place)]
+            before[first[:-1]] = self.n_words if k == 2 else -1
+            known = (before >= 0) & (ids >= 0)
+            key = np.where(known, before, 0).astype(np.uint64) * np.uint64(max(self.n_words, 1)) \
+                + np.where(known, ids, 0).astype(np.uint64)
+            place = np.full(len(ids), -1, np.int64)
+            if k in levels:
+                distinct, inverse = np.unique(key[known], return_inverse=True)
+                place[known] = levels[k].find(distinct, self.borders(k))[0][inverse]
+            yield k, before, np.where(known, key, np.uint64(0)), np.where(known, place, -2)
+
+    def begins(self, levels: dict, context: np.ndarray, k: int) -> np.ndarray:
+        """Whether the contexts of level k begin with the start token."""
+        for j in range(k - 1, 1, -1):
+            context = (levels[j].keys(context) // np.uint64(self.n_words)).astype(np.int64)
+        return context == self.n_words
+
+    def shortened(self, levels: dict, context: np.ndarray, k: int) -> np.ndarray:
+        """Places of level-k contexts (k > 2) without their first word."""
+        before, last = np.divmod(levels[k - 1].keys(context), np.uint64(self.n_words))
+        if k == 3:
+            return last.astype(np.int64)
+        key = self.shortened(levels, before.astype(np.int64), k - 1).astype(np.uint64) * np.uint64(self.n_words) + last
+        distinct, inverse = np.unique(key, return_inverse=True)
+        return levels[k - 2].find(distinct, self.borders(k - 2))[0][inverse]
 
 
-def train(docs: DataFrame, text_col: str = "text") -> Model:
+def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     """Count all texts of ``docs`` into shared arrays."""
+    if order < 2:
+        raise ValueError("order must be 2 or more")
     spark, text = docs.sparkSession, docs.select(F.col(text_col).alias("text"))
     folder = scratch_path(spark, "kneser-ney")
     ranges = partitions_for(text, "text")
-    borders = borders_of(ranges)
-    sized = "range int, size bigint, total bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint"
+    sized = "range int, size bigint, total bigint, n1 bigint, n2 bigint, n3 bigint, n4 bigint, n5 bigint"
 
     def count_words(batches):
         for chunk in chunks(batches, "text", COUNT_CHUNK):
             name, _ = tokens(words_of(chunk, "text", True))
             key, n = np.unique(name, return_counts=True)
-            yield as_batch(by_range(key, borders, n))
+            yield as_batch(by_range(key, borders_of(ranges), n))
 
-    def word_report(r, key, values):
-        (n,) = values
+    def report(r, size, n):
         return pa.RecordBatch.from_pydict(
-            {"range": pa.array([r], pa.int32()), "size": [len(key)], "total": [int(n.sum())],
-             **{f"n{i + 1}": [x] for i, x in enumerate(_count_classes(n))}})
+            {"range": pa.array([r], pa.int32()), "size": [size], "total": [int(n.sum())],
+             **{f"n{i + 1}": [x] for i, x in enumerate(_count_classes(n))}, "n5": [int((n > 2).sum())]})
 
-    counted = exchange(text.mapInArrow(count_words, "range int, block binary"), ranges)
-    words = counted.mapInArrow(_writer(f"{folder}/words", ("count",), word_report), sized).collect()
-    word_sizes = sorted((r["range"], r["size"]) for r in words)
-    n_words, n_tokens = sum(n for _, n in word_sizes), sum(r["total"] for r in words)
-    start, stride = n_words, n_words + 1
-    number_borders = borders_of(ranges, max(stride, ranges))
-    bigram_borders = borders_of(ranges, max(stride * max(n_words, 1), ranges))
-
-    def count_bigrams(batches):
-        vocabulary = Ranged(f"{folder}/words", word_sizes, ("count",))
-        for chunk in chunks(batches, "text", COUNT_CHUNK):
-            name, first = tokens(words_of(chunk, "text", True))
-            ids = _numbers(vocabulary, name, borders)[0]
-            key, n = np.unique(_bigrams(ids, first, start, max(n_words, 1)), return_counts=True)
-            yield as_batch(by_range(key, bigram_borders, n))
-
-    def pass_on(r, key, values):
-        """Per word: context sums of this range's bigrams, and how many of them end in it."""
-        (n,) = values
-        v, w = np.divmod(key, np.uint64(max(n_words, 1)))
-        one = np.ones(len(key), np.int64)
-        zero = np.zeros(len(key), np.int64)
-        key2, *sums = summed(np.concatenate([v, w]),
-                             *(np.concatenate(p) for p in ((n, zero), ((n == 1) * one, zero), ((n == 2) * one, zero),
-                                                           ((n > 2) * one, zero), (zero, one))))
-        parts = list(by_range(key2, number_borders, *sums))
-        report = [(-1, np.array([r, len(key), int(n.sum()), *_count_classes(n)], "<i8").tobytes())]
-        return as_batch(report + parts)
-
-    paired = exchange(text.mapInArrow(count_bigrams, "range int, block binary"), ranges)
-    passed = stage(paired.mapInArrow(_writer(f"{folder}/bigrams", ("count",), pass_on),
-                                     "range int, block binary"), "kneser-ney-sums")
-    # One report row per range.
-    reports = [np.frombuffer(r[0], "<i8").tolist() for r in passed.filter("range < 0").select("block").collect()]
-
-    def sum_report(r, key, values):
-        t = values[4][key < np.uint64(n_words)]
-        return pa.RecordBatch.from_pydict(
-            {"range": pa.array([r], pa.int32()), "size": [len(key)], "total": [int(t.sum())],
-             **{f"n{i + 1}": [x] for i, x in enumerate(_count_classes(t))}, "n5": [int((t > 2).sum())]})
+    def word_report(r, key, values):
+        return report(r, len(key), values[0])
 
-    fields = ("total", "one", "two", "more", "before")
-    sums = exchange(passed.filter("range >= 0"), ranges) \
-        .mapInArrow(_writer(f"{folder}/sums", fields, sum_report), sized + ", n5 bigint").collect()
-    types = sum(r["total"] for r in sums)
+    counted = exchange(text.mapInArrow(count_words, "range int, block binary"), ranges)
+    words = counted.mapInArrow(_writer(f"{folder}/1", ("count",), word_report), sized).collect()
+    model = Model(folder=folder, ranges=ranges, order=order, sizes={1: sorted((r["range"], r["size"]) for r in words)},
+                  sum_sizes={}, discounts={}, n_tokens=sum(r["total"] for r in words))
+    model.n_words = sum(n for _, n in model.sizes[1])
+
+    def tagged(r, size, n, *parts):
+        """A range's report, and blocks for part i as range + i * ranges."""
+        head = np.array([r, size, *_count_classes(n)], "<i8").tobytes()
+        return as_batch([(-1, head), *((x + i * ranges, b) for i, p in enumerate(parts) for x, b in p)])
+
+    def passer(k):
+        """What a range of level k passes on: context sums, and the distinct
+        words before the next level's n-grams."""
+        def pass_on(r, key, values):
+            (n,) = values
+            context, w = np.divmod(key, np.uint64(max(model.n_words, 1)))
+            one, zero = np.ones(len(key), np.int64), np.zeros(len(key), np.int64)
+            own = (n, (n == 1) * one, (n == 2) * one, (n > 2) * one, zero)
+            if k == 2:
+                sums = summed(np.concatenate([context, w]),
+                              *(np.concatenate(p) for p in zip(own, (zero, zero, zero, zero, one))))
+                return tagged(r, len(key), n, by_range(sums[0], model.sum_borders(2), *sums[1:]))
+            sums = summed(context, *own)
+            levels = model.opened()[0]
+            place = sums[0].astype(np.int64)
+            shorter = model.shortened(levels, place, k)[np.searchsorted(sums[0], context)]
+            lower = summed(shorter.astype(np.uint64) * np.uint64(model.n_words) + w, one)
+            return tagged(r, len(key), n, by_range(sums[0], model.sum_borders(k), *sums[1:]),
+                          by_range(lower[0], model.borders(k - 1), lower[1]))
+        return pass_on
+
+    def counter(k):
+        def count_grams(batches):
+            levels = model.opened()[0]
+            for chunk in chunks(batches, "text", COUNT_CHUNK):
+                name, first = tokens(words_of(chunk, "text", True))
+                *_, (_, _, key, place) = model.grams(levels, name, first, k)
+                key, n = np.unique(key[place > -2], return_counts=True)
+                yield as_batch(by_range(key, model.borders(k), n))
+        return count_grams
+
+    def opener(k):
+        """Level k's n-grams that begin a text keep their counts."""
+        def keep(r, key, values):
+            context = (key // np.uint64(max(model.n_words, 1))).astype(np.int64)
+            at = model.begins(model.opened()[0], context, k)
+            return tagged(r, len(key), values[0], by_range(key[at], model.borders(k), values[0][at]))
+        return keep
+
+    blocks = "range int, block binary"
+
+    def reports(passed):
+        return [np.frombuffer(r[0], "<i8").tolist() for r in passed.filter("range < 0").select("block").collect()]
+
+    def part(passed, i):
+        own = F.col("range") - i * ranges
+        return passed.filter((F.col("range") >= i * ranges) & (F.col("range") < (i + 1) * ranges)) \
+            .select(own.cast("int").alias("range"), "block")
+
+    openers = {}
+    for k in range(2, order + 1):
+        grams = exchange(text.mapInArrow(counter(k), blocks), ranges)
+        written = _writer(f"{folder}/{k}", ("count",), opener(k) if k < order else passer(k))
+        passed = stage(grams.mapInArrow(written, blocks), "kneser-ney-sums")
+        # One report row per range.
+        rows = reports(passed)
+        model.sizes = {**model.sizes, k: sorted((r[0], r[1]) for r in rows)}
+        openers[k] = passed
+    for k in range(order, 1, -1):
+        if k < order:
+            both = exchange(part(openers[k], 0).union(part(passed, 1)), ranges)
+            passed = stage(both.mapInArrow(_writer(f"{folder}/{k}", ("count",), passer(k), False), blocks),
+                           "kneser-ney-sums")
+            rows = reports(passed)
+            assert sorted((r[0], r[1]) for r in rows) == model.sizes[k], "an n-gram has no count"
+        model.discounts[k] = _discounts([sum(r[2 + i] for r in rows) for i in range(4)])
+
+        def sum_report(r, key, values, k=k):
+            t = values[4][key < np.uint64(model.n_words)] if k == 2 else values[4][:0]
+            return report(r, len(key), t)
+
+        sums = exchange(part(passed, 0), ranges) \
+            .mapInArrow(_writer(f"{folder}/sums-{k}", SUMS, sum_report), sized).collect()
+        model.sum_sizes = {**model.sum_sizes, k: sorted((r["range"], r["size"]) for r in sums)}
+    model.types = sum(r["total"] for r in sums)
     t = [sum(r[f"n{i}"] for r in sums) for i in (1, 2, 3, 4, 5)]
-    low = _discounts(t[:4])
-    return Model(folder=folder, ranges=ranges, word_sizes=word_sizes,
-                 bigram_sizes=sorted((r[0], r[1]) for r in reports),
-                 sum_sizes=sorted((r["range"], r["size"]) for r in sums), n_words=n_words, n_tokens=n_tokens,
-                 types=types, high=_discounts([sum(r[3 + i] for r in reports) for i in range(4)]), low=low,
-                 low_gamma=(low[0] * t[0] + low[1] * t[1] + low[2] * t[4]) / types if types else 1.0)
+    low = model.low = _discounts(t[:4])
+    model.low_gamma = (low[0] * t[0] + low[1] * t[1] + low[2] * t[4]) / model.types if model.types else 1.0
+    return model
 
 
 def _numbers(vocabulary: Ranged, name: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -209,28 +312,18 @@ def _numbers(vocabulary: Ranged, name: np.ndarray, borders: np.ndarray) -> tuple
     return place[inverse], count[inverse]
 
 
-def _bigrams(ids: np.ndarray, first: np.ndarray, start: int, n_words: int) -> np.ndarray:
-    """Keys of (previous, own) number; the start context precedes a text."""
-    before = np.concatenate([[start], ids[:-1]])
-    before[first[:-1]] = start
-    return before.astype(np.uint64) * np.uint64(n_words) + ids.astype(np.uint64)
-
-
 def _discount(count: np.ndarray, d: list[float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(count, 3)]
 
 
 def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
     """Per text: tokens, known tokens, base score, model score (log10)."""
-    words, bigrams, sums = opened
-    n, v = model.n_words, max(model.n_words, 1)
-    ids, count = _numbers(words, name, borders_of(model.ranges))
+    levels, sums = opened
+    n = model.n_words
+    grams = model.grams(levels, name, first, model.order)
+    _, count, _, ids = next(grams)
     base = np.log10((count + 1) / (model.n_tokens + n + 1))
     known = np.flatnonzero(ids >= 0)
-    before = np.concatenate([[n], ids[:-1]])
-    before[first[:-1]] = n
-    number_borders = borders_of(model.ranges, max(n + 1, model.ranges))
-    bigram_borders = borders_of(model.ranges, max((n + 1) * v, model.ranges))
 
     def looked(array: Ranged, key: np.ndarray, borders: np.ndarray, *fields: str) -> list[np.ndarray]:
         distinct, inverse = np.unique(key, return_inverse=True)
@@ -238,20 +331,21 @@ def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
 
     p = np.full(len(ids), model.low_gamma / (n + 1))
     if len(known):
-        (t,) = looked(sums, ids[known], number_borders, "before")
+        (t,) = looked(sums[2], ids[known], model.sum_borders(2), "before")
         p[known] += np.maximum(t - _discount(t, model.low), 0) / max(model.types, 1)
-    ctx = np.flatnonzero(before >= 0)
-    if len(ctx) and model.n_tokens:
-        total, one, two, more = looked(sums, before[ctx], number_borders, "total", "one", "two", "more")
+    for k, before, key, place in grams:
+        ctx = np.flatnonzero(before >= 0)
+        if not len(ctx) or not model.n_tokens:
+            continue
+        total, one, two, more = looked(sums[k], before[ctx], model.sum_borders(k), "total", "one", "two", "more")
         seen = total > 0
         ctx, total, one, two, more = (x[seen] for x in (ctx, total, one, two, more))
-        d1, d2, d3 = model.high
+        d1, d2, d3 = model.discounts[k]
         p[ctx] *= (d1 * one + d2 * two + d3 * more) / total
-        both = ids[ctx] >= 0
+        both = place[ctx] >= 0
         at = ctx[both]
-        (c,) = looked(bigrams, before[at].astype(np.uint64) * np.uint64(v) + ids[at].astype(np.uint64),
-                      bigram_borders, "count")
-        p[at] += np.maximum(c - _discount(c, model.high), 0) / total[both]
+        (c,) = looked(levels[k], key[at], model.borders(k), "count")
+        p[at] += np.maximum(c - _discount(c, model.discounts[k]), 0) / total[both]
     score = np.log10(p)
 
     def per_text(x: np.ndarray) -> np.ndarray:
@@ -260,11 +354,12 @@ def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
     return np.diff(first), per_text((ids >= 0).astype(np.int64)), per_text(base), per_text(score)
 
 
-def score(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text",
+          order: int = 2) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
     Without a model, learns from the rows not held out."""
     if model is None:
-        model = train(docs.filter(~held_out(F.col(id_col))), text_col)
+        model = train(docs.filter(~held_out(F.col(id_col))), text_col, order)
 
     def run(batches):
         opened = model.opened()

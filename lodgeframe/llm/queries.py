@@ -10,7 +10,7 @@ def op1_toxicity(spark, sf_dir):
 
 
 def op2_kneser_ney(spark, sf_dir):
-    return kneser_ney.score(read_table(spark, sf_dir, "documents"))
+    return kneser_ney.score(read_table(spark, sf_dir, "documents"), order=kneser_ney.ORDER)
 
 
 def op3_line_quality(spark, sf_dir):

@@ -149,6 +149,38 @@ def test_kneser_ney_matches_a_plain_model(docs):
         assert math.isclose(r.score, sum(math.log10(p(a, b)) for a, b in zip(["start", *w], w)), rel_tol=1e-9)
 
 
+@pytest.mark.parametrize("order", [3, 4])
+def test_kneser_ney_of_higher_order_matches_a_plain_model(spark, order):
+    rng = random.Random(order)
+    texts = [" ".join(f"w{int(rng.paretovariate(0.7)) % 30}" for _ in range(rng.randrange(25))) for _ in range(150)]
+    tokens = {i: ["start", *t.split(), None] for i, t in enumerate(texts)}
+    taught = [w for i, w in tokens.items() if zlib.crc32(str(i).encode()) % 7 != 2]
+    count = {k: Counter(tuple(w[i:i + k]) for w in taught for i in range(len(w) - k + 1)) for k in range(2, order + 1)}
+    for k in range(order - 1, 1, -1):
+        left = Counter(g[1:] for g in count[k + 1])
+        count[k] = Counter({g: n if g[0] == "start" else left[g] for g, n in count[k].items()})
+    before = Counter(w for _, w in count[2])
+    discount = {k: [0, *kneser_ney._discounts([sum(v == i for v in c.values()) for i in (1, 2, 3, 4)])]
+                for k, c in {**count, 1: before}.items()}
+
+    def p(h, w):
+        if not h:
+            rest = sum(discount[1][min(c, 3)] for c in before.values()) / len(count[2])
+            return (before[w] - discount[1][min(before[w], 3)]) / len(count[2]) + rest / (len(before) + 1)
+        k = len(h) + 1
+        after = [c for g, c in count[k].items() if g[:-1] == h]
+        if not after:
+            return p(h[1:], w)
+        c = count[k][(*h, w)]
+        return (c - discount[k][min(c, 3)] + sum(discount[k][min(a, 3)] for a in after) * p(h[1:], w)) / sum(after)
+
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    for r in kneser_ney.score(d, order=order).collect():
+        w = tokens[r.doc_id]
+        plain = sum(math.log10(p(tuple(w[max(0, i - order + 1):i]), w[i])) for i in range(1, len(w)))
+        assert math.isclose(r.score, plain, rel_tol=1e-9)
+
+
 def test_strict_spans_match_plain_patterns():
     plain = {"email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
              "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", "card": r"[0-9]([\x20-]?[0-9])+",
