@@ -1,7 +1,8 @@
 """Best-fit packing of tokenised documents by sums of squares.
 
 Every text becomes token ids plus an end id; only documents longer than a
-sequence are cut, into full pieces and a rest. Pieces are dealt by hash into
+sequence are cut, into full pieces and a rest. Pieces are dealt by hash, which takes
+in a number that each piece is staged with, into
 shards of about ``shard_pieces`` and packed per shard, longest first: a piece
 goes to the open sequence whose choice leaves the smallest sum, over residual
 gaps g, of (open sequences with gap g) squared, and to a new one if none has
@@ -172,9 +173,11 @@ def sum_of_squares(lengths: np.ndarray, sequence: int = SEQUENCE) -> tuple[np.nd
 
 def pack(cut: DataFrame, sequence: int = SEQUENCE, shard_pieces: int = SHARD_PIECES) -> DataFrame:
     """``cut`` (any columns with doc_id, piece, length) with sequence_id and
-    offset. ``cut`` is read twice; stage it first."""
+    offset. ``cut`` is read twice; stage it first. A column ``salt`` that
+    differs from row to row deals rows with equal ids apart, and is dropped."""
     shards = max(1, -(-cut.count() // shard_pieces))
-    names = [f.name for f in cut.schema.fields]
+    fields = [f for f in cut.schema.fields if f.name != "salt"]
+    names = [f.name for f in fields]
 
     def run(frame: pd.DataFrame) -> pd.DataFrame:
         frame = frame.sort_values(["length", "doc_id", "piece"], ascending=[False, True, True], kind="stable")
@@ -182,8 +185,9 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE, shard_pieces: int = SHARD_PIE
         shard = int(frame["shard"].iloc[0])
         return frame[names].assign(sequence_id=(shard << 40) + where, offset=offset)
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in cut.schema.fields)
-    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "piece", "start"), F.lit(shards))
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    own = [c for c in ("ids_crc32", "salt") if c in cut.columns]
+    shard = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1)), "piece", "start", *own), F.lit(shards))
     return (cut.withColumn("shard", shard).groupBy("shard")
             .applyInPandas(run, f"{schema}, sequence_id bigint, offset bigint"))
 
@@ -191,5 +195,6 @@ def pack(cut: DataFrame, sequence: int = SEQUENCE, shard_pieces: int = SHARD_PIE
 def pack_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                    path: str | None = None, sequence: int = SEQUENCE, end: int = END,
                    shard_pieces: int = SHARD_PIECES) -> DataFrame:
-    cut = stage(pieces(docs, id_col, text_col, path, sequence, end), "packing-pieces")
+    cut = stage(pieces(docs, id_col, text_col, path, sequence, end)
+                .withColumn("salt", F.monotonically_increasing_id()), "packing-pieces")
     return pack(cut, sequence, shard_pieces)

@@ -226,6 +226,13 @@ def test_packing_is_gapless_and_round_trips(spark, edge):
         assert ids == [*tok.encode(text or "", add_special_tokens=False).ids, 0]
 
 
+def test_rows_with_one_id_are_packed_in_many_shards(spark):
+    rows = [(None, "same text")] * 400 + [(7, f"text {i}") for i in range(400)]
+    packed = packing.pack_documents(spark.createDataFrame(rows, "doc_id bigint, text string"), shard_pieces=50).toPandas()
+    assert packed.columns.tolist() == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
+    assert len(packed) == 800 and np.bincount(packed.sequence_id.to_numpy() >> 40).max() <= 100
+
+
 def test_encoder_equals_the_tokenizer_on_odd_texts():
     encode = packing.TextEncoder(packing.vocabulary_path())
     texts = ["It's WE'LL d'été ÀÉÎ x***'s 12a3", "a b é ​ İ", "<|endoftext|> x", "\x1c a", "ß ÿ ½ µ"]
