@@ -1,7 +1,8 @@
 """Queries over the operators, and their SQL where SQL can express them."""
 from __future__ import annotations
 
-from lodgeframe.llm import bitslice, jaccard_join, kneser_ney, langid, line_quality, mixing, packing, pii, recompression, toxicity
+from lodgeframe.llm import (anchor_lists, bitslice, impact_treap, jaccard_join, kneser_ney, langid, line_quality, mixing,
+                            packing, pii, recompression, token_files, toxicity)
 from lodgeframe.llm.staging import read_table
 
 
@@ -45,5 +46,22 @@ def op10_recompression(spark, sf_dir):
     return recompression.remove_repeats(read_table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_toxicity, op2_kneser_ney, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf, op7_source_mixing, op8_parity_sketch_join, op9_bit_sliced_search, op10_recompression)}
-ORACLE = {"op10_recompression": recompression.DIGEST_SQL, "op9_bit_sliced_search": bitslice.DIGEST_SQL, "op3_line_quality": line_quality.DIGEST_SQL, "op7_source_mixing": mixing.DIGEST_SQL}
+def op11_ranked_token_files(spark, sf_dir):
+    return token_files.round_trip(read_table(spark, sf_dir, "documents"))
+
+
+def op12_impact_treap(spark, sf_dir):
+    return impact_treap.rank(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def op13_hard_negatives(spark, sf_dir):
+    return anchor_lists.hard_negatives(read_table(spark, sf_dir, "embeddings"))
+
+
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_kneser_ney, op3_line_quality, op4_best_fit_packing, op5_personal_data, op6_language_crf,
+    op7_source_mixing, op8_parity_sketch_join, op9_bit_sliced_search, op10_recompression, op11_ranked_token_files,
+    op12_impact_treap, op13_hard_negatives)}
+ORACLE = {"op3_line_quality": line_quality.DIGEST_SQL, "op7_source_mixing": mixing.DIGEST_SQL,
+          "op9_bit_sliced_search": bitslice.DIGEST_SQL, "op10_recompression": recompression.DIGEST_SQL,
+          "op12_impact_treap": impact_treap.DIGEST_SQL, "op13_hard_negatives": anchor_lists.DIGEST_SQL}

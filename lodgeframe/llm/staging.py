@@ -10,13 +10,25 @@ from lodgeframe.session import scratch_path
 PARTITION_BYTES = 16 << 20
 
 
-def stage(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: its lineage ends
-    there, and a lost executor costs a re-read only."""
+def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """``stage``, and the folder written."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def stage(df: DataFrame, label: str) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back: its lineage ends
+    there, and a lost executor costs a re-read only."""
+    return stage_at(df, label)[0]
+
+
+def discard(spark: SparkSession, *paths: str) -> None:
+    """Delete staged tables that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def partitions_for(df: DataFrame, text: str, per: int = PARTITION_BYTES) -> int:

@@ -41,10 +41,10 @@ class Words:
     """Words of consecutive texts: ``first`` (per text, and one at the end)
     points into ``start``, ``end`` (byte places) and ``name`` (64 bits)."""
 
-    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = False):
+    def __init__(self, data: np.ndarray, bounds: np.ndarray, lower: bool = False, gap: np.ndarray = _SPACE):
         self.data, self.bounds = data, bounds
         n = len(data)
-        space = _SPACE[data]
+        space = gap[data]
         before = np.empty(n, bool)
         after = np.empty(n, bool)
         if n:
