@@ -181,7 +181,7 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, path: str, end: int) ->
     def run(batches):
         encoder, squeeze = TextEncoder(path), zstandard.ZstdCompressor(level=1)
         for chunk in chunks(batches, "text"):
-            ids = [i + tail for i in encoder([t or "" for t in chunk.column(1).to_pylist()])]
+            ids = [i + tail for i in encoder.column(chunk.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [chunk.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),
                  pa.array([zlib.crc32(i) for i in ids], pa.int64()),

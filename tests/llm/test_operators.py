@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 import corpus_pipeline
@@ -240,6 +241,20 @@ def test_encoder_equals_the_tokenizer_on_odd_texts():
         assert np.frombuffer(ids, "<u4").tolist() == encode.tokenizer.encode(t, add_special_tokens=False).ids
 
 
+def test_encoder_equals_the_tokenizer_on_random_texts():
+    rng = random.Random(1)
+    bits = ["'s", "'S", "'re", "'ve", "'", "''", "a", "B", "é", "É", "×", "÷", "ß", "Ÿ", " ", "\n", "1", "23", ",", "-", "<|",
+            "<", "|", "日", "' s", "'ll", "'lls", "'d'", "ii", "\x7f", "\xa0", "\t", "'t", " 'm", "9's", ".'s", "longer words"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(25))) for _ in range(4000)] + ["", "\x00a", LONG]
+    for most in (packing.CACHE_PARTS, 50):
+        encode = packing.TextEncoder(packing.vocabulary_path(), most)
+        for at in range(0, len(texts), 97):
+            got = encode(texts[at:at + 97])
+            want = encode.tokenizer.encode_batch_fast(texts[at:at + 97], add_special_tokens=False)
+            assert [np.frombuffer(g, "<u4").tolist() for g in got] == [w.ids for w in want]
+    assert encode.column(pa.array(["x", None, "a b"]))[1] == b""
+
+
 def test_sum_of_squares_uses_few_sequences():
     lengths = np.sort(np.random.default_rng(1).integers(1, 2049, 4000))[::-1]
     where, offset = packing.sum_of_squares(lengths)
