@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.columns import COLS, ListingColumns
-from lodgeframe.functions.aggregates import quantiles_interp
+from lodgeframe.operators.order_stats import exact_quantiles, one_row
 from lodgeframe.plans.joins import attach_lookup
 
 
@@ -26,12 +26,12 @@ def imputed_features(cols: ListingColumns = COLS) -> list[str]:
 
 def group_medians(df: DataFrame, by: Sequence[str], features: Sequence[str]) -> DataFrame:
     """Exact (interpolated) median of each feature per group."""
-    return df.groupBy(*by).agg(*[F.median(f).alias(f) for f in features])
+    return one_row(exact_quantiles(df, features, [0.5], by), features, by)
 
 
 def global_medians(df: DataFrame, features: Sequence[str]) -> DataFrame:
     """Exact (interpolated) median of each feature, one row."""
-    return df.agg(*[F.median(f).alias(f) for f in features])
+    return one_row(exact_quantiles(df, features, [0.5]), features)
 
 
 def centroids(df: DataFrame, by: str, lat: str, lon: str) -> DataFrame:
@@ -70,17 +70,19 @@ def estimate_range(requests: DataFrame, df: DataFrame, zone: str, kind: str,
     """p25 / median / p75 / count of ``value`` over comparable rows:
     same (zone, kind); if there are none, same zone; if none, all rows.
 
-    The three levels are one ``rollup(zone, kind)`` aggregation (grouping
-    sets (zone, kind), (zone), ()). Each level is joined to the requests
-    with a size check; the first level present wins.
+    The three levels are grouping sets of one exact quantile pass. Each is
+    joined to the requests; the first level present wins.
     """
-    stats = (df.rollup(zone, kind).agg(
-        quantiles_interp(value, [0.25, 0.5, 0.75]).alias("q"),
-        F.count(F.lit(1)).alias("n"),
-        F.grouping_id().alias("level"))
-        .select(zone, kind, "level",
-                F.struct(F.col("q")[1].alias("estimate"), F.col("q")[0].alias("low"),
-                         F.col("q")[2].alias("high"), F.col("n").alias("n")).alias("r")))
+    # A row counts for its group even without a value.
+    rows = df.rollup(zone, kind).agg(F.count(F.lit(1)).alias("rows"), F.grouping_id().alias("level")).select(
+        F.struct(zone, kind, F.col("level").cast("int").alias("level")).alias("group"), "rows")
+    levels = {0: 0, 1: 1, 2: 3}  # number of the set -> grouping id
+    stats = exact_quantiles(df, [value], [0.25, 0.5, 0.75], [zone, kind], sets=[[zone, kind], [zone], []])
+    level = F.element_at(F.create_map(*[F.lit(v) for kv in levels.items() for v in kv]), F.col("set_number"))
+    stats = (stats.select(F.struct(zone, kind, level.alias("level")).alias("own"), "q")
+             .join(rows, F.col("own") == F.col("group"))
+             .select("own.*", F.struct(F.col("q")[1].alias("estimate"), F.col("q")[0].alias("low"),
+                                       F.col("q")[2].alias("high"), F.col("rows").alias("n")).alias("r")))
     pair = stats.filter(F.col("level") == 0).select(zone, kind, F.col("r").alias("_r_pair"))
     by_zone = stats.filter(F.col("level") == 1).select(zone, F.col("r").alias("_r_zone"))
     overall = stats.filter(F.col("level") == 3).select(F.col("r")).scalar()
