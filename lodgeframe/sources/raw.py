@@ -3,7 +3,6 @@ choosing the first available source (S8)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -11,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from lodgeframe.columns import COLS, ListingColumns
+from lodgeframe.sources.landing import Landing, copy_all
+from lodgeframe.sources.ranged_csv import read_ranged_csv
 
 
 def string_schema(columns: Sequence[str]) -> StructType:
@@ -18,17 +19,20 @@ def string_schema(columns: Sequence[str]) -> StructType:
 
 
 def read_raw_csv(spark: SparkSession, path: str, schema: StructType | None = None,
-                 cols: ListingColumns = COLS, recursive: bool = False) -> DataFrame:
+                 cols: ListingColumns = COLS, recursive: bool = False, whole_files: bool = False) -> DataFrame:
     """Header CSV with quoted multi-line fields; every column a string.
 
     ``"`` is both quote and escape, so a doubled quote inside a quoted field
-    is one literal quote. The schema is fixed (never inferred). Multi-line
-    CSV cannot be split inside a file, so parallelism comes from the number
-    of files: land large sources as many files. ``recursive`` reads every
-    file below ``path`` (as ``land_raw`` lays them out).
+    is one literal quote. The schema is fixed (never inferred). Files are read
+    in ranges (``ranged_csv``), so a large file is work for many tasks;
+    ``whole_files`` reads each by one task with Spark's multi-line reader.
+    ``recursive`` reads every file below ``path`` (as ``land_raw`` lays them out).
     """
+    schema = schema or string_schema(cols.raw_order)
+    if not whole_files:
+        return read_ranged_csv(spark, path, schema, recursive=recursive)
     reader = (spark.read
-              .schema(schema or string_schema(cols.raw_order))
+              .schema(schema)
               .option("header", "true")
               .option("multiLine", "true")
               .option("quote", '"')
@@ -49,35 +53,13 @@ def write_raw_csv(df: DataFrame, path: str) -> None:
        .csv(path))
 
 
-@dataclass(frozen=True)
-class Landing:
-    path: str
-    rows: int
-    columns: int
-
-
-def land_raw(spark: SparkSession, src: str, dst: str,
-             cols: ListingColumns = COLS) -> Landing:
-    """Land raw CSV files in Bronze, unmodified, and report their shape.
-
-    Each source file is read whole (one row per file) and written to its own
-    folder under ``dst``, so its bytes, header and quoted line breaks are
-    kept as they are (the writer may add one final line break). Files are
-    spread over tasks; one file is never split. Counts come from one parse
-    of the landed copy. A missing source raises ``FileNotFoundError``.
-    """
-    try:
-        files = spark.read.text(src, wholetext=True)
-    except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "Path does not exist" in str(exc):
-            raise FileNotFoundError(src) from exc
-        raise
-    named = files.select(F.regexp_replace(F.element_at(F.split(F.input_file_name(), "/"), -1),
-                                          "[^A-Za-z0-9._-]", "_").alias("source_file"),
-                         "value")
-    named.write.mode("overwrite").partitionBy("source_file").text(dst)
+def land_raw(spark: SparkSession, src: str, dst: str, cols: ListingColumns = COLS) -> Landing:
+    """S3: land raw CSV files in Bronze, byte for byte (``landing``), and
+    report their shape. Rows are counted in one parse of the landed copy. A
+    missing source raises ``FileNotFoundError``."""
+    total = copy_all(spark, src, dst).agg(F.count(F.lit(1)), F.sum("bytes")).first()
     parsed = read_raw_csv(spark, dst, cols=cols, recursive=True)
-    return Landing(dst, parsed.count(), len(parsed.columns))
+    return Landing(dst, total[0], total[1] or 0, parsed.count(), len(parsed.columns))
 
 
 def resolve_source(spark: SparkSession, candidates: Sequence[tuple[str, str]],

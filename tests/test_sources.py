@@ -1,12 +1,17 @@
 """CSV edge, Parquet round trips, partition typing, catalog registration."""
+import hashlib
 import os
+import random
 import tempfile
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
 from lodgeframe.columns import COLS
 from lodgeframe.operators import clean as Q
+from lodgeframe.sources import landing as LD
+from lodgeframe.sources import ranged_csv as RC
 from lodgeframe.sources import raw as SR
 from lodgeframe.sources import sinks as SK
 from lodgeframe.sources import tables as ST
@@ -123,3 +128,112 @@ def test_schema_rows(spark):
     df = Q.cast_columns(raw_df(spark))
     rows = ST.schema_rows(spark, df).orderBy("position").collect()
     assert len(rows) == 16 and rows[0].column == "id" and rows[0].type == "bigint"
+
+
+def _files(folder):
+    out = {}
+    for root, _, names in os.walk(folder):
+        for n in names:
+            if "_manifest" not in root and not n.startswith((".", "_")):
+                with open(os.path.join(root, n), "rb") as f:
+                    out[os.path.relpath(os.path.join(root, n), folder)] = f.read()
+    return out
+
+
+def test_landing_keeps_bytes_and_paths(spark):
+    src, dst = tempfile.mkdtemp(prefix="lf-bytes-src-"), tempfile.mkdtemp(prefix="lf-bytes-dst-")
+    header = (",".join(COLS.raw_order) + "\n").encode()
+    want = {"2019/part.csv": header + b"1,no line break at the end", "2020/part.csv": header + b'2,"a\r\nb",x\r\n',
+            "a b.csv": header + b"3,\xff\xfe not UTF-8,x\n", "empty.csv": b""}
+    for name, data in want.items():
+        os.makedirs(os.path.dirname(os.path.join(src, name)), exist_ok=True)
+        with open(os.path.join(src, name), "wb") as f:
+            f.write(data)
+    landing = SR.land_raw(spark, src, dst)
+    assert _files(dst) == want
+    assert (landing.files, landing.bytes, landing.rows) == (4, sum(map(len, want.values())), 3)
+    listed = {r.relative_path: (r.bytes, r.sha256) for r in LD.manifest(spark, dst).collect()}
+    assert listed == {k: (len(v), hashlib.sha256(v).hexdigest()) for k, v in want.items()}
+    assert LD.differences(spark, dst).collect() == []
+    os.remove(os.path.join(dst, "a b.csv"))
+    with open(os.path.join(dst, "2019/part.csv"), "ab") as f:
+        f.write(b"x")
+    assert {r.relative_path for r in LD.differences(spark, dst).collect()} == {"a b.csv", "2019/part.csv"}
+    # A second landing replaces the first one.
+    one = SR.land_raw(spark, os.path.join(src, "2020", "part.csv"), dst)
+    assert one.files == 1 and _files(dst) == {"part.csv": want["2020/part.csv"]}
+
+
+def test_landing_reads_no_content_into_rows_and_copies_by_the_buffer(spark, tmp_path):
+    (tmp_path / "a").write_bytes(bytes(range(256)) * 50)
+    plan = LD.source_files(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    assert "content" not in plan.split("Relation")[0]
+    assert LD.copy_file(f"file:{tmp_path}/a", f"{tmp_path}/deep/b", 7) == (
+        12800, hashlib.sha256((tmp_path / "a").read_bytes()).hexdigest())
+    assert (tmp_path / "deep" / "b").read_bytes() == (tmp_path / "a").read_bytes()
+
+
+def test_a_landing_without_its_list_is_refused(spark, tmp_path):
+    with pytest.raises(FileNotFoundError):
+        LD.manifest(spark, str(tmp_path))
+    with pytest.raises(ValueError):
+        (tmp_path / "x").write_bytes(b"1")
+        LD.copy_all(spark, str(tmp_path), str(tmp_path))
+
+
+@pytest.fixture
+def small_ranges(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = [spark.conf.get(n) for n in names]
+    spark.conf.set(names[1], "1")
+    yield lambda size: spark.conf.set(names[0], str(size))
+    for n, v in zip(names, before):
+        spark.conf.set(n, v)
+
+
+@pytest.mark.parametrize("size", [37, 100, 1 << 20])
+def test_ranges_of_a_file_give_what_the_whole_file_gives(spark, small_ranges, size):
+    rng = random.Random(size)
+    bits = ["a", "é", '""', ",", "\n", "\n\n", "\r\n", "x y", " ", "日本", '""""']
+
+    def field():
+        k = rng.random()
+        if k < 0.5:
+            return '"' + "".join(rng.choice(bits) for _ in range(rng.randrange(12))) + '"' if k > 0.25 else ""
+        return rng.choice(["abc", "1.5", "   ", "null", '""', "x" * rng.randrange(60)])
+
+    d = tempfile.mkdtemp(prefix="lf-ranges-")
+    for f in range(2):
+        lines = [",".join(COLS.raw_order)] + [",".join([str(i)] + [field() for _ in range(15)]) + "\n" * (i % 20 == 0)
+                                              for i in range(90)]
+        with open(f"{d}/f{f}.csv", "w", newline="", encoding="utf-8") as fh:
+            fh.write("\n".join(lines) + "\n" * f)
+    want = Counter(tuple(r) for r in SR.read_raw_csv(spark, d, whole_files=True).collect())
+    small_ranges(size)
+    assert Counter(tuple(r) for r in SR.read_raw_csv(spark, d).collect()) == want and sum(want.values()) == 180
+    if size < 1000:
+        assert RC.file_lines(spark, d).select("file", "range").distinct().count() > 100
+
+
+def test_a_quoted_line_break_at_every_cut(spark, small_ranges):
+    d = tempfile.mkdtemp(prefix="lf-cuts-")
+    schema = SR.string_schema(["a", "b"])
+    # Every record is longer than a range and breaks its line at every other byte.
+    want = [(str(i), "\n".join("xy" for _ in range(30 + i))) for i in range(20)]
+    _write(f"{d}/f.csv", "a,b\n" + "".join(f'{a},"{b}"\n' for a, b in want))
+    small_ranges(20)
+    rows = RC.read_ranged_csv(spark, d, schema)
+    assert sorted(map(tuple, rows.collect())) == sorted(want)
+    assert RC.file_lines(spark, d).select("range").distinct().count() > 90
+
+
+def test_csv_without_rows_or_header(spark):
+    d = tempfile.mkdtemp(prefix="lf-none-")
+    schema = SR.string_schema(["a", "b"])
+    _write(f"{d}/empty.csv", "")
+    assert RC.read_ranged_csv(spark, d, schema).collect() == []
+    _write(f"{d}/head.csv", "\n\na,b\n")
+    assert RC.read_ranged_csv(spark, d, schema).collect() == []
+    assert [tuple(r) for r in RC.read_ranged_csv(spark, d, schema, header=False).collect()] == [("a", "b")]
+    _write(f"{d}/short.csv", "a,b\n1\n2,3,4\n")
+    assert sorted((r.a, r.b) for r in RC.read_ranged_csv(spark, d, schema).collect()) == [("1", None), ("2", "3")]
