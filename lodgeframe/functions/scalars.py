@@ -47,7 +47,7 @@ def occupancy_pct(occupancy) -> Column:
 
 def keyword_flag(text, word: str) -> Column:
     """1.0 when the lower-cased text matches ``word`` (a regex), else 0.0."""
-    return F.when(F.lower(_c(text)).rlike(word), F.lit(1.0)).otherwise(F.lit(0.0))
+    return F.coalesce(F.regexp_like(F.lower(_c(text)), F.lit(word)), F.lit(False)).cast("double")
 
 
 def keyword_flags(text, words: Sequence[str], prefix: str = "has_") -> list[Column]:
@@ -60,13 +60,11 @@ def extract_count(text, studio_flag=None, pattern: str = BEDROOM_PATTERN,
     studios; a double. By default it matches inside words too ("5 brooklyn"
     gives 5), as the reference pattern has no word boundary;
     ``word_boundary=True`` requires the bedroom word to end there."""
-    if word_boundary:
-        pattern = pattern + r"\b"
-    got = F.regexp_extract(F.lower(_c(text)), pattern, 1)
-    n = F.when(got == "", F.lit("0")).otherwise(got).cast("double")
-    if studio_flag is not None:
-        n = F.when(_c(studio_flag) == 1.0, F.lit(0.0)).otherwise(n)
-    return n
+    low = F.lower(_c(text))
+    digits = F.regexp_extract(low, pattern + (r"\b" if word_boundary else ""), 1)
+    count = F.coalesce(F.nullif(digits, F.lit("")).cast("double"), F.lit(0.0))
+    studio = F.lit(False) if studio_flag is None else F.coalesce(_c(studio_flag) == 1.0, F.lit(False))
+    return F.when(studio, 0.0).when(low.isNotNull(), count)
 
 
 def planar_distance(lat, lon, point_lat: float, point_lon: float) -> Column:

@@ -6,7 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
+from pyspark.sql.types import NumericType, StructType
 
 from lodgeframe.columns import (COLS, FILL_LAST_REVIEW, FILL_RATE, FILL_TEXT,
                                 MIN_NIGHTS_HI, MIN_NIGHTS_LO, PRICE_CAP, PRICE_MIN,
@@ -161,6 +161,17 @@ def fill_numeric(df: DataFrame, value: float = 0.0, exclude: Sequence[str] = ())
 
 def clean(raw: DataFrame, cols: ListingColumns = COLS, strict: bool = False) -> DataFrame:
     """Silver: cast, fill, then the filters in rule order, then de-duplicate."""
-    typed = fill_missing(cast_columns(raw, strict=strict, cols=cols), cols=cols)
-    kept = typed.filter(failed_rule(typed, cols).isNull())
-    return dedup(kept, [cols.key])
+    return keep_rows(fill_missing(cast_columns(raw, strict=strict, cols=cols), cols=cols), cols)
+
+
+def keep_rows(typed: DataFrame, cols: ListingColumns = COLS) -> DataFrame:
+    """The rows of a cast and filled table that pass the rules, one per key."""
+    return dedup(typed.filter(failed_rule(typed, cols).isNull()), [cols.key])
+
+
+def silver_schema(cols: ListingColumns = COLS) -> StructType:
+    """The schema of the cleaned table as written: the zone, its partition
+    column, comes last and is a string whatever its values look like."""
+    types = listing_types(cols)
+    order = [c for c in cols.raw_order if c != cols.zone] + [cols.zone]
+    return StructType.fromDDL(", ".join(f"`{c}` {types.get(c, 'string')}" for c in order))

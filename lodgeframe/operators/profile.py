@@ -80,8 +80,7 @@ def clean_audit(df: DataFrame, cols: ListingColumns = COLS,
     distinct count, which saves a shuffle of every key.
     """
     rule = failed_rule(df, cols)
-    aggs = [F.count_if(rule == r).alias(r) for r in RULES if r != "duplicates"]
-    aggs.append(F.count_if(rule.isNull()).alias("_passed"))
+    aggs = rule_metrics(df, cols)
     if deduplicated is None:
         aggs.append(F.count_distinct(F.when(rule.isNull(), F.col(cols.key))).alias("remaining"))
         agg = df.agg(*aggs)
@@ -90,13 +89,33 @@ def clean_audit(df: DataFrame, cols: ListingColumns = COLS,
     else:
         remaining = deduplicated.agg(F.count(F.lit(1))).scalar()
         agg = df.agg(*aggs).select("*", remaining.alias("remaining"))
-    agg = agg.withColumn("duplicates", F.col("_passed") - F.col("remaining"))
+    return _stack_audit(agg)
+
+
+def rule_metrics(df: DataFrame, cols: ListingColumns = COLS) -> list[Column]:
+    """The counts behind the audit: rows by the first rule they fail, and
+    those that pass all. Usable in ``agg`` or, during a write, in ``observe``."""
+    rule = failed_rule(df, cols)
+    return ([F.count_if(rule == r).alias(r) for r in RULES if r != "duplicates"]
+            + [F.count_if(rule.isNull()).alias("_passed")])
+
+
+def _stack_audit(counts: DataFrame) -> DataFrame:
+    wide = counts.withColumn("duplicates", F.col("_passed") - F.col("remaining"))
     names = RULES + ["remaining"]
     pairs = ", ".join(f"{i + 1}, '{r}', `{r}`" for i, r in enumerate(names))
-    return agg.selectExpr(f"stack({len(names)}, {pairs}) AS (step, rule, removed)").select(
+    return wide.selectExpr(f"stack({len(names)}, {pairs}) AS (step, rule, removed)").select(
         F.col("step").cast("int"), "rule", F.col("removed").cast("long"))
 
 
+def audit_from_metrics(spark, metrics: dict, remaining: int) -> DataFrame:
+    """The audit from observed ``rule_metrics`` and the rows that remained."""
+    names = [r for r in RULES if r != "duplicates"] + ["_passed"]
+    schema = ", ".join(f"`{n}` long" for n in [*names, "remaining"])
+    return _stack_audit(spark.createDataFrame(
+        [tuple(int(metrics.get(n) or 0) for n in names) + (int(remaining),)], schema))
+
+
 def retention(before: DataFrame, after: DataFrame) -> DataFrame:
     """rows_in, rows_out, rows_removed, retention_pct (2 dp; null for no input).
 

@@ -2,15 +2,18 @@
 report) and silver -> features (the feature table and the zone x kind KPI
 table).
 
-The raw -> silver job makes two passes over full rows. The source is
-parsed once and written as Parquet to the shared checkpoint folder, and
-its missing-value profile is observed during that write. Silver is then
-written from the staged copy, with its own profile and row count observed
-during that write. Observed metrics are gathered in each write's final
-stage, where Spark applies every task's update exactly once, even when a
-task is retried. The rule audit is one more scan of the staged copy that
-reads only the five columns the rules use. A lost executor re-reads its
-split of the staged copy, not the source.
+The raw -> silver job reads the source once and its own staged copy once. The
+source is cast and filled and written as Parquet to the shared checkpoint
+folder; the raw missing-value profile and the rows that each rule rejects are
+observed during that write. Silver is then written from the staged copy, with
+its own profile and row count observed, and the staged copy is deleted.
+Observed metrics are gathered in each write's final stage, where Spark applies
+every task's update exactly once, even when a task is retried (an observation
+before a shuffle would not be). A lost executor re-reads its split of the
+staged copy, not the source.
+
+Partitioned tables are read with their schema, so zones called "2019" or ""
+stay what they are from raw to KPIs.
 """
 from __future__ import annotations
 
@@ -24,7 +27,9 @@ from lodgeframe.operators import kpis as K
 from lodgeframe.operators import profile as P
 from lodgeframe.operators.enrich import gold_features
 from lodgeframe.session import scratch_path
+from lodgeframe.sources import files as FS
 from lodgeframe.sources import sinks as SK
+from lodgeframe.sources import tables as ST
 
 
 @dataclass
@@ -41,22 +46,20 @@ def raw_to_silver(spark: SparkSession, raw: DataFrame, silver_path: str,
     """Clean ``raw`` (all-string listing rows) into a zone-partitioned
     Silver table, with the per-rule audit and a before/after quality report."""
     raw_columns = raw.columns
-    staged_path = scratch_path(spark, "raw-staged")
-    seen_raw = Observation("raw_profile")
-    raw.observe(seen_raw, *P.missing_metrics(raw)).write.mode("overwrite").parquet(staged_path)
-    staged = spark.read.parquet(staged_path)
+    staged_path = scratch_path(spark, "typed-staged")
+    seen_raw, seen_rules = Observation("raw_profile"), Observation("rules")
+    typed = Q.fill_missing(Q.cast_columns(raw.observe(seen_raw, *P.missing_metrics(raw)), cols=cols), cols=cols)
+    typed.observe(seen_rules, *P.rule_metrics(typed, cols)).write.mode("overwrite").parquet(staged_path)
 
-    cleaned = Q.clean(staged, cols)
+    cleaned = Q.keep_rows(spark.read.schema(typed.schema).parquet(staged_path), cols)
     seen_silver = Observation("silver_profile")
     SK.write_partitioned(cleaned.observe(seen_silver, *P.missing_metrics(cleaned)),
-                         silver_path, cols.zone)
+                         silver_path, cols.zone, rebalance=False)
+    FS.delete(spark, staged_path)
     before = P.profile_from_metrics(spark, seen_raw.get, raw_columns)
     after = P.profile_from_metrics(spark, seen_silver.get, cleaned.columns)
     n_in, n_out = int(seen_raw.get["total"]), int(seen_silver.get["total"])
-
-    typed = Q.fill_missing(Q.cast_columns(staged, cols=cols), cols=cols)
-    audit = P.clean_audit(typed, cols, deduplicated=n_out).persist()
-    audit.count()
+    audit = P.audit_from_metrics(spark, seen_rules.get, n_out)
     run = P.retention_from_counts(spark, n_in, n_out)
     report = SK.quality_report(spark, run, before, after)
     if report_path:
@@ -67,7 +70,9 @@ def raw_to_silver(spark: SparkSession, raw: DataFrame, silver_path: str,
 def silver_to_features(spark: SparkSession, silver_path: str, gold_path: str,
                    kpi_path: str, cols: ListingColumns = COLS) -> tuple[DataFrame, DataFrame]:
     """Feature table (partitioned like Silver) and the small KPI table."""
-    silver = spark.read.parquet(silver_path)
-    SK.write_features(gold_features(silver, cols), gold_path, cols.zone)
+    silver = ST.read_table(spark, silver_path, schema=Q.silver_schema(cols), partition_by=[cols.zone])
+    features = gold_features(silver, cols)
+    SK.write_features(features, gold_path, cols.zone)
     SK.write_small(K.zone_kind_kpis(silver, cols), kpi_path)
-    return spark.read.parquet(gold_path), spark.read.parquet(kpi_path)
+    gold = ST.read_table(spark, gold_path, schema=SK.written_schema(features, [cols.zone]), partition_by=[cols.zone])
+    return gold, spark.read.parquet(kpi_path)

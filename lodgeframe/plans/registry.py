@@ -10,7 +10,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from lodgeframe.columns import (COLS, KIND_LABELS, LAT_CENTER, LAT_JFK, LON_CENTER, LON_JFK,
                                 MAP_SAMPLE_ROWS, PREMIUM_WORDS)
@@ -1013,16 +1012,10 @@ def _silver_written(spark, sf_dir) -> str:
     return path
 
 
-def _silver_schema(spark, sf_dir) -> StructType:
-    s = L.silver(spark, sf_dir).schema
-    fields = [f for f in s.fields if f.name != COLS.zone]
-    return StructType(fields + [StructField(COLS.zone, StringType(), True)])
-
-
 @register("s2_s4_partitioned_roundtrip", "SELECT * FROM silver")
 def s2_s4_partitioned_roundtrip(spark, sf_dir):
     path = _silver_written(spark, sf_dir)
-    back = ST.read_table(spark, path, schema=_silver_schema(spark, sf_dir))
+    back = ST.read_table(spark, path, schema=Q.silver_schema(), partition_by=[COLS.zone])
     return back.select(*L.silver(spark, sf_dir).columns)
 
 
@@ -1031,7 +1024,8 @@ def s5_features_roundtrip(spark, sf_dir):
     g = L.gold(spark, sf_dir)
     path = scratch_path(spark, "gold")
     SK.write_features(g, path, COLS.zone)
-    return spark.read.parquet(path).select(*g.columns)
+    back = ST.read_table(spark, path, schema=SK.written_schema(g, [COLS.zone]), partition_by=[COLS.zone])
+    return back.select(*g.columns)
 
 
 @register("s6_small_roundtrip", _A1_SQL)
@@ -1071,7 +1065,8 @@ def s7_quality_report_summary(spark, sf_dir):
 def s8_resolve_source(spark, sf_dir):
     path = _silver_written(spark, sf_dir)
     df, _ = SR.resolve_source(spark, [("parquet", scratch_path(spark, "missing")),
-                                      ("parquet", path)])
+                                      ("parquet", path)],
+                              schema=Q.silver_schema(), partition_by=[COLS.zone])
     return df.select(*L.silver(spark, sf_dir).columns)
 
 
@@ -1079,7 +1074,7 @@ def s8_resolve_source(spark, sf_dir):
 SELECT neighbourhood_group, count(*) AS n FROM silver GROUP BY neighbourhood_group""")
 def s9_register_table(spark, sf_dir):
     path = _silver_written(spark, sf_dir)
-    SK.register_table(spark, "lodgeframe_silver", path)
+    SK.register_table(spark, "lodgeframe_silver", path, schema=Q.silver_schema(), by=[COLS.zone])
     return spark.sql(f"SELECT {COLS.zone}, count(*) AS n FROM lodgeframe_silver "
                      f"GROUP BY {COLS.zone}")
 
@@ -1096,5 +1091,4 @@ SELECT CAST(neighbourhood_group AS VARCHAR) AS group_value, 0 AS is_total, count
 UNION ALL SELECT NULL, 1, count(*), 16 FROM silver""")
 def s12_verify_table(spark, sf_dir):
     path = _silver_written(spark, sf_dir)
-    return ST.verify_table(ST.read_table(spark, path, schema=_silver_schema(spark, sf_dir)),
-                           COLS.zone)
+    return ST.verify_table(ST.read_table(spark, path, schema=Q.silver_schema(), partition_by=[COLS.zone]), COLS.zone)

@@ -12,6 +12,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 from lodgeframe.columns import COLS, ListingColumns
 from lodgeframe.sources.landing import Landing, copy_all
 from lodgeframe.sources.ranged_csv import read_ranged_csv
+from lodgeframe.sources.tables import read_table
 
 
 def string_schema(columns: Sequence[str]) -> StructType:
@@ -62,20 +63,21 @@ def land_raw(spark: SparkSession, src: str, dst: str, cols: ListingColumns = COL
     return Landing(dst, total[0], total[1] or 0, parsed.count(), len(parsed.columns))
 
 
-def resolve_source(spark: SparkSession, candidates: Sequence[tuple[str, str]],
-                   cols: ListingColumns = COLS) -> tuple[DataFrame, str]:
+def resolve_source(spark: SparkSession, candidates: Sequence[tuple[str, str]], cols: ListingColumns = COLS,
+                   schema: StructType | None = None, partition_by: Sequence[str] = ()) -> tuple[DataFrame, str]:
     """Return the first readable source and a label saying which one won.
 
     ``candidates`` are ``(format, path)`` pairs tried in order, format being
     ``parquet`` or ``csv``. Only a missing path moves on to the next one;
-    any other error is raised.
+    any other error is raised. ``schema`` and ``partition_by`` describe a
+    Parquet table, whose partition values are else guessed from folder names.
     """
     for fmt, path in candidates:
         if not path:
             continue
         try:
             if fmt == "parquet":
-                df = spark.read.parquet(path)
+                df = read_table(spark, path, schema=schema, partition_by=partition_by)
             else:
                 df = read_raw_csv(spark, path, cols=cols)
                 df.schema  # noqa: B018 - forces path resolution

@@ -9,31 +9,45 @@ from py4j.protocol import Py4JError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructType
 
 from lodgeframe.columns import COLS, MIN_NIGHTS_HI, MIN_NIGHTS_LO, PRICE_MIN, ListingColumns
 from lodgeframe.operators.clean import listing_fills
+from lodgeframe.sources.tables import EMPTY_PARTITION
 
 log = logging.getLogger(__name__)
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str] | str,
-                      dynamic: bool = False, max_records_per_file: int = 1_000_000) -> None:
+def write_partitioned(df: DataFrame, path: str, by: Sequence[str] | str, dynamic: bool = False,
+                      max_records_per_file: int = 1_000_000, rebalance: bool = True) -> None:
     """Idempotent overwrite of a table partitioned by ``by``.
 
     ``dynamic=False`` (a full reload) replaces every partition; ``True``
-    replaces only the partitions present in ``df``. No shuffle is added: the
-    writer sorts each task's rows by the partition columns, so a task writes
-    its directories one after another. (Repartitioning by a low-cardinality
-    zone would send a third of the table to one task when one zone holds a
-    third of the rows.) A cap on records per file bounds file sizes.
+    replaces only the partitions present in ``df``.
+
+    With ``rebalance`` rows are dealt by ``by`` first, under adaptive
+    execution: small partitions share a task and a large one is split over
+    several (``spark.sql.adaptive.advisoryPartitionSizeInBytes``), so the
+    number of files follows the size of the data and a zone with a third of
+    the rows is no single task. Without it no shuffle is added and each task
+    writes a file per zone it meets. Empty strings in ``by`` are written as
+    ``EMPTY_PARTITION`` (``read_table`` restores them).
     """
     by = [by] if isinstance(by, str) else list(by)
-    mode = "dynamic" if dynamic else "static"
-    (df.write.mode("overwrite")
-       .option("partitionOverwriteMode", mode)
-       .option("maxRecordsPerFile", max_records_per_file)
-       .partitionBy(*by)
-       .parquet(path))
+    out = df.select(*[F.when(F.col(c) == "", F.lit(EMPTY_PARTITION)).otherwise(F.col(c)).alias(c)
+                      if c in by and isinstance(df.schema[c].dataType, StringType) else F.col(c) for c in df.columns])
+    if rebalance:
+        out = out.hint("rebalance", *[F.col(c) for c in by])
+    (out.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic" if dynamic else "static")
+        .option("maxRecordsPerFile", max_records_per_file)
+        .partitionBy(*by)
+        .parquet(path))
+
+
+def written_schema(df: DataFrame, by: Sequence[str]) -> StructType:
+    """The schema a table partitioned by ``by`` has when it is read back."""
+    return StructType([f for f in df.schema.fields if f.name not in by] + [df.schema[c] for c in by])
 
 
 def write_features(df: DataFrame, path: str, by: str) -> None:
@@ -82,11 +96,16 @@ def write_quality_report(report: DataFrame, path: str) -> bool:
         return False
 
 
-def register_table(spark: SparkSession, name: str, path: str,
-                   partitioned: bool = True) -> DataFrame:
-    """Catalog a Parquet folder and recover its partitions so SQL sees rows."""
+def register_table(spark: SparkSession, name: str, path: str, partitioned: bool = True,
+                   schema: StructType | None = None, by: Sequence[str] = ()) -> DataFrame:
+    """Catalog a Parquet folder and recover its partitions so SQL sees rows.
+    With ``schema`` and ``by`` the table is declared column by column, so a
+    partition called ``2019`` stays a string."""
     spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.sql(f"CREATE TABLE {name} USING PARQUET LOCATION '{path}'")
+    columns = "" if schema is None else "(" + ", ".join(
+        f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields) + ")"
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in by)})" if schema is not None and by else ""
+    spark.sql(f"CREATE TABLE {name} {columns} USING PARQUET{parts} LOCATION '{path}'")
     if partitioned:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     return spark.table(name)

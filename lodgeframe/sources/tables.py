@@ -5,21 +5,32 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
+
+
+#: What a partition folder of an empty string is called: by itself Spark writes
+#: "" into the folder of nulls, and it comes back as one.
+EMPTY_PARTITION = "__EMPTY__"
 
 
 def read_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None,
-               schema: StructType | None = None) -> DataFrame:
+               schema: StructType | None = None, partition_by: Sequence[str] = ()) -> DataFrame:
     """Parquet read with partition discovery.
 
     Passing ``schema`` pins the types of partition columns too (a zone
-    called ``2019`` would otherwise come back as an int, and ``""`` as null).
+    called ``2019`` would otherwise come back as an int); the string columns
+    of ``partition_by`` get their empty strings back that
+    ``write_partitioned`` wrote as ``EMPTY_PARTITION``.
     Selecting ``columns`` here lets the scan read only those columns.
     """
     reader = spark.read
     if schema is not None:
         reader = reader.schema(schema)
     df = reader.parquet(path)
+    texts = [c for c in partition_by if isinstance(df.schema[c].dataType, StringType)]
+    if texts:
+        df = df.select(*[F.when(F.col(c) != EMPTY_PARTITION, F.col(c)).when(F.col(c).isNotNull(), F.lit("")).alias(c)
+                         if c in texts else F.col(c) for c in df.columns])
     if columns is not None:
         df = df.select(*columns)
     return df
