@@ -66,6 +66,10 @@ def gold_features(silver: DataFrame, cols: ListingColumns = COLS,
                      "zone_avg_price", "price_vs_zone_pct", "zone_type_avg_price")
 
 
+#: Feature columns computed from the value: never inputs of a model that predicts it.
+VALUE_DERIVED = ("price_log", "zone_avg_price", "price_vs_zone_pct", "zone_type_avg_price")
+
+
 def dashboard_columns(cols: ListingColumns = COLS) -> list[str]:
     return [cols.key, cols.zone, cols.subzone, cols.kind, cols.value, cols.nights,
             cols.reviews, cols.reviews_per_month, cols.host_listings, cols.availability,

@@ -43,9 +43,15 @@ def impute_from_group(requests: DataFrame, df: DataFrame, keys: Sequence[str],
                       features: Sequence[str]) -> DataFrame:
     """For each request, the group's median of every feature, or the
     global median when the group is unknown (or its median is null)."""
-    lookup = group_medians(df, keys, features).select(
-        *keys, *[F.col(f).alias(f"_g_{f}") for f in features])
-    glob = global_medians(df, features).select(F.struct(*features).alias("g")).scalar()
+    return impute_from_lookup(requests, group_medians(df, keys, features), global_medians(df, features), keys, features)
+
+
+def impute_from_lookup(requests: DataFrame, groups: DataFrame, overall: DataFrame, keys: Sequence[str],
+                       features: Sequence[str]) -> DataFrame:
+    """J1 with medians already made: per group (``groups``) and in all
+    (``overall``, one row)."""
+    lookup = groups.select(*keys, *[F.col(f).alias(f"_g_{f}") for f in features])
+    glob = overall.select(F.struct(*features).alias("g")).scalar()
     joined = attach_lookup(requests, lookup, list(keys)).select("*", glob.alias("_glob"))
     return joined.select(*requests.columns,
                          *[F.coalesce(F.col(f"_g_{f}"), F.col(f"_glob.{f}")).alias(f)
@@ -56,7 +62,11 @@ def attach_centroid(requests: DataFrame, df: DataFrame, by: str, lat: str,
                     lon: str) -> DataFrame:
     """The group's centroid, else the mean of all centroids (of groups,
     not of rows)."""
-    cent = centroids(df, by, lat, lon)
+    return attach_known_centroid(requests, centroids(df, by, lat, lon), by, lat, lon)
+
+
+def attach_known_centroid(requests: DataFrame, cent: DataFrame, by: str, lat: str, lon: str) -> DataFrame:
+    """J2 with centroids already made."""
     fallback = cent.agg(F.struct(F.avg(lat).alias(lat), F.avg(lon).alias(lon))).scalar()
     lookup = cent.select(by, F.col(lat).alias("_c_lat"), F.col(lon).alias("_c_lon"))
     joined = attach_lookup(requests, lookup, [by]).select("*", fallback.alias("_fb"))

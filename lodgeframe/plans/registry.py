@@ -11,8 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodgeframe.columns import (COLS, KIND_LABELS, LAT_CENTER, LAT_JFK, LON_CENTER, LON_JFK,
-                                MAP_SAMPLE_ROWS, PREMIUM_WORDS)
+from lodgeframe.columns import COLS, KIND_LABELS, MAP_SAMPLE_ROWS, PREMIUM_WORDS
 from lodgeframe.functions import scalars as S
 from lodgeframe.operators import clean as Q
 from lodgeframe.operators import estimate as E
@@ -23,10 +22,11 @@ from lodgeframe.operators import profile as P
 from lodgeframe.operators import rank as R
 from lodgeframe.operators import sampling as T
 from lodgeframe.operators.enrich import dashboard_columns, model_frame
+from lodgeframe.plans import bundle as B
 from lodgeframe.plans import listings as L
 from lodgeframe.plans import ml as M
 from lodgeframe.plans.oracle import RAW_COLUMNS, with_ctes
-from lodgeframe.session import scratch_path
+from lodgeframe.session import checkpoint_root, scratch_path
 from lodgeframe.sources import raw as SR
 from lodgeframe.sources import sinks as SK
 from lodgeframe.sources import tables as ST
@@ -756,7 +756,7 @@ JOIN (SELECT DISTINCT column_name, CAST(n_labels AS DOUBLE) AS n_labels FROM ({_
 def m1_string_index(spark, sf_dir):
     """Index by frequency in the training part, ties by label; a label unseen
     there gets the number of labels."""
-    pairs = ", ".join(f"'{c}', `{c}`, `{c}_idx`" for c in M.CATEGORICAL)
+    pairs = ", ".join(f"'{c}', `{c}`, `{c}_code`" for c in M.CATEGORICAL)
     long = _indexed(spark, sf_dir).selectExpr(
         f"stack({len(M.CATEGORICAL)}, {pairs}) AS (column_name, label, idx)")
     return long.groupBy("column_name", "label", "idx").agg(F.count(F.lit(1)).alias("n"))
@@ -770,7 +770,7 @@ FROM gold g LEFT JOIN ({_INDEX_SQL}) i ON i.column_name = '{COLS.kind}' AND i.la
 def m2_one_hot(spark, sf_dir):
     """Per listing the size of the one-hot vector of its kind and the slot set."""
     from pyspark.ml.functions import vector_to_array
-    arr = vector_to_array(f"{COLS.kind}_ohe")
+    arr = vector_to_array(f"{COLS.kind}_slots")
     at = F.array_position(arr, F.lit(1.0)).cast("int") - 1
     return _indexed(spark, sf_dir).select(
         COLS.key, F.size(arr).alias("n_slots"),
@@ -810,7 +810,7 @@ def m4_m5_words(spark, sf_dir):
     g = L.gold(spark, sf_dir).select(COLS.key, COLS.name)
     tokens, stop = M.feature_stages(g, categorical=[], text=COLS.name, numeric=[])[:2]
     return stop.transform(tokens.transform(g)).select(
-        COLS.key, F.size("words").alias("n_words"), F.size("filtered_words").alias("n_kept"))
+        COLS.key, F.size("tokens").alias("n_words"), F.size("kept_tokens").alias("n_kept"))
 
 
 def _fixed_predictions(spark, sf_dir) -> DataFrame:
@@ -846,7 +846,7 @@ SELECT count(*) AS n_rows, CAST(0 AS BIGINT) AS n_mismatches FROM gold WHERE NOT
 def s10_model_mismatches(spark, sf_dir):
     """Rows on which the saved and reloaded pipeline predicts otherwise than
     the fitted one."""
-    g = L.gold(spark, sf_dir)
+    g = L.gold(spark, sf_dir).persist()
     train, test = T.train_test(g, 0.8, COLS.key, SEED)
     model = M.fit(train, M.feature_stages(g), M.estimator("lr", 1))
     path = scratch_path(spark, "model")
@@ -876,12 +876,72 @@ def m10_gradient_boosted_baseline(spark, sf_dir):
 @register("m12_m13_compare_advanced_linear")
 def m12_m13_compare_advanced_linear(spark, sf_dir):
     """Iteration 2 features (text TF-IDF, keyword flags, distances) with the
-    linear model; the 120-tree forest and 175-round boosting are options of
-    ``compare_models`` (iteration=2), not smoke queries."""
+    linear model."""
     return M.compare_models(model_frame(L.gold(spark, sf_dir)), ["lr"], iteration=2,
                             text=COLS.name)
 
 
+@register("m13_compare_grid")
+def m13_compare_grid(spark, sf_dir):
+    """Three models in both iterations, six rows; each iteration's stages are
+    fitted once and its models run side by side."""
+    g = L.gold(spark, sf_dir)
+    return M.compare_grid({1: (g, None), 2: (model_frame(g), COLS.name)})
+
+
+GRAM = [COLS.lat, COLS.nights, COLS.reviews, COLS.reviews_per_month, COLS.host_listings, COLS.availability]
+_GRAM_TERMS = ["one", *GRAM, M.LABEL]
+
+
+@register("m8_gram_sums", " UNION ALL ".join(
+    f"SELECT '{x}' AS term_a, '{y}' AS term_b, round(sum({'1.0' if x == 'one' else f'CAST({x} AS DOUBLE)'} * "
+    f"{'1.0' if y == 'one' else f'CAST({y} AS DOUBLE)'}), 2) AS total FROM gold"
+    for i, x in enumerate(_GRAM_TERMS) for y in _GRAM_TERMS[i:]))
+def m8_gram_sums(spark, sf_dir):
+    """The sums of products from which the linear model follows."""
+    sums = M.gram_sums(L.gold(spark, sf_dir), GRAM)
+    cells = ", ".join(f"'{c.split('*')[0]}', '{c.split('*')[1]}', round(`{c}`, 2)" for c in sums.columns)
+    return sums.selectExpr(f"stack({len(sums.columns)}, {cells}) AS (term_a, term_b, total)")
+
+
+@register("m8_coefficients", f"""
+SELECT CAST({len(GRAM) + 1} AS INTEGER) AS n_coefficients, CAST(0 AS INTEGER) AS n_apart""")
+def m8_coefficients(spark, sf_dir):
+    """Coefficients and intercept of the fitted linear model that differ by
+    over 1e-6 from those of coordinate descent on the sums of products."""
+    from pyspark.ml.feature import VectorAssembler
+    g = L.gold(spark, sf_dir).select(*GRAM, M.LABEL)
+    own, base = M.elastic_net(M.gram_sums(g, GRAM).first().asDict(), GRAM)
+    model = M.estimator("lr", 1).setTol(1e-13).setMaxIter(1000).fit(
+        VectorAssembler(inputCols=GRAM, outputCol="features", handleInvalid="skip").transform(g))
+    apart = [abs(a - b) > 1e-6 for a, b in zip([*own, base], [*model.coefficients, model.intercept])]
+    return spark.createDataFrame([(len(apart), int(sum(apart)))], "n_coefficients int, n_apart int")
+
+
+_CODES_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, {c} AS label, CAST(row_number() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS code "
+    f"FROM (SELECT DISTINCT {c} FROM gold WHERE {_IN_TRAIN} AND {c} IS NOT NULL)" for c in M.CATEGORICAL)
+
+
+@register("m1_ordinal_codes", f"""
+, codes AS ({_CODES_SQL}),
+asked AS (SELECT id, CASE WHEN id % 17 = 3 THEN NULL WHEN id % 13 = 4 THEN 'never seen' ELSE room_type END AS room_type,
+                 neighbourhood FROM gold)
+SELECT a.id, coalesce(k.code, -1.0) AS room_type_code, coalesce(n.code, -1.0) AS neighbourhood_code FROM asked a
+LEFT JOIN codes k ON k.column_name = 'room_type' AND k.label = a.room_type
+LEFT JOIN codes n ON n.column_name = 'neighbourhood' AND n.label = a.neighbourhood""")
+def m1_ordinal_codes(spark, sf_dir):
+    """Ordinal codes fitted on the training part and applied to all rows, some
+    with a kind that training never saw, or none."""
+    g = L.gold(spark, sf_dir).select(COLS.key, *M.CATEGORICAL)
+    train, _ = T.train_test(g, 0.8, COLS.key, SEED)
+    k = F.col(COLS.key)
+    asked = g.withColumn(COLS.kind, F.when(k % 17 == 3, F.lit(None)).when(k % 13 == 4, F.lit("never seen"))
+                         .otherwise(F.col(COLS.kind)))
+    return M.apply_ordinal(asked, M.ordinal_codes(train, M.CATEGORICAL), M.CATEGORICAL).select(
+        COLS.key, "room_type_code", "neighbourhood_code")
+
+
 @register("m4_m7_text_features")
 def m4_m7_text_features(spark, sf_dir):
     """Tokenise, drop stop words, hash to 100 slots and weight by IDF (fitted
@@ -893,9 +953,9 @@ def m4_m7_text_features(spark, sf_dir):
     stages = M.feature_stages(g, categorical=[], text=COLS.name, numeric=[])[:-1]
     model = Pipeline(stages=stages).fit(train)
     out = model.transform(g)
-    arr = vector_to_array("tf_idf")
-    return out.select(COLS.key, F.size("words").alias("n_words"),
-                      F.size("filtered_words").alias("n_kept"),
+    arr = vector_to_array("token_weights")
+    return out.select(COLS.key, F.size("tokens").alias("n_words"),
+                      F.size("kept_tokens").alias("n_kept"),
                       F.size(F.filter(arr, lambda v: v != 0)).alias("n_slots"),
                       F.round(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v), 6)
                        .alias("tf_idf_sum"))
@@ -912,59 +972,55 @@ def m4_m7_document_tfidf(spark, sf_dir):
     train, _ = T.train_test(docs, 0.8, "doc_id", SEED)
     stages = M.feature_stages(docs, categorical=[], text="text", numeric=[])[:-1]
     out = Pipeline(stages=stages).fit(train).transform(docs)
-    arr = vector_to_array("tf_idf")
-    return out.select("doc_id", F.size("words").alias("n_words"),
-                      F.size("filtered_words").alias("n_kept"),
+    arr = vector_to_array("token_weights")
+    return out.select("doc_id", F.size("tokens").alias("n_words"),
+                      F.size("kept_tokens").alias("n_kept"),
                       F.size(F.filter(arr, lambda v: v != 0)).alias("n_slots"),
                       F.round(F.aggregate(arr, F.lit(0.0), lambda a, v: a + v), 6)
                        .alias("tf_idf_sum"))
 
 
-DASH_NUMERIC = [COLS.availability, COLS.reviews, COLS.reviews_per_month, COLS.host_listings,
-                COLS.nights, COLS.occupancy, COLS.lat, COLS.lon, "distance_center",
-                "distance_jfk"]
-
-
-def _with_distances(df: DataFrame) -> DataFrame:
-    return df.select("*",
-                     S.planar_distance(COLS.lat, COLS.lon, LAT_CENTER, LON_CENTER).alias("distance_center"),
-                     S.planar_distance(COLS.lat, COLS.lon, LAT_JFK, LON_JFK).alias("distance_jfk"))
+def _bundle(spark, sf_dir) -> B.Bundle:
+    """The newest model bundle of a folder of tables; trained if there is none
+    in the shared folder."""
+    import hashlib
+    root = f"{checkpoint_root(spark)}/bundles/{hashlib.sha256(sf_dir.encode()).hexdigest()[:16]}"
+    if not B.versions(spark, root):
+        B.train(L.dash(spark, sf_dir), root)
+    return B.load(spark, root)
 
 
-def _dashboard_model(spark, sf_dir):
-    """The price estimator behind batch scoring: gradient-boosted trees on
-    ln(price) with the request-level features, fitted on the train split."""
-    d = _with_distances(L.dash(spark, sf_dir)).withColumn("log_label", S.log_label(COLS.value))
-    train, test = T.train_test(d, 0.8, COLS.key, SEED)
-    stages = M.feature_stages(d, categorical=[COLS.kind, COLS.subzone], numeric=DASH_NUMERIC)
-    model = M.fit(train, stages, M.estimator("gbt", 1, label="log_label"))
-    metrics = M.evaluate(model.transform(test), "log_label", plus_one=False)
-    return model, metrics, test
+@register("s10_model_bundle", f"""
+SELECT 'group_medians' AS table_name, count(*) AS n_rows, CAST({2 + len(FEATS)} AS INTEGER) AS n_columns
+FROM (SELECT DISTINCT neighbourhood, room_type FROM dash)
+UNION ALL SELECT 'global_medians', CAST(1 AS BIGINT), CAST({len(FEATS)} AS INTEGER)
+UNION ALL SELECT 'centroids', count(*), CAST(3 AS INTEGER) FROM (SELECT DISTINCT neighbourhood FROM dash)
+UNION ALL SELECT 'codes', count(*), CAST(3 AS INTEGER)
+FROM (SELECT DISTINCT 'k', room_type FROM dash WHERE {_IN_TRAIN}
+      UNION ALL SELECT DISTINCT 'n', neighbourhood FROM dash WHERE {_IN_TRAIN})""")
+def s10_model_bundle(spark, sf_dir):
+    """The tables of a bundle that was trained, saved and loaded."""
+    return B.contents(_bundle(spark, sf_dir))
 
 
 @register("m15_j1_j2_batch_scoring")
 def m15_j1_j2_batch_scoring(spark, sf_dir):
-    """Requests -> group medians (J1) -> centroid (J2) -> distances (F11) ->
-    model -> price interval (F16) -> stay cost for 7 nights (F17)."""
-    model, metrics, _ = _dashboard_model(spark, sf_dir)
-    d = L.dash(spark, sf_dir)
-    req = _requests(spark, sf_dir).drop(COLS.zone)
-    req = E.impute_from_group(req, d, [COLS.subzone, COLS.kind], FEATS)
-    req = E.attach_centroid(req, d, COLS.subzone, COLS.lat, COLS.lon)
-    req = _with_distances(req).withColumn("nights", F.lit(7))
-    return M.score_requests(model, req, metrics["mae_price"], nights="nights",
-                            label_plus_one=False)
+    """Requests scored from the saved bundle, with stay cost for 7 nights."""
+    requests = _requests(spark, sf_dir).drop(COLS.zone).withColumn("nights", F.lit(7))
+    return B.score(_bundle(spark, sf_dir), requests, nights="nights")
 
 
 @register("t6_m14_top_importances")
 def t6_m14_top_importances(spark, sf_dir):
-    model, _, test = _dashboard_model(spark, sf_dir)
-    return M.top_importances(spark, model, model.transform(test))
+    """The most important features of the bundle's model."""
+    model = _bundle(spark, sf_dir).pipeline
+    rows = B.with_distances(L.dash(spark, sf_dir))
+    return M.top_importances(spark, model, model.transform(rows))
 
 
 @register("m16_prediction_pairs")
 def m16_prediction_pairs(spark, sf_dir):
-    g = L.gold(spark, sf_dir)
+    g = L.gold(spark, sf_dir).persist()
     train, test = T.train_test(g, 0.8, COLS.key, SEED)
     model = M.fit(train, M.feature_stages(g), M.estimator("lr", 1))
     return M.prediction_pairs(model.transform(test), 0.1)
@@ -973,7 +1029,7 @@ def m16_prediction_pairs(spark, sf_dir):
 @register("s10_model_roundtrip")
 def s10_model_roundtrip(spark, sf_dir):
     """Save the whole fitted pipeline, load it back and score raw rows."""
-    g = L.gold(spark, sf_dir)
+    g = L.gold(spark, sf_dir).persist()
     train, test = T.train_test(g, 0.8, COLS.key, SEED)
     model = M.fit(train, M.feature_stages(g), M.estimator("lr", 1))
     path = scratch_path(spark, "model")
