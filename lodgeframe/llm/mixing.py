@@ -11,10 +11,16 @@ weight among the others. With lambda the tokens per unit of weight, a source
 gets min(lambda * weight, cap); sorted by cap / weight, lambda follows from
 two running sums, so no loop is needed.
 
-Edge cases: a null text has size 0; a null source is a source of its own and
-sorts last; a source without words has target 0 and rate 0; a null id draws as
-the text "null". The draw depends only on (id, seed): equal ids draw alike, so
-repeated rows are repeated alike, and reruns agree. An empty table gives an
+The draw depends on (id, text, number, seed), where number counts the rows that
+are equal in id, source and text. So rows that share an id, or have none, draw
+apart, and each source comes near its target however many rows are alike;
+which of several equal rows is taken makes no difference. Equal rows are
+numbered within a task first and then by the sums of the tasks before, so a
+key with a third of all rows meets in no task.
+
+Edge cases: a null text has size 0 and counts as empty; a null source is a
+source of its own and sorts last; a source without words has target 0 and rate
+0; a null id draws as the text "null". Reruns agree. An empty table gives an
 empty table. Extra columns pass through ``mix`` whatever their names.
 """
 from __future__ import annotations
@@ -33,10 +39,11 @@ def size_of(text: Column) -> Column:
     return F.size(words(text)).cast("bigint")
 
 
-def draw(ident: Column, seed: int = SEED) -> Column:
-    """A number in [0, 1) from the id and the seed, from 32 bits of an MD5
-    (both engines of the SQL check have it)."""
-    key = F.concat(F.coalesce(ident.cast("string"), F.lit("null")), F.lit(f"|{seed}"))
+def draw(ident: Column, text_name: Column, number: Column, seed: int = SEED) -> Column:
+    """A number in [0, 1) from the id, the text's MD5, the number among equal
+    rows and the seed, from 32 bits of an MD5 (both engines of the SQL check
+    have it)."""
+    key = F.concat_ws("|", F.coalesce(ident.cast("string"), F.lit("null")), text_name, number.cast("string"), F.lit(str(seed)))
     return F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("double") / F.lit(float(2**32))
 
 
@@ -71,36 +78,59 @@ def targets(sizes: DataFrame, weights: Column | None = None,
                       .otherwise(0.0).alias("rate"))
 
 
-def copies(ident: Column, rate: Column, seed: int = SEED) -> Column:
-    """How often a document is emitted."""
-    whole = F.floor(rate)
-    return (whole + F.when(draw(ident, seed) < rate - whole, 1).otherwise(0)).cast("bigint")
+def numbered(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, source, text_name, part, ...) with ``number``, from 1,
+    among the rows equal in the first three. ``part`` is any split of the rows
+    that spreads equal ones."""
+    same = ["doc_id", "source", "text_name"]
+    within = Window.partitionBy(*same, "part").orderBy("part")
+    before = Window.partitionBy(*same).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    parts = rows.groupBy(*same, "part").agg(F.count(F.lit(1)).alias("n"))
+    base = parts.select(*[F.col(c).alias(f"of_{c}") for c in (*same, "part")],
+                        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base")).filter("base > 0")
+    own = rows.withColumn("within", F.row_number().over(within))
+    match = F.col("part") == F.col("of_part")
+    for c in same:
+        match = match & F.col(c).eqNullSafe(F.col(f"of_{c}"))
+    return (own.join(base, match, "left").withColumn("number", F.col("within") + F.coalesce("base", F.lit(0)))
+            .drop("within", "base", "of_part", *[f"of_{c}" for c in same]))
+
+
+def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more: Column) -> DataFrame:
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"),
+                       F.md5(text).alias("text_name"), F.spark_partition_id().alias("part"), *more)
+
+
+def planned(rows: DataFrame, per: DataFrame, seed: int = SEED) -> DataFrame:
+    """``rows`` with source_size, target and copies: how often each is emitted.
+    ``per`` is staged, so it is broadcast where its files are small."""
+    whole = F.floor("rate")
+    extra = F.when(draw(F.col("doc_id"), F.col("text_name"), F.col("number"), seed) < F.col("rate") - whole, 1).otherwise(0)
+    return (numbered(rows).join(per.withColumnRenamed("source", "of_source"),
+                                F.col("source").eqNullSafe(F.col("of_source")))
+            .withColumn("copies", (whole + extra).cast("bigint")))
 
 
 def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              source_col: str = "source", seed: int = SEED, **options) -> DataFrame:
     """Per document: id, source, size, source_size, target, copies. The texts
-    are read once; sizes are staged, as they are narrow and used twice."""
-    sizes = stage(docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
-                              size_of(F.col(text_col)).alias("size")), "mixing-sizes")
-    per = targets(sizes, **options).withColumnRenamed("source", "of_source")
-    # No hint: small source tables are broadcast by their measured size, and a
-    # hot source's rows are split by the adaptive skew join otherwise.
-    return (sizes.join(per, F.col("source").eqNullSafe(F.col("of_source")))
-            .select("doc_id", "source", "size", "source_size", "target",
-                    copies(F.col("doc_id"), F.col("rate"), seed).alias("copies")))
+    are read once; sizes are staged, as they are narrow and used again."""
+    sizes = stage(_sized(docs, id_col, text_col, source_col), "mixing-sizes")
+    per = stage(targets(sizes, **options), "mixing-targets")
+    return planned(sizes, per, seed).select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", seed: int = SEED, **options) -> DataFrame:
     """The mixed corpus: every row of ``docs`` as often as its plan says."""
     sizes = docs.select(F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
-    per = targets(sizes, **options).select(F.col("source").alias("__source"), F.col("rate").alias("__rate"))
-    times = copies(docs[id_col], F.col("__rate"), seed)
-    joined = docs.join(per, docs[source_col].eqNullSafe(F.col("__source")))
+    per = stage(targets(sizes, **options), "mixing-targets")
+    # The document travels as one struct, so no name of its columns can clash.
+    rows = planned(_sized(docs, id_col, text_col, source_col, F.struct("*").alias("row")), per, seed)
     # array_repeat of 0 copies is empty, so explode drops the row.
-    return (joined.withColumn("__copy", F.explode(F.array_repeat(F.lit(0), times.cast("int"))))
-            .select(*[docs[c] for c in docs.columns]))
+    return (rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
+            .select("row.*"))
 
 
 def digest(plan: DataFrame) -> DataFrame:
@@ -110,7 +140,9 @@ def digest(plan: DataFrame) -> DataFrame:
 
 DIGEST_SQL = f"""
 WITH sized AS (
-  SELECT doc_id, source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
+  SELECT doc_id, source, md5(coalesce(text, '')) AS text_name,
+         row_number() OVER (PARTITION BY doc_id, source, coalesce(text, '')) AS number,
+         CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 per AS (
   SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
@@ -131,7 +163,7 @@ goals AS (
 rated AS (
   SELECT d.doc_id, d.size, g.source_size, g.target,
          CASE WHEN g.source_size > 0 THEN g.target / g.source_size ELSE 0.0 END AS rate,
-         CAST(CAST('0x' || substr(md5(coalesce(CAST(d.doc_id AS VARCHAR), 'null') || '|{SEED}'), 1, 8) AS BIGINT) AS DOUBLE)
+         CAST(CAST('0x' || substr(md5(concat_ws('|', coalesce(CAST(d.doc_id AS VARCHAR), 'null'), text_name, CAST(number AS VARCHAR), '{SEED}')), 1, 8) AS BIGINT) AS DOUBLE)
            / 4294967296.0 AS u
   FROM sized d JOIN goals g ON d.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
