@@ -39,7 +39,8 @@ signature with very many nodes is compared in blocks of bounded size.
 Edge cases: a null or empty text has an empty set and links with nothing;
 repeated rows have equal sets and share a component; a null id is its text's
 component only if no other id is there. An empty table gives an empty result.
-Extra columns are ignored; ``deduplicate`` keeps the columns of its input.
+Extra columns are ignored; ``deduplicate`` keeps the columns of its input,
+whatever their names. Tables on the way are deleted when they are used up.
 """
 from __future__ import annotations
 
@@ -51,7 +52,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.llm.blocks import borders_of, by_range
 from lodgeframe.llm.packs import answer, flags_of, opened, packs, rows_of, sent, shared_by_two
-from lodgeframe.llm.staging import partitions_for, stage
+from lodgeframe.llm.staging import discard, partitions_for, stage, stage_at
 from lodgeframe.llm.words import END_ID, Words, mix
 
 SHINGLE = 5
@@ -165,7 +166,7 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
     that several nodes share, nodes (node, size, sketch, text)."""
     ranges = partitions_for(docs, text_col)
     borders = borders_of(ranges)
-    packed = stage(packs(docs, id_col, text_col), "jaccard-packs")
+    packed, packs_at = stage_at(packs(docs, id_col, text_col), "jaccard-packs")
 
     def own_signatures(row):
         ids, w = opened(row, lower=True)
@@ -219,6 +220,7 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
     texts = stage(packed.mapInArrow(list_texts, "doc_id bigint, size bigint, node bigint"), "jaccard-texts")
     replies = answer(packed.mapInArrow(send, "pack bigint, range int, block binary"), ranges, shared_by_two)
     found = stage(packed.join(replies, "pack", "left").mapInArrow(list_members, schema), "jaccard-members")
+    discard(docs.sparkSession, packs_at)
     # Packs that hold equal sets list their signatures alike.
     members = stage(found.filter("sig is not null").select("sig", "node").distinct(), "jaccard-signatures")
     return texts, members, found.filter("sig is null")
@@ -248,10 +250,10 @@ def _sketch_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
 
 def verified(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose exact sets link. Texts are fetched for these only."""
-    pairs = stage(pairs, "jaccard-pairs")
+    pairs, pairs_at = stage_at(pairs, "jaccard-pairs")
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts = stage(nodes.select("node", "text").join(needed, "node", "left_semi")
-                  .dropDuplicates(["node"]), "jaccard-pair-texts")
+    texts, texts_at = stage_at(nodes.select("node", "text").join(needed, "node", "left_semi")
+                               .dropDuplicates(["node"]), "jaccard-pair-texts")
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))
 
@@ -272,7 +274,9 @@ def verified(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFr
                     keep.append(100 * same >= percent * (len(x) + len(y) - same))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return stage(both.mapInArrow(run, "a bigint, b bigint"), "jaccard-links")
+    links = stage(both.mapInArrow(run, "a bigint, b bigint"), "jaccard-links")
+    discard(nodes.sparkSession, pairs_at, texts_at)
+    return links
 
 
 def star_pairs(members: DataFrame) -> DataFrame:
@@ -354,23 +358,25 @@ def components(links: DataFrame) -> DataFrame:
     """node, label (the least node reachable) of all nodes in ``links`` (a, b),
     by alternating large and small stars; every step aggregates and joins, and
     ends in a staged table."""
-    edges = stage(links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                  .distinct(), "components")
+    spark = links.sparkSession
+    edges, edges_at = stage_at(links.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
+                               .distinct(), "components")
     while True:
         both = edges.union(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = stage(large.filter("u != v").distinct(), "components")
+        large, large_at = stage_at(large.filter("u != v").distinct(), "components")
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = (large.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .union(least.select("u", F.col("m").alias("v"))))
-        new = stage(small.filter("u != v").distinct(), "components")
+        new, new_at = stage_at(small.filter("u != v").distinct(), "components")
+        discard(spark, edges_at, large_at)
         # Done when every node has one edge and no centre has any.
         if new.groupBy("u").count().filter("count > 1").isEmpty() and \
                 new.join(new.select(F.col("u").alias("v")), "v", "left_semi").isEmpty():
             return new.select(F.col("u").alias("node"), F.col("v").alias("label")).union(
                 new.select(F.col("v").alias("node"), F.col("v").alias("label")).distinct())
-        edges = new
+        edges, edges_at = new, new_at
 
 
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
@@ -390,12 +396,14 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
 
 def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
                 percent: int = PERCENT) -> DataFrame:
-    """One row with an id of each class, and one without: the row with the
-    least id, then the least number in the staged table. Classes decide, not
-    ids: rows with one id and different texts each count for their class."""
-    rows = stage(docs.withColumn("__row", F.monotonically_increasing_id()), "jaccard-rows")
-    ids = rows.select("__row", F.col(id_col).alias("__id"))
-    kept = (classes(rows, "__row", text_col, k, percent).join(ids, F.col("doc_id") == F.col("__row"))
-            .groupBy("component_id", F.col("__id").isNull().alias("__none"))
-            .agg(F.min(F.struct("__id", "__row")).alias("__least")).select(F.col("__least.__row").alias("__kept")))
-    return rows.join(kept, F.col("__row") == F.col("__kept"), "left_semi").drop("__row")
+    """One row of each class: the one with the least id (none comes after all),
+    then the least number in the staged table. Classes decide, not ids: rows
+    with one id and different texts each count for their class."""
+    # The document travels as one struct, so no name of its columns can clash.
+    rows = stage(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.col(id_col).alias("id"),
+                             F.monotonically_increasing_id().alias("number")), "jaccard-rows")
+    ids = rows.select(F.col("number").alias("of"), "id")
+    kept = (classes(rows, "number", "text", k, percent).join(ids, F.col("doc_id") == F.col("of"))
+            .groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "of")).alias("least"))
+            .select(F.col("least.of").alias("kept")))
+    return rows.join(kept, F.col("number") == F.col("kept"), "left_semi").select("row.*")
