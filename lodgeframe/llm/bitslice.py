@@ -17,7 +17,9 @@ index covers every row; nothing is sampled.
 
 Edge cases: vectors that are null, or hold null or non-finite components, and
 rows without an id take no part; only vectors of equal length are compared;
-empty vectors score 0. Rows with equal id and vector count once; a query meets
+empty vectors score 0. Scores are 64-bit sums: a component of 2**31 or more
+(after scaling), or a block and a query whose products could sum beyond 2**63,
+raises OverflowError, so no score is ever wrapped around. Rows with equal id and vector count once; a query meets
 no row of its own id. Ties go to the smaller id. An empty table gives an empty
 result; extra columns are ignored.
 """
@@ -36,6 +38,7 @@ EVERY = 50
 BLOCK_ROWS = 16_384
 BLOCK_QUERIES = 64
 DROPPED = 2
+LARGEST = 2.0**31
 
 
 def codes(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -51,6 +54,8 @@ def codes(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
                     continue
                 x = np.floor(SCALE * values.to_numpy(zero_copy_only=False).astype(np.float64))
                 if np.isfinite(x).all():
+                    if (np.abs(x) >= LARGEST).any():
+                        raise OverflowError(f"vector {ident} has a component beyond {LARGEST / SCALE:.0f}")
                     ids.append(ident)
                     out.append(x.astype("<i8").tobytes())
                     dims.append(len(x))
@@ -192,8 +197,11 @@ def top_k(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             ids = block.column("vec_id").to_numpy()
             dims = block.column("dims")[0].as_py()
             matrix = np.frombuffer(b"".join(block.column("code").to_pylist()), "<i8").reshape(len(ids), dims)
-            index = SlicedBlock(ids, matrix)
+            index, top = SlicedBlock(ids, matrix), int(np.abs(matrix).max(initial=0))
             for own, code in zip(queries.column("vec_id").to_pylist(), queries.column("code").to_pylist()):
+                # Sums of differences from the least values are up to twice as large.
+                if 2 * top * int(np.abs(np.frombuffer(code, "<i8")).sum()) >= 1 << 63:
+                    raise OverflowError(f"scores of vector {own} do not fit 64 bits")
                 best, score = index.top(np.frombuffer(code, "<i8"), own, k)
                 found[0].extend([own] * len(best))
                 found[1].extend(best.tolist())
