@@ -191,7 +191,8 @@ windows AS (
   SELECT r, doc_id, i, array_to_string(ws[i:i + {WINDOW - 1}], ' ') AS w
   FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - {WINDOW - 2})) AS i FROM texts WHERE len(ws) >= {WINDOW})),
 found AS (
-  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY w) AS least FROM windows) WHERE least < doc_id),
+  SELECT r, i FROM (SELECT r, i, doc_id, min(doc_id) OVER (PARTITION BY w) AS least FROM windows)
+  WHERE least < coalesce(doc_id, 9223372036854775807)),
 gone AS (
   SELECT DISTINCT r, i + k AS i FROM found, (SELECT unnest(range(0, {WINDOW})) AS k)),
 lists AS (SELECT r, list(i) AS gone FROM gone GROUP BY r),

@@ -11,6 +11,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from lodgeframe.llm import (bitslice, jaccard_join, kneser_ney, langid, line_quality, mixing, packing, pii,
                             recompression, toxicity)
@@ -74,7 +76,7 @@ def test_stages_keep_columns(spark, edge):
 
 def test_near_duplicates_keep_one_of_each_class(spark, edge):
     kept = Counter(r["doc_id"] for r in jaccard_join.deduplicate(edge).collect())
-    assert kept == Counter([1, 2, 3, 4, None, 6, 7, 8, 9])
+    assert kept == Counter([1, 2, 3, 4, 6, 7, 8, 9])
 
 
 def test_near_duplicates_go_by_class_and_not_by_id(spark):
@@ -84,6 +86,9 @@ def test_near_duplicates_go_by_class_and_not_by_id(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string")
     kept = Counter(map(tuple, jaccard_join.deduplicate(df.coalesce(1)).collect()))
     assert kept == Counter([(None, a), (None, b), (0, c), (1, d), (3, None), (3, None)])
+    more = df.union(spark.createDataFrame([(9, a), (8, a + " more")], df.schema))
+    kept = Counter(map(tuple, jaccard_join.deduplicate(more).collect()))
+    assert kept == Counter([(8, a + " more"), (None, b), (0, c), (1, d), (3, None), (3, None)])
 
 
 def test_jaccard_classes_match_brute_force(spark):
@@ -356,6 +361,60 @@ def test_mix_emits_what_the_plan_takes(docs):
     assert {i: n for i, n in plan.items() if n} == dict(got) and max(got.values()) <= 3
 
 
+@pytest.mark.parametrize("ident", [None, 7])
+def test_rows_that_share_an_id_come_near_their_target(spark, ident):
+    rows = [(ident, "one two", "s")] * 3000 + [(i, "w " * 40, "t") for i in range(300)]
+    d = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(6)
+    plan = mixing.mix_plan(d).filter("source = 's'").collect()
+    target, taken = plan[0].target, sum(r.size * r.copies for r in plan)
+    assert len(plan) == 3000 and abs(taken - target) < 0.05 * target
+    assert abs(mixing.mix(d).filter("source = 's'").count() * 2 - target) < 0.05 * target
+
+
+def test_equal_rows_are_numbered_densely(spark):
+    rows = [(i % 3 or None, "ab"[i % 2], "t") for i in range(600)]
+    d = spark.createDataFrame(rows, "doc_id int, source string, text_name string").repartition(7).withColumn(
+        "part", F.spark_partition_id())
+    got = Counter((r.doc_id, r.source, r.number) for r in mixing.numbered(d).collect())
+    assert got == Counter((i, s, k + 1) for i in (None, 1, 2) for s in "ab" for k in range(100))
+
+
+CLASHES = ["row", "host", "text_name", "of_host", "of_text", "gone", "lost", "id", "number", "of", "kept", "none", "least",
+           "component_id", "part", "size", "rate", "copies", "copy", "base", "within", "of_source", "source_size", "target"]
+
+
+@pytest.mark.parametrize("stage", ["quality", "near_duplicates", "personal_data", "mixing"])
+def test_stages_keep_columns_of_any_name(spark, stage):
+    d = spark.createDataFrame([(*r, *range(len(CLASHES))) for r in ROWS],
+                              "doc_id bigint, text string, lang string, source string, n_chars bigint, "
+                              + ", ".join(f"{c} int" for c in CLASHES))
+    out = dict(corpus_pipeline.STAGES)[stage](spark, d, None)
+    assert out.columns == d.columns
+    rows = out.collect()
+    assert rows and all([r[c] for c in CLASHES] == list(range(len(CLASHES))) for r in rows)
+
+
+@pytest.mark.parametrize("hosts,n,goes", [(1, 9, False), (1, 10, True), (1, 400, True), (40, 10, True)])
+def test_line_limits_are_the_same_for_small_and_hot_hosts(spark, hosts, n, goes):
+    words = " ".join(["alpha", "beta", "gamma", "delta", "eps", "zeta", "eta", "theta", "iota", "kappa", "la"])
+    rows = [(i, f"Subscribe to us\n{words} {'x' * (i % 97 + 1)} {'y' * (i // 97 + 1)}", f"h{i % hosts}") for i in range(n * hosts)]
+    rows += [(-i - 1, f"{words} {'q' * (i + 1)}", "h0") for i in range(700)]
+    judged = line_quality.judge(spark.createDataFrame(rows, "doc_id bigint, text string, source string")).collect()
+    assert {r.lost for r in judged if r.doc_id >= 0} == ({3} if goes else {0}) and all(r.kept for r in judged)
+
+
+def test_windows_of_rows_without_an_id_are_the_later_ones(spark, tmp_path):
+    text = " ".join(f"w{i}" for i in range(20))
+    d = spark.createDataFrame([(1, text), (None, text), (None, text + " more"), (2, "other words")], "doc_id bigint, text string")
+    got = Counter(map(tuple, recompression.remove_repeats(d).collect()))
+    d.write.parquet(f"{tmp_path}/d")
+    import duckdb
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    assert got == Counter(con.sql(recompression.DIGEST_SQL).fetchall())
+    assert sorted(r[2] for r in got.elements()) == [0, 0, 20, 20]
+
+
 def test_boilerplate_lines_go_and_depleted_documents_with_them(spark):
     body = " ".join("abcdefghijkl")
     own = ["q" * (i + 1) for i in range(60)]  # digits are read alike, so names differ in length
@@ -374,3 +433,7 @@ def test_bit_sliced_search_edges(spark):
     got = [(r.query_id, r.rank, r.vec_id) for r in bitslice.top_k(d).orderBy("query_id", "rank").collect()]
     assert got == [(0, 1, 6), (0, 2, 50), (0, 3, 5), (50, 1, 6), (50, 2, 0), (50, 3, 5)]
     assert bitslice.top_k(d.limit(0)).collect() == []
+    for v in (1e20, 8e6):
+        far = spark.createDataFrame([(0, [v] * 20), (1, [v] * 20)], "vec_id bigint, embedding array<double>")
+        with pytest.raises(Exception, match="OverflowError"):
+            bitslice.top_k(far).collect()
