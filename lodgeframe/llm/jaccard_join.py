@@ -400,10 +400,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     then the least number in the staged table. Classes decide, not ids: rows
     with one id and different texts each count for their class."""
     # The document travels as one struct, so no name of its columns can clash.
-    rows = stage(docs.select(F.struct("*").alias("row"), F.col(text_col).alias("text"), F.col(id_col).alias("id"),
+    rows = stage(docs.select(F.struct("*").alias("row"), F.col(id_col).alias("id"),
                              F.monotonically_increasing_id().alias("number")), "jaccard-rows")
     ids = rows.select(F.col("number").alias("of"), "id")
-    kept = (classes(rows, "number", "text", k, percent).join(ids, F.col("doc_id") == F.col("of"))
+    texts = rows.select("number", F.col("row").getField(text_col).alias("text"))
+    kept = (classes(texts, "number", "text", k, percent).join(ids, F.col("doc_id") == F.col("of"))
             .groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "of")).alias("least"))
             .select(F.col("least.of").alias("kept")))
     return rows.join(kept, F.col("number") == F.col("kept"), "left_semi").select("row.*")

@@ -103,11 +103,11 @@ def _sized(docs: DataFrame, id_col: str, text_col: str, source_col: str, *more:
 
 
 def planned(rows: DataFrame, per: DataFrame, seed: int = SEED) -> DataFrame:
-    """``rows`` with source_size, target and copies: how often each is emitted.
-    ``per`` is staged, so it is broadcast where its files are small."""
+    """``rows`` (with ``number``) with source_size, target and copies: how often
+    each is emitted. ``per`` is staged, so it is broadcast where its files are small."""
     whole = F.floor("rate")
     extra = F.when(draw(F.col("doc_id"), F.col("text_name"), F.col("number"), seed) < F.col("rate") - whole, 1).otherwise(0)
-    return (numbered(rows).join(per.withColumnRenamed("source", "of_source"),
+    return (rows.join(per.withColumnRenamed("source", "of_source"),
                                 F.col("source").eqNullSafe(F.col("of_source")))
             .withColumn("copies", (whole + extra).cast("bigint")))
 
@@ -118,16 +118,30 @@ def mix_plan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     are read once; sizes are staged, as they are narrow and used again."""
     sizes = stage(_sized(docs, id_col, text_col, source_col), "mixing-sizes")
     per = stage(targets(sizes, **options), "mixing-targets")
-    return planned(sizes, per, seed).select("doc_id", "source", "size", "source_size", "target", "copies")
+    return planned(numbered(sizes), per, seed).select("doc_id", "source", "size", "source_size", "target", "copies")
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         source_col: str = "source", seed: int = SEED, **options) -> DataFrame:
-    """The mixed corpus: every row of ``docs`` as often as its plan says."""
-    sizes = docs.select(F.col(source_col).alias("source"), size_of(F.col(text_col)).alias("size"))
-    per = stage(targets(sizes, **options), "mixing-targets")
+    """The mixed corpus: every row of ``docs`` floor(rate) times, and once more
+    by its draw. Rows that no other equals draw as in ``mix_plan``; equal ones
+    by their number in the table, which needs no shuffle of texts. Only keys
+    that several rows share, and the sources, are joined to the texts; both are
+    staged, so they are broadcast where their files are small."""
+    narrow = stage(_sized(docs, id_col, text_col, source_col), "mixing-sizes")
+    per = stage(targets(narrow, **options), "mixing-targets")
+    same = ["doc_id", "source", "text_name"]
+    shared = stage(narrow.groupBy(*same).agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+                   .select(*[F.col(c).alias(f"of_{c}") for c in same], F.lit(True).alias("shared")), "mixing-shared")
+    match = F.lit(True)
+    for c in same:
+        match = match & F.col(c).eqNullSafe(F.col(f"of_{c}"))
     # The document travels as one struct, so no name of its columns can clash.
-    rows = planned(_sized(docs, id_col, text_col, source_col, F.struct("*").alias("row")), per, seed)
+    rows = (_sized(docs, id_col, text_col, source_col, F.struct("*").alias("row"),
+                   F.monotonically_increasing_id().alias("place"))
+            .join(shared, match, "left").drop(*[f"of_{c}" for c in same])
+            .withColumn("number", F.when(F.col("shared"), F.col("place") + 2).otherwise(F.lit(1).cast("bigint"))))
+    rows = planned(rows, per, seed)
     # array_repeat of 0 copies is empty, so explode drops the row.
     return (rows.withColumn("copy", F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int"))))
             .select("row.*"))

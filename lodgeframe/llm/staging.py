@@ -10,11 +10,21 @@ from lodgeframe.session import scratch_path
 PARTITION_BYTES = 16 << 20
 
 
+#: Spark's setting to delete a query's shuffle files when the query has ended.
+CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
-    """``stage``, and the folder written."""
+    """``stage``, and the folder written. The shuffle files behind the table
+    go when it is written: what reads it later does not need them."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP_CONF, "false")
+    spark.conf.set(CLEANUP_CONF, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP_CONF, before)
     return spark.read.schema(df.schema).parquet(path), path
 
 
