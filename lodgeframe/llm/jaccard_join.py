@@ -163,7 +163,8 @@ def possible(size_a, size_b, percent: int):
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
     """Staged: texts (doc_id, size, node), members (sig, node) of signatures
-    that several nodes share, nodes (node, size, sketch, text)."""
+    that several nodes share, nodes (node, size, sketch, text); and the folder
+    of members."""
     ranges = partitions_for(docs, text_col)
     borders = borders_of(ranges)
     packed, packs_at = stage_at(packs(docs, id_col, text_col), "jaccard-packs")
@@ -219,11 +220,13 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
 
     texts = stage(packed.mapInArrow(list_texts, "doc_id bigint, size bigint, node bigint"), "jaccard-texts")
     replies = answer(packed.mapInArrow(send, "pack bigint, range int, block binary"), ranges, shared_by_two)
-    found = stage(packed.join(replies, "pack", "left").mapInArrow(list_members, schema), "jaccard-members")
+    found, found_at = stage_at(packed.join(replies, "pack", "left").mapInArrow(list_members, schema), "jaccard-members")
     discard(docs.sparkSession, packs_at)
     # Packs that hold equal sets list their signatures alike.
-    members = stage(found.filter("sig is not null").select("sig", "node").distinct(), "jaccard-signatures")
-    return texts, members, found.filter("sig is null")
+    members, members_at = stage_at(found.filter("sig is not null").select("sig", "node").distinct(), "jaccard-signatures")
+    nodes = stage(found.filter("sig is null").drop("sig"), "jaccard-nodes")
+    discard(docs.sparkSession, found_at)
+    return texts, members, nodes, members_at
 
 
 def _sketch_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
@@ -382,10 +385,12 @@ def components(links: DataFrame) -> DataFrame:
 def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = SHINGLE,
             percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id: per row."""
-    texts, members, nodes = sketched(docs, id_col, text_col, k, percent)
+    texts, members, nodes, members_at = sketched(docs, id_col, text_col, k, percent)
     links = verified(_sketch_pairs(star_pairs(members), nodes, percent), nodes, k, percent)
     labels = components(links)
-    more = verified(cross_pairs(members, labels, nodes, percent), nodes, k, percent)
+    pairs = cross_pairs(members, labels, nodes, percent)
+    discard(docs.sparkSession, members_at)
+    more = verified(pairs, nodes, k, percent)
     labels = stage(components(links.union(more)), "jaccard-labels")
     named = stage(texts.filter("size > 0").join(labels, "node", "left")
                   .select("doc_id", "size", F.coalesce("label", "node").alias("label")), "jaccard-classes")
