@@ -38,6 +38,8 @@ SEQUENCE = 2048
 END = 0
 SHARD_PIECES = 50_000
 CACHE_PARTS = 400_000
+#: Text bytes encoded at a time.
+ENCODE_BYTES = 1 << 20
 VOCABULARY = "word_bpe_49k.json"
 
 
@@ -229,7 +231,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
 
     def run(batches):
         encode = TextEncoder(path)
-        for chunk in chunks(batches, "text"):
+        for chunk in chunks(batches, "text", ENCODE_BYTES):
             rows = ([], [], [], [], [], [])
             for doc, ids in zip(chunk.column(0).to_pylist(), encode.column(chunk.column(1))):
                 ids += tail

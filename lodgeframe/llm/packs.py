@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodgeframe.llm.blocks import exchange, unpack
-from lodgeframe.llm.words import CHUNK_BYTES, Words, chunks, ids_of, text_buffer
+from lodgeframe.llm.words import CHUNK_BYTES, Words, chunks, give_back, ids_of, text_buffer
 
 PACK_BYTES = 2 * CHUNK_BYTES
 
@@ -55,6 +55,7 @@ def rows_of(batches):
     for batch in batches:
         for i in range(batch.num_rows):
             yield batch.slice(i, 1).to_pylist()[0]
+            give_back()
 
 
 def sent(pack: int, blocks) -> pa.RecordBatch:

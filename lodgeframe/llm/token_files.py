@@ -41,7 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lodgeframe.llm.packing import TextEncoder, vocabulary_path
+from lodgeframe.llm.packing import ENCODE_BYTES, TextEncoder, vocabulary_path
 from lodgeframe.llm.shared_arrays import _local, load, save
 from lodgeframe.llm.staging import discard, stage, stage_at
 from lodgeframe.llm.words import chunks
@@ -180,7 +180,7 @@ def tokens(docs: DataFrame, id_col: str, text_col: str, path: str, end: int) ->
 
     def run(batches):
         encoder, squeeze = TextEncoder(path), zstandard.ZstdCompressor(level=1)
-        for chunk in chunks(batches, "text"):
+        for chunk in chunks(batches, "text", ENCODE_BYTES):
             ids = [i + tail for i in encoder.column(chunk.column(1))]
             yield pa.RecordBatch.from_arrays(
                 [chunk.column(0), pa.array([len(i) // 4 for i in ids], pa.int64()),

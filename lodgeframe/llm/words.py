@@ -7,6 +7,8 @@ eight at a time, so no Python object is made per word.
 """
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -152,6 +154,14 @@ def text_buffer(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[bounds[0]:bounds[-1]], bounds - bounds[0]
 
 
+def give_back() -> None:
+    """Return freed memory to the system: a worker outlives its task, and what
+    it keeps adds to the next task's need in another worker."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def chunks(batches, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
     """Batches cut so that their texts hold about ``most`` bytes (one longer
     text alone may hold more). Every row comes once."""
@@ -165,6 +175,8 @@ def chunks(batches, column: str, most: int = CHUNK_BYTES) -> Iterator[pa.RecordB
             hi = min(max(hi, lo + 1), batch.num_rows)
             yield batch.slice(lo, hi - lo)
             lo = hi
+        del batch
+        give_back()
 
 
 def words_of(batch: pa.RecordBatch, column: str, lower: bool = False) -> Words:
