@@ -10,6 +10,9 @@ from lodgeframe.session import scratch_path
 PARTITION_BYTES = 16 << 20
 
 
+BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Rows sent to a worker at a time: whole texts, so fewer than Spark's default.
+BATCH_ROWS = 2_400
 #: Spark's setting to delete a query's shuffle files when the query has ended.
 CLEANUP_CONF = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
@@ -19,12 +22,15 @@ def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     go when it is written: what reads it later does not need them."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    before = spark.conf.get(CLEANUP_CONF, "false")
-    spark.conf.set(CLEANUP_CONF, "true")
+    own = {CLEANUP_CONF: "true", BATCH_CONF: str(min(BATCH_ROWS, int(spark.conf.get(BATCH_CONF))))}
+    before = {k: spark.conf.get(k, "false") for k in own}
+    for k, v in own.items():
+        spark.conf.set(k, v)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP_CONF, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
     return spark.read.schema(df.schema).parquet(path), path
 
 
