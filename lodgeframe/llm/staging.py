@@ -23,7 +23,7 @@ def stage_at(df: DataFrame, label: str) -> tuple[DataFrame, str]:
     spark = df.sparkSession
     path = scratch_path(spark, label)
     own = {CLEANUP_CONF: "true", BATCH_CONF: str(min(BATCH_ROWS, int(spark.conf.get(BATCH_CONF))))}
-    before = {k: spark.conf.get(k, "false") for k in own}
+    before = {CLEANUP_CONF: spark.conf.get(CLEANUP_CONF, "false"), BATCH_CONF: spark.conf.get(BATCH_CONF)}
     for k, v in own.items():
         spark.conf.set(k, v)
     try:
