@@ -27,9 +27,11 @@ nodes. Pairs inside a component need no test: they cannot change it. So no
 link between different texts is lost.
 
 Comparing. Each node also has a bit sketch (each shingle flips one bit) of 4
-to 8 bits per shingle; a wider one folds onto a narrower. A pair whose bit
-sketches differ in more than d bits cannot link and is never sent on; the rest
-are verified on their exact sets.
+to 8 bits per shingle, and a brief one of 1 to 2 bits, which is the other
+folded; a wider one folds onto a narrower. A pair whose bit sketches differ in
+more than d bits cannot link. Members of a signature carry brief sketches only,
+as a node has many signatures; pairs that pass are compared by the whole
+sketches, then verified on their exact sets.
 
 Shuffle shape: packs send distinct signatures by range and learn by one bit
 which ones another node shares; only shared ones become rows. Rows are then
@@ -138,9 +140,10 @@ def signatures(text: np.ndarray, name: np.ndarray, size: np.ndarray, percent: in
     return np.concatenate(out_text), np.concatenate(out_sig)
 
 
-def bit_sketches(text: np.ndarray, name: np.ndarray, size: np.ndarray) -> list[bytes]:
-    """Per text its parity bits: 8 * 2**band, but 64 at least."""
-    bits = np.maximum(8 << np.floor(np.log2(np.maximum(size, 1))).astype(np.int64), 64)
+def bit_sketches(text: np.ndarray, name: np.ndarray, size: np.ndarray, per: int = 8) -> list[bytes]:
+    """Per text its parity bits: ``per`` (a power of two) * 2**band, but 64 at
+    least."""
+    bits = np.maximum(per << np.floor(np.log2(np.maximum(size, 1))).astype(np.int64), 64)
     at = np.concatenate([[0], np.cumsum(bits)])
     flips = np.bincount(at[text] + (mix(name + _SALT[2]) % bits[text].astype(np.uint64)).astype(np.int64),
                         minlength=int(at[-1]))
@@ -163,8 +166,8 @@ def possible(size_a, size_b, percent: int):
 
 def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
     """Staged: texts (doc_id, size, node), members (sig, node) of signatures
-    that several nodes share, nodes (node, size, sketch, text); and the folder
-    of members."""
+    that several nodes share, nodes (node, size, brief, sketch, text); and the
+    folder of members."""
     ranges = partitions_for(docs, text_col)
     borders = borders_of(ranges)
     packed, packs_at = stage_at(packs(docs, id_col, text_col), "jaccard-packs")
@@ -196,7 +199,7 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
             key, n = np.unique(sig, return_counts=True)
             yield sent(row["pack"], by_range(key, borders, np.minimum(n, 2)))
 
-    schema = "sig bigint, node bigint, size bigint, sketch binary, text binary"
+    schema = "sig bigint, node bigint, size bigint, brief binary, sketch binary, text binary"
 
     def list_members(batches):
         press = zstandard.ZstdCompressor(level=3)
@@ -206,7 +209,7 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
             shared = flags_of(row["replies"], len(key))[np.searchsorted(key, sig)]
             of, sig = of[shared], sig[shared]
             used = np.unique(of)
-            sketches = bit_sketches(text, name, size)
+            brief, sketches = bit_sketches(text, name, size, 2), bit_sketches(text, name, size)
             raw = w.data.tobytes()
             texts = [press.compress(raw[w.bounds[i]:w.bounds[i + 1]]) for i in used.tolist()]
             none = [None] * len(sig)
@@ -214,9 +217,10 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
                 [pa.array([*sig.view(np.int64).tolist(), *[None] * len(used)], pa.int64()),
                  pa.array([*node[of].tolist(), *node[used].tolist()], pa.int64()),
                  pa.array([*none, *size[used].tolist()], pa.int64()),
+                 pa.array([*none, *[brief[i] for i in used.tolist()]], pa.binary()),
                  pa.array([*none, *[sketches[i] for i in used.tolist()]], pa.binary()),
                  pa.array([*none, *texts], pa.binary())],
-                names=["sig", "node", "size", "sketch", "text"])
+                names=["sig", "node", "size", "brief", "sketch", "text"])
 
     texts = stage(packed.mapInArrow(list_texts, "doc_id bigint, size bigint, node bigint"), "jaccard-texts")
     replies = answer(packed.mapInArrow(send, "pack bigint, range int, block binary"), ranges, shared_by_two)
@@ -295,7 +299,7 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 def cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int,
                 block: int = 4096) -> DataFrame:
-    """Pairs that share a signature but no component, and that sizes and bit
+    """Pairs that share a signature but no component, and that sizes and brief
     sketches allow. A signature's nodes are dealt into blocks; every two
     blocks are compared once."""
     placed = stage(members.join(labels, "node", "left")
@@ -303,13 +307,13 @@ def cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent
     open_ = (placed.groupBy("sig").agg(F.count("*").alias("crowd"), F.min("label").alias("low"),
                                        F.max("label").alias("high"))
              .filter("low < high").select("sig", F.ceil(F.col("crowd") / block).cast("int").alias("blocks")))
-    light = nodes.groupBy("node").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
+    light = nodes.groupBy("node").agg(F.first("size").alias("size"), F.first("brief").alias("brief"))
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     each = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
         F.least(F.col("own"), x).alias("i"), F.greatest(F.col("own"), x).alias("j")))
     dealt = (placed.join(open_, "sig").withColumn("own", own).withColumn("part", F.explode(each))
              .select("sig", "part.i", "part.j", "own", "node", "label").join(light, "node")
-             .select("sig", "i", "j", "own", "node", "label", "size", "sketch"))
+             .select("sig", "i", "j", "own", "node", "label", "size", "brief"))
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compared(group: pa.RecordBatch):
@@ -390,7 +394,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k:
     labels = components(links)
     pairs = cross_pairs(members, labels, nodes, percent)
     discard(docs.sparkSession, members_at)
-    more = verified(pairs, nodes, k, percent)
+    more = verified(_sketch_pairs(pairs, nodes, percent), nodes, k, percent)
     labels = stage(components(links.union(more)), "jaccard-labels")
     named = stage(texts.filter("size > 0").join(labels, "node", "left")
                   .select("doc_id", "size", F.coalesce("label", "node").alias("label")), "jaccard-classes")
