@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 
 from lodgeframe.llm import shared_arrays
 from lodgeframe.llm.blocks import as_batch, borders_of, by_range, exchange, merged, summed
-from lodgeframe.llm.staging import partitions_for, stage
+from lodgeframe.llm.staging import discard, partitions_for, stage_at
 from lodgeframe.llm.words import CHUNK_BYTES, Words, chunks, words_of
 from lodgeframe.session import scratch_path
 
@@ -65,16 +65,11 @@ def tokens(w: Words) -> tuple[np.ndarray, np.ndarray]:
 class Ranged:
     """Arrays sorted by key over several files, as one array."""
 
-    def __init__(self, folder: str, sizes: list[tuple[int, int]], fields: tuple[str, ...]):
-        self.folder, self.fields, self.open = folder, fields, {}
+    def __init__(self, folder: str, sizes: list[tuple[int, int]]):
+        self.folder = folder
         self.ranges = [r for r, _ in sizes]
         self.base = np.concatenate([[0], np.cumsum([n for _, n in sizes])]).astype(np.int64)
 
-    def field(self, r: int, name: str) -> np.ndarray:
-        if (r, name) not in self.open:
-            self.open[r, name] = shared_arrays.load(self.folder, f"{name}-{r}")
-        return self.open[r, name]
-
     def find(self, key: np.ndarray, borders: np.ndarray, *fields: str) -> list[np.ndarray]:
         """For sorted keys: their places (-1 if absent) and fields (0 if absent)."""
         place = np.full(len(key), -1, np.int64)
@@ -84,13 +79,11 @@ class Ranged:
             a, b = cut[r], cut[r + 1]
             if a == b:
                 continue
-            keys = self.field(r, "key")
-            at = np.searchsorted(keys, key[a:b])
-            at = np.minimum(at, len(keys) - 1)
-            has = np.flatnonzero(keys[at] == key[a:b])
+            at = shared_arrays.find_keys(self.folder, f"key-{r}", key[a:b])
+            has = np.flatnonzero(at >= 0)
             place[a + has] = self.base[i] + at[has]
             for o, f in zip(out, fields):
-                o[a + has] = self.field(r, f)[at[has]]
+                o[a + has] = shared_arrays.counts_at(self.folder, f"{f}-{r}", at[has])
         return [place, *out]
 
     def keys(self, place: np.ndarray) -> np.ndarray:
@@ -99,19 +92,19 @@ class Ranged:
         of = np.searchsorted(self.base, place, "right") - 1
         for i in np.unique(of).tolist():
             at = np.flatnonzero(of == i)
-            out[at] = self.field(self.ranges[i], "key")[place[at] - self.base[i]]
+            out[at] = shared_arrays.keys_at(self.folder, f"key-{self.ranges[i]}", place[at] - self.base[i])
         return out
 
 
-def _writer(folder: str, fields: tuple[str, ...], tail=None, with_key: bool = True):
-    """Task function: merge blocks, write arrays (counts as narrow as they
-    fit), report each range's size, and what ``tail`` makes of them."""
+def _writer(folder: str, n_values: int, fields: tuple[str, ...], tail, with_key: bool = True):
+    """Task function: merge blocks, write the keys and the first values as
+    ``fields``, report each range's size, and what ``tail`` makes of them."""
     def run(batches):
-        for r, key, *values in merged(batches, len(fields)):
+        for r, key, *values in merged(batches, n_values):
             if with_key:
-                shared_arrays.save(folder, f"key-{r}", key)
+                shared_arrays.save_keys(folder, f"key-{r}", key)
             for f, v in zip(fields, values):
-                shared_arrays.save(folder, f"{f}-{r}", v.astype(np.min_scalar_type(int(v.max(initial=0)))))
+                shared_arrays.save_counts(folder, f"{f}-{r}", v)
             yield tail(r, key, values)
     return run
 
@@ -137,11 +130,11 @@ class Model:
         self.__dict__.update(known)
 
     def level(self, k: int) -> Ranged:
-        return Ranged(f"{self.folder}/{k}", self.sizes[k], ("count",))
+        return Ranged(f"{self.folder}/{k}", self.sizes[k])
 
     def opened(self):
         return ({k: self.level(k) for k in self.sizes},
-                {k: Ranged(f"{self.folder}/sums-{k}", self.sum_sizes[k], SUMS) for k in self.sum_sizes})
+                {k: Ranged(f"{self.folder}/sums-{k}", self.sum_sizes[k]) for k in self.sum_sizes})
 
     def contexts(self, k: int) -> int:
         """Contexts of level k: the places of level k - 1, and the start."""
@@ -214,7 +207,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
         return report(r, len(key), values[0])
 
     counted = exchange(text.mapInArrow(count_words, "range int, block binary"), ranges)
-    words = counted.mapInArrow(_writer(f"{folder}/1", ("count",), word_report), sized).collect()
+    words = counted.mapInArrow(_writer(f"{folder}/1", 1, ("count",), word_report), sized).collect()
     model = Model(folder=folder, ranges=ranges, order=order, sizes={1: sorted((r["range"], r["size"]) for r in words)},
                   sum_sizes={}, discounts={}, n_tokens=sum(r["total"] for r in words))
     model.n_words = sum(n for _, n in model.sizes[1])
@@ -276,17 +269,20 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     openers = {}
     for k in range(2, order + 1):
         grams = exchange(text.mapInArrow(counter(k), blocks), ranges)
-        written = _writer(f"{folder}/{k}", ("count",), opener(k) if k < order else passer(k))
-        passed = stage(grams.mapInArrow(written, blocks), "kneser-ney-sums")
+        # Below the highest level, counts are known only when the next one has passed them on.
+        written = _writer(f"{folder}/{k}", 1, (), opener(k)) if k < order else \
+            _writer(f"{folder}/{k}", 1, ("count",), passer(k))
+        passed, passed_at = openers[k] = stage_at(grams.mapInArrow(written, blocks), "kneser-ney-sums")
         # One report row per range.
         rows = reports(passed)
         model.sizes = {**model.sizes, k: sorted((r[0], r[1]) for r in rows)}
-        openers[k] = passed
     for k in range(order, 1, -1):
         if k < order:
-            both = exchange(part(openers[k], 0).union(part(passed, 1)), ranges)
-            passed = stage(both.mapInArrow(_writer(f"{folder}/{k}", ("count",), passer(k), False), blocks),
-                           "kneser-ney-sums")
+            both = exchange(part(openers[k][0], 0).union(part(passed, 1)), ranges)
+            used = openers[k][1], passed_at
+            passed, passed_at = stage_at(
+                both.mapInArrow(_writer(f"{folder}/{k}", 1, ("count",), passer(k), False), blocks), "kneser-ney-sums")
+            discard(spark, *used)
             rows = reports(passed)
             assert sorted((r[0], r[1]) for r in rows) == model.sizes[k], "an n-gram has no count"
         model.discounts[k] = _discounts([sum(r[2 + i] for r in rows) for i in range(4)])
@@ -295,9 +291,12 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
             t = values[4][key < np.uint64(model.n_words)] if k == 2 else values[4][:0]
             return report(r, len(key), t)
 
+        # Only words, the contexts of level 2, have distinct words before them.
+        fields = SUMS if k == 2 else SUMS[:4]
         sums = exchange(part(passed, 0), ranges) \
-            .mapInArrow(_writer(f"{folder}/sums-{k}", SUMS, sum_report), sized).collect()
+            .mapInArrow(_writer(f"{folder}/sums-{k}", len(SUMS), fields, sum_report), sized).collect()
         model.sum_sizes = {**model.sum_sizes, k: sorted((r["range"], r["size"]) for r in sums)}
+    discard(spark, passed_at)
     model.types = sum(r["total"] for r in sums)
     t = [sum(r[f"n{i}"] for r in sums) for i in (1, 2, 3, 4, 5)]
     low = model.low = _discounts(t[:4])

@@ -2,11 +2,15 @@
 
 A table of arrays is a folder of ``.npy`` files, one per key range. Files
 appear under their final name only when whole, so a retried task replaces a
-file by an equal one. Where the shared folder is no mounted file system, a
+file by an equal one. A worker keeps at most ``MOST_OPEN`` arrays mapped, as
+each holds a file descriptor. Sorted keys are kept as 32-bit differences to
+the start of their stretch, counts as bytes with the few greater ones apart.
+Where the shared folder is no mounted file system, a
 worker fetches the file once into its own temporary folder and maps that.
 """
 from __future__ import annotations
 
+import functools
 import os
 import tempfile
 import uuid
@@ -14,6 +18,8 @@ from urllib.parse import urlparse
 
 import numpy as np
 
+MOST_OPEN = 256
+
 
 def _local(uri: str) -> str | None:
     """Path of a folder that is mounted, else None."""
@@ -55,3 +61,76 @@ def load(folder: str, name: str) -> np.ndarray:
                 out.write(block)
         os.replace(part, own)
     return np.load(own, mmap_mode="r")
+
+
+@functools.lru_cache(MOST_OPEN)
+def mapped(folder: str, name: str) -> np.ndarray:
+    """``load`` of an array that is written once, kept open for a while."""
+    return load(folder, name)
+
+
+def _stretch(step: np.ndarray, wide: bool) -> np.ndarray:
+    return np.zeros(len(step), np.int64) if wide else (step >> np.uint64(32)).astype(np.int64)
+
+
+def save_keys(folder: str, name: str, key: np.ndarray) -> None:
+    """Sorted, distinct 64-bit keys: the first one and where each stretch of
+    2**32 begins, and the differences. Where stretches outnumber the keys, one
+    stretch with 64-bit differences."""
+    step = key - key[:1]
+    wide = len(key) and int(step[-1] >> np.uint64(32)) >= len(key)
+    high = _stretch(step, wide)
+    starts = np.searchsorted(high, np.arange(int(high[-1]) + 2 if len(key) else 1))
+    save(folder, f"{name}-starts", np.concatenate([key[:1], starts.astype(np.uint64)]))
+    save(folder, name, step if wide else step.astype(np.uint32))
+
+
+def find_keys(folder: str, name: str, key: np.ndarray) -> np.ndarray:
+    """Places of sorted keys among the saved ones, -1 if absent."""
+    low, starts = mapped(folder, name), mapped(folder, f"{name}-starts")
+    place = np.full(len(key), -1, np.int64)
+    if not len(low):
+        return place
+    base, starts = starts[0], starts[1:].astype(np.int64)
+    step = key - base
+    high = _stretch(step, low.dtype == np.uint64)
+    inside = np.flatnonzero((key >= base) & (high < len(starts) - 1))
+    high = high[inside]
+    sought = step[inside].astype(low.dtype)
+    head = np.flatnonzero(np.diff(high, prepend=-1))
+    for a, b in zip(head.tolist(), [*head[1:].tolist(), len(high)]):
+        lo, hi = starts[high[a]], starts[high[a] + 1]
+        if lo < hi:
+            at = np.minimum(lo + np.searchsorted(low[lo:hi], sought[a:b]), hi - 1)
+            place[inside[a:b]] = np.where(low[at] == sought[a:b], at, -1)
+    return place
+
+
+def keys_at(folder: str, name: str, place: np.ndarray) -> np.ndarray:
+    """The saved keys at given places."""
+    low, starts = mapped(folder, name), mapped(folder, f"{name}-starts")
+    high = np.searchsorted(starts[1:].astype(np.int64), place, "right") - 1
+    return starts[0] + (high.astype(np.uint64) << np.uint64(32)) + low[place].astype(np.uint64)
+
+
+def save_counts(folder: str, name: str, count: np.ndarray) -> None:
+    """Counts in a byte each; those of 255 and more apart, unless they are many."""
+    great = np.flatnonzero(count >= 255)
+    if len(great) * 16 > len(count):
+        save(folder, name, count.astype(np.min_scalar_type(int(count.max()))))
+        return
+    if len(great):
+        save(folder, f"{name}-great", np.stack([great, count[great]]))
+    save(folder, name, np.minimum(count, 255).astype(np.uint8))
+
+
+def counts_at(folder: str, name: str, place: np.ndarray) -> np.ndarray:
+    """The saved counts at given places."""
+    saved = mapped(folder, name)
+    count = saved[place].astype(np.int64)
+    if saved.dtype == np.uint8:
+        great = np.flatnonzero(count == 255)
+        if len(great):
+            at, value = mapped(folder, f"{name}-great")
+            count[great] = value[np.searchsorted(at, place[great])]
+    return count
