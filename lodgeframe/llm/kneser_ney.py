@@ -45,6 +45,7 @@ from lodgeframe.session import scratch_path
 
 END_NAME = np.uint64(0x9B6D3F1AC5E84D27)
 COUNT_CHUNK = 6 * CHUNK_BYTES
+SCORE_CHUNK = 4 * CHUNK_BYTES
 ORDER = 3
 SUMS = ("total", "one", "two", "more", "before")
 
@@ -148,12 +149,13 @@ class Model:
     def sum_borders(self, k: int) -> np.ndarray:
         return borders_of(self.ranges, max(self.contexts(k), self.ranges))
 
-    def grams(self, levels: dict, name: np.ndarray, first: np.ndarray, top: int):
-        """Yields (k, contexts' places, keys, own places) of the k-grams that
-        end at each token, up to level ``top`` (whose places are left out);
-        -1 where unknown. Level 1 comes with counts for contexts."""
+    def grams(self, levels: dict, name: np.ndarray, first: np.ndarray, top: int, *fields: str):
+        """Yields (k, contexts' places, keys, own places, ``fields``) of the
+        k-grams that end at each token, up to level ``top`` (whose places are
+        left out if it is not in ``levels``); -1 where unknown. Level 1 comes
+        with counts for contexts."""
         ids, count = _numbers(levels[1], name, self.borders(1))
-        yield 1, count, None, ids
+        yield 1, count, None, ids, ()
         place = ids
         for k in range(2, top + 1):
             before = np.concatenate([[-1], place[:-1]])[:len(place)]
@@ -162,10 +164,12 @@ class Model:
             key = np.where(known, before, 0).astype(np.uint64) * np.uint64(max(self.n_words, 1)) \
                 + np.where(known, ids, 0).astype(np.uint64)
             place = np.full(len(ids), -1, np.int64)
+            values = [np.zeros(len(ids), np.int64) for _ in fields]
             if k in levels:
                 distinct, inverse = np.unique(key[known], return_inverse=True)
-                place[known] = levels[k].find(distinct, self.borders(k))[0][inverse]
-            yield k, before, np.where(known, key, np.uint64(0)), np.where(known, place, -2)
+                for own, found in zip((place, *values), levels[k].find(distinct, self.borders(k), *fields)):
+                    own[known] = found[inverse]
+            yield k, before, np.where(known, key, np.uint64(0)), np.where(known, place, -2), values
 
     def begins(self, levels: dict, context: np.ndarray, k: int) -> np.ndarray:
         """Whether the contexts of level k begin with the start token."""
@@ -243,7 +247,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
             levels = model.opened()[0]
             for chunk in chunks(batches, "text", COUNT_CHUNK):
                 name, first = tokens(words_of(chunk, "text", True))
-                *_, (_, _, key, place) = model.grams(levels, name, first, k)
+                *_, (_, _, key, place, _) = model.grams(levels, name, first, k)
                 key, n = np.unique(key[place > -2], return_counts=True)
                 yield as_batch(by_range(key, model.borders(k), n))
         return count_grams
@@ -319,8 +323,8 @@ def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
     """Per text: tokens, known tokens, base score, model score (log10)."""
     levels, sums = opened
     n = model.n_words
-    grams = model.grams(levels, name, first, model.order)
-    _, count, _, ids = next(grams)
+    grams = model.grams(levels, name, first, model.order, "count")
+    _, count, _, ids, _ = next(grams)
     base = np.log10((count + 1) / (model.n_tokens + n + 1))
     known = np.flatnonzero(ids >= 0)
 
@@ -332,7 +336,7 @@ def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
     if len(known):
         (t,) = looked(sums[2], ids[known], model.sum_borders(2), "before")
         p[known] += np.maximum(t - _discount(t, model.low), 0) / max(model.types, 1)
-    for k, before, key, place in grams:
+    for k, before, _, place, (c,) in grams:
         ctx = np.flatnonzero(before >= 0)
         if not len(ctx) or not model.n_tokens:
             continue
@@ -343,8 +347,7 @@ def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
         p[ctx] *= (d1 * one + d2 * two + d3 * more) / total
         both = place[ctx] >= 0
         at = ctx[both]
-        (c,) = looked(levels[k], key[at], model.borders(k), "count")
-        p[at] += np.maximum(c - _discount(c, model.discounts[k]), 0) / total[both]
+        p[at] += np.maximum(c[at] - _discount(c[at], model.discounts[k]), 0) / total[both]
     score = np.log10(p)
 
     def per_text(x: np.ndarray) -> np.ndarray:
@@ -362,7 +365,7 @@ def score(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", t
 
     def run(batches):
         opened = model.opened()
-        for chunk in chunks(batches, "text", COUNT_CHUNK):
+        for chunk in chunks(batches, "text", SCORE_CHUNK):
             name, first = tokens(words_of(chunk, "text", True))
             n, known, base, value = chunk_scores(model, opened, name, first)
             yield pa.RecordBatch.from_arrays(
