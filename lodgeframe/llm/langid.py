@@ -4,7 +4,8 @@ Every word of a text gets a distribution over languages: emission scores sum
 learned weights of its affixes, byte n-grams and its place in a lexicon, and
 learned transitions tie neighbours; forward-backward over the whole text gives
 the word marginals. A document's language is the one with the greatest sum of
-marginals, and its score that language's share.
+marginals, and its score that language's share. ``label_spans`` gives the
+words' own languages, a row per stretch of words with one language.
 
 Training fits a classifier on a bounded sample: at most about ``per_label``
 distinct texts of each label (drawn by their hash, whole texts), whatever the
@@ -195,19 +196,18 @@ def train(texts: list[str], labels: list[int], n_labels: int, rounds: int = ROUN
     return weights, trans
 
 
-def marginal_sums(score: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
-    """Per text the sum of its words' marginals. ``score`` [word, label] holds
-    the words of all texts in order; ``first`` points at each text's first."""
+def marginals(score: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Every word's distribution over labels. ``score`` [word, label] holds the
+    words of all texts in order; ``first`` points at each text's first."""
     n_labels = score.shape[1]
     sizes = np.diff(first)
     size = BLOCK if n_labels <= MANY_LABELS else max(BLOCK, int(sizes.max(initial=0)))
     n_blocks = -(-sizes // size)
     head = np.concatenate([[0], np.cumsum(n_blocks)])
     total = int(head[-1])
-    out = np.zeros((len(sizes), n_labels))
     if not total:
-        return out
-    text = np.repeat(np.arange(len(sizes)), n_blocks)
+        return np.zeros((0, n_labels))
+    text =np.repeat(np.arange(len(sizes)), n_blocks)
     begin = first[text] + (np.arange(total) - head[text]) * size
     used = np.minimum(first[text + 1] - begin, size)
     e = np.exp(score - score.max(axis=1, keepdims=True))
@@ -248,12 +248,19 @@ def marginal_sums(score: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np
         live, emit = step(i)
         message[live] = alpha[begin[live] + i] = _unit(moved(message[live], live, i) * emit)
     message = back
-    sums = np.zeros((total, n_labels))
     for i in range(int(used.max()) - 1, -1, -1):
         live, emit = step(i)
-        sums[live] += _unit(alpha[begin[live] + i] * message[live])
+        alpha[begin[live] + i] = _unit(alpha[begin[live] + i] * message[live])
         message[live] = _unit((message[live] * emit) @ a.T)
-    np.add.at(out, text, sums)
+    return alpha
+
+
+def marginal_sums(score: np.ndarray, first: np.ndarray, trans: np.ndarray) -> np.ndarray:
+    """Per text the sum of its words' marginals."""
+    out = np.zeros((len(first) - 1, score.shape[1]))
+    filled = np.flatnonzero(first[1:] > first[:-1])
+    if len(filled):
+        out[filled] = np.add.reduceat(marginals(score, first, trans), first[:-1][filled], axis=0)
     return out
 
 
@@ -261,22 +268,54 @@ def _unit(x: np.ndarray) -> np.ndarray:
     return x / np.maximum(x.sum(axis=1, keepdims=True), 1e-300)
 
 
-def label_chunk(chunk: pa.RecordBatch, column: int, names: list[str], weights: np.ndarray,
-                trans: np.ndarray) -> tuple[list[str], np.ndarray]:
-    """Language and score of each text."""
-    data, bounds = text_buffer(chunk.column(column))
-    w = Words(data, bounds, lower=True)
+def _scored(w: Words, weights: np.ndarray):
+    """Which words have letters, their emission scores, and where each text's
+    first one is."""
     ids, start, end = _word_ids(w)
     has = ids >= 0
-    score = emissions(weights, w.bytes, start, end)[ids[has]]
-    first = np.concatenate([[0], np.cumsum(has)])[w.first]
-    sums = marginal_sums(score, first, trans)
+    return (has, emissions(weights, w.bytes, start, end)[ids[has]],
+            np.concatenate([[0], np.cumsum(has)])[w.first])
+
+
+def _with_letters(data: np.ndarray, bounds: np.ndarray) -> np.ndarray:
+    """Which texts have a letter."""
     letters = np.concatenate([[0], np.cumsum(LETTER[data])])
     lettered = letters[bounds[1:]] > letters[bounds[:-1]]
     plain = np.concatenate([[0], np.cumsum(LETTER[data] & (data < 128))])
     unsure = np.flatnonzero(lettered & (plain[bounds[1:]] == plain[bounds[:-1]]))
     for i in unsure:  # bytes beyond ASCII may be no letters
         lettered[i] = any(c.isalpha() for c in data[bounds[i]:bounds[i + 1]].tobytes().decode("utf-8", "replace"))
+    return lettered
+
+
+def span_chunk(chunk: pa.RecordBatch, column: int, weights: np.ndarray, trans: np.ndarray):
+    """Stretches of words with one language: text, start and end (code points),
+    label, and the mean marginal of its words."""
+    data, bounds = text_buffer(chunk.column(column))
+    w = Words(data, bounds, lower=True)
+    has, score, first = _scored(w, weights)
+    m = marginals(score, first, trans)
+    text, (start, end) = w.text_of()[has], (x[has] for x in cores(w))
+    sure = np.flatnonzero(_with_letters(data, bounds)[text])
+    m, text, start, end = m[sure], text[sure], start[sure], end[sure]
+    label = m.argmax(axis=1)
+    if not len(label):
+        return text, start, end, label, np.zeros(0)
+    head = np.flatnonzero(np.concatenate([[True], (text[1:] != text[:-1]) | (label[1:] != label[:-1])]))
+    size = np.diff(head, append=len(label))
+    point = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
+    text, before = text[head], point[bounds[text[head]]]
+    return (text, point[start[head]] - before, point[end[head + size - 1]] - before, label[head],
+            np.add.reduceat(m.max(axis=1), head) / size)
+
+
+def label_chunk(chunk: pa.RecordBatch, column: int, names: list[str], weights: np.ndarray,
+                trans: np.ndarray) -> tuple[list[str], np.ndarray]:
+    """Language and score of each text."""
+    data, bounds = text_buffer(chunk.column(column))
+    _, score, first = _scored(Words(data, bounds, lower=True), weights)
+    sums = marginal_sums(score, first, trans)
+    lettered = _with_letters(data, bounds)
     best = sums.argmax(axis=1)
     share = sums.max(axis=1) / np.maximum(sums.sum(axis=1), 1e-300)
     return ([names[b] if ok else UNKNOWN for b, ok in zip(best, lettered)],
@@ -298,19 +337,55 @@ def sample(docs: DataFrame, text_col: str, label_col: str, per_label: int) -> li
     return sorted((r[0], r[1]) for r in picked.distinct().collect())
 
 
-def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
-             per_label: int = PER_LABEL) -> DataFrame:
-    """doc_id, held_out, lang_pred, score. Learns from rows not held out."""
+def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
+        per_label: int = PER_LABEL):
+    """The model for ``identify`` and ``label_spans``, from rows not held out:
+    label names (none where no row has a label), weights and transitions."""
     drawn = sample(docs.filter(~held_out(F.col(id_col))), text_col, label_col, per_label)
-    names = sorted({y for y, _ in drawn}) or [UNKNOWN]
+    names = sorted({y for y, _ in drawn})
     number = {y: i for i, y in enumerate(names)}
-    weights, trans = train([t for _, t in drawn], [number[y] for y, _ in drawn], len(names))
-    model = docs.sparkSession.sparkContext.broadcast((names, weights.astype(np.float32), trans))
-    learned = bool(drawn)
+    weights, trans = train([t for _, t in drawn], [number[y] for y, _ in drawn], max(len(names), 1))
+    return docs.sparkSession.sparkContext.broadcast((names, weights.astype(np.float32), trans))
+
+
+def _chunk_bytes(names: list[str]) -> int:
+    return CHUNK_BYTES * MANY_LABELS // max(MANY_LABELS, len(names))
+
+
+def label_spans(docs: DataFrame, model=None, id_col: str = "doc_id", text_col: str = "text",
+                label_col: str = "lang", per_label: int = PER_LABEL) -> DataFrame:
+    """doc_id, start, end, lang, score: the languages of a text's words, a row
+    per stretch of words with one language. Places are code points, from the
+    first word's first letter to the last word's last one; words without
+    letters neither end a stretch nor begin one (within a text that has a
+    letter, signs beyond ASCII count as letters). The score is the mean marginal
+    of its words. Texts without a letter have no row, nor has any text when
+    nothing was learned."""
+    model = model or fit(docs, id_col, text_col, label_col, per_label)
+
+    def run(batches):
+        names, weights, trans = model.value
+        for chunk in chunks(batches, "text", _chunk_bytes(names)) if names else ():
+            text, start, end, label, score = span_chunk(chunk, 1, weights, trans)
+            yield pa.RecordBatch.from_arrays(
+                [chunk.column(0).take(pa.array(text, pa.int64())), pa.array(start, pa.int64()),
+                 pa.array(end, pa.int64()), pa.array([names[i] for i in label.tolist()], pa.string()),
+                 pa.array(score, pa.float64())], names=["doc_id", "start", "end", "lang", "score"])
+
+    return (docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+            .mapInArrow(run, "doc_id bigint, start bigint, end bigint, lang string, score double"))
+
+
+def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "lang",
+             per_label: int = PER_LABEL, model=None) -> DataFrame:
+    """doc_id, held_out, lang_pred, score. Learns from rows not held out."""
+    model = model or fit(docs, id_col, text_col, label_col, per_label)
 
     def run(batches):
         names, weights, trans = model.value
-        for chunk in chunks(batches, "text", CHUNK_BYTES * MANY_LABELS // max(MANY_LABELS, len(names))):
+        learned = bool(names)
+        names = names or [UNKNOWN]
+        for chunk in chunks(batches, "text", _chunk_bytes(names)):
             lang, score = label_chunk(chunk, 2, names, weights, trans)
             if not learned:
                 lang, score = [UNKNOWN] * len(lang), score * 0

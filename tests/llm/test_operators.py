@@ -276,6 +276,33 @@ def test_language_crf(spark, docs):
     assert {(r.lang_pred, r.score) for r in langid.identify(edge).collect()} == {("und", 0.0)}
 
 
+def test_words_of_code_switched_texts_are_labelled(spark):
+    rng = random.Random(8)
+    own = {"l": ["été", "plage", "sommeil", "voilà", "lumière", "chemin"], "r": ["throw", "knight", "shawl", "wharf", "thumb", "yacht"]}
+    taught = [(i, " ".join(rng.choice(own[y]) for _ in range(15)), y) for i in range(200) for y in (rng.choice("lr"),)]
+    texts, truth = {}, {}
+    for i in range(40):
+        runs = [("lr"[(i + j) % 2], rng.randrange(4, 9)) for j in range(rng.randrange(1, 5))]
+        words = [(rng.choice(own[y]), y) for y, n in runs for _ in range(n)]
+        texts[i], truth[i] = "-- 12 " + ", ".join(w for w, _ in words) + " !", words
+    texts |= {50: None, 51: "", 52: "12 - !", None: "plage été"}
+    table = spark.createDataFrame([(i, t) for i, t in texts.items()], "doc_id bigint, text string")
+    model = langid.fit(spark.createDataFrame(taught, "doc_id bigint, text string, lang string"))
+    spans = langid.label_spans(table, model).collect()
+    assert {s.doc_id for s in spans} == {*truth, None}
+    right = total = 0
+    for i, words in truth.items():
+        mine = sorted((s for s in spans if s.doc_id == i), key=lambda s: s.start)
+        assert all(a.end < b.start and a.lang != b.lang for a, b in zip(mine, mine[1:]))
+        assert all(0 < s.score <= 1 for s in mine)
+        got = [(w, s.lang) for s in mine for w in re.findall(r"\w+", texts[i][s.start:s.end])]
+        assert [w for w, _ in got] == [w for w, _ in words]
+        right, total = right + sum(a == b for a, b in zip(got, words)), total + len(words)
+    assert right / total >= 0.95
+    nothing = spark.createDataFrame([(1, "plage", None)], "doc_id bigint, text string, lang string")
+    assert langid.label_spans(nothing).collect() == []
+
+
 def test_long_words_are_read_at_every_byte():
     texts = ["x" * 30 + m + "x" * 30 for m in ("", "q", "qz" * 20, "zq" * 20000)] + ["abc"]
     raw = [t.encode() for t in texts]
