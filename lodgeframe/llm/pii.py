@@ -7,8 +7,13 @@ strict pattern, checks and gazetteers (domain endings, address blocks, number
 prefixes), and the words before it, each for, against or silent. Votes of all
 candidates of the whole corpus are counted per vote pattern (at most
 3 ** labelers per kind, whatever the corpus). Expectation-maximisation over
-those counts estimates each labeler's reliability, and a span classifier
-(logistic regression on the votes) is trained on the posteriors. A candidate
+those counts estimates each labeler's reliability. A span classifier (logistic
+regression) is then trained on the posteriors. Besides the votes it sees the
+span's shape and length, the signs beside it and the words around it, hashed
+to ``SLOTS`` weights, so it learns contexts that no labeler names: what stands
+before strict spans counts for wider ones too. It is fitted on a bounded
+sample: the ``PER_KIND`` distinct candidates (votes and features) of each kind
+with the least hash, a repeated one weighing 1 + ln(its number). A candidate
 is marked when the classifier gives it at least ``threshold``. Spans of the
 strict patterns are always kept; a candidate that overlaps one is dropped, so
 the method only adds.
@@ -24,16 +29,24 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lodgeframe.llm.staging import discard, stage_at
+
 KINDS = ("email", "ip", "card", "phone")
 THRESHOLD = 0.9
 CONTEXT = 24
+SLOTS = 1024
+PER_KIND = 4000
+#: Distinct candidates a task counts before it passes them on.
+HELD = 50_000
+_WORD = re.compile(r"[^\W\d_]+")
 
 # The strict patterns. Repeats of single classes are possessive
 # where nothing can be given back.
@@ -183,19 +196,65 @@ def candidates(text: str):
         yield kind, a, b, False, votes(kind, text, a, b, False)
 
 
-def vote_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """kind, votes (a string of + - 0), n: over all candidates of all texts."""
+def features(kind: str, text: str, a: int, b: int) -> list[int]:
+    """Slots of the span's shape and length, its neighbours and the words
+    around it; at most seven."""
+    before, span, after = text[max(0, a - CONTEXT):a], text[a:b], text[b:b + CONTEXT]
+    shape = re.sub("[0-9]+", lambda m: str(min(len(m.group()), 9)), re.sub(r"[^\W\d_]+", "a", span[:64]))
+    words = _WORD.findall(before.lower())[-2:]
+    seen = [f"shape {shape}", f"length {min(b - a, 40) // 4}", f"left {before[-1:]}", f"right {after[:1]}",
+            *(f"word -{len(words) - i} {w}" for i, w in enumerate(words)),
+            *(f"word 1 {w}" for w in _WORD.findall(after.lower())[:1])]
+    return sorted({zlib.crc32(f"{kind} {t}".encode()) % SLOTS for t in seen})
+
+
+def candidate_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """kind, votes (a string of + - 0), slots, n: the distinct candidates of
+    all texts."""
+    schema = "kind string, votes string, slots array<int>, n bigint"
+
+    def rows(counts):
+        keys = list(counts)
+        return pa.RecordBatch.from_arrays(
+            [pa.array([k for k, _, _ in keys]), pa.array([v for _, v, _ in keys]),
+             pa.array([list(s) for _, _, s in keys], pa.list_(pa.int32())), pa.array(list(counts.values()), pa.int64())],
+            names=["kind", "votes", "slots", "n"])
+
     def run(batches):
         counts: Counter = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 if text:
-                    counts.update((k, "".join("-0+"[v + 1] for v in vs)) for k, _, _, _, vs in candidates(text))
+                    counts.update((k, "".join("-0+"[v + 1] for v in vs), tuple(features(k, text, a, b)))
+                                  for k, a, b, _, vs in candidates(text))
+                if len(counts) >= HELD:
+                    yield rows(counts)
+                    counts.clear()
         if counts:
-            yield pa.RecordBatch.from_pydict({"kind": [k for k, _ in counts], "votes": [v for _, v in counts],
-                                              "n": list(counts.values())})
-    return (docs.select(text_col).mapInArrow(run, "kind string, votes string, n bigint")
-            .groupBy("kind", "votes").agg(F.sum("n").alias("n")))
+            yield rows(counts)
+    return (docs.select(text_col).mapInArrow(run, schema)
+            .groupBy("kind", "votes", "slots").agg(F.sum("n").alias("n")))
+
+
+def vote_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """kind, votes, n: over all candidates of all texts."""
+    return candidate_counts(docs, text_col).groupBy("kind", "votes").agg(F.sum("n").alias("n"))
+
+
+def sampled(counted: DataFrame, distinct: dict[str, int], per_kind: int = PER_KIND) -> DataFrame:
+    """kind, votes, slots, n: of each kind the ``per_kind`` candidates with the
+    least hash. A bound on the hash, from the number of distinct ones, leaves
+    about twice as many for the ranking, whatever the corpus."""
+    span = 1 << 40
+    bound = F.lit(0).cast("bigint")
+    for kind, n in distinct.items():
+        bound = F.when(F.col("kind") == kind, F.lit(min(span, 2 * per_kind * span // n + 1))).otherwise(bound)
+    hashed = F.xxhash64("kind", "votes", "slots")
+    order = Window.partitionBy("kind").orderBy("hash", "votes", "slots")
+    return (counted.withColumn("hash", hashed).filter(F.pmod("hash", F.lit(span)) < bound)
+            .withColumn("hash", F.pmod("hash", F.lit(span)))
+            .withColumn("place", F.row_number().over(order)).filter(F.col("place") <= per_kind)
+            .select("kind", "votes", "slots", "n"))
 
 
 def reliabilities(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> tuple[float, np.ndarray, np.ndarray]:
@@ -217,46 +276,79 @@ def reliabilities(patterns: np.ndarray, n: np.ndarray, rounds: int = 50) -> tupl
     return float(prior), table, posterior
 
 
-def train(counts: list[tuple[str, str, int]], rounds: int = 400, step: float = 0.5,
-          decay: float = 1e-3) -> dict[str, tuple[list[float], float]]:
-    """Per kind the classifier's weights and offset, from pattern counts."""
+def train(counts: list[tuple[str, str, int]], sample: list[tuple[str, str, list[int], int]] | None = None,
+          rounds: int = 400, step: float = 0.5, decay: float = 1e-3) -> dict:
+    """Per kind the classifier's weights of the votes, weights of the slots
+    {slot: weight} and offset. ``counts`` (kind, votes, n) are of all
+    candidates and give the posteriors; the classifier is fitted on ``sample``
+    (kind, votes, slots, n), or on the counts alone without it."""
+    if sample is None:
+        sample = [(k, v, [], n) for k, v, n in counts]
+    else:
+        sample = [(k, v, s, 1 + np.log(n)) for k, v, s, n in sample]
     models = {}
+    read = lambda v: ["-0+".index(c) - 1 for c in v]
     for kind in KINDS:
         own = sorted((v, n) for k, v, n in counts if k == kind)
-        if not own:
+        drawn = sorted((v, list(s), n) for k, v, s, n in sample if k == kind)
+        if not own or not drawn:
             continue
-        x = np.array([["-0+".index(c) - 1 for c in v] for v, _ in own])
-        n = np.array([c for _, c in own], float)
-        _, _, goal = reliabilities(x, n)
-        w, bias, share = np.zeros(x.shape[1]), 0.0, n / n.sum()
+        _, _, posterior = reliabilities(np.array([read(v) for v, _ in own]), np.array([c for _, c in own], float))
+        goal_of = dict(zip((v for v, _ in own), posterior))
+        slots = sorted({i for _, s, _ in drawn for i in s})
+        at = {slot: len(LABELERS) + i for i, slot in enumerate(slots)}
+        x = np.zeros((len(drawn), len(LABELERS) + len(slots)))
+        for i, (v, s, _) in enumerate(drawn):
+            x[i, :len(LABELERS)] = read(v)
+            x[i, [at[j] for j in s]] = 1
+        goal = np.array([goal_of[v] for v, _, _ in drawn])
+        share = np.array([n for _, _, n in drawn], float)
+        share /= share.sum()
+        w, bias = np.zeros(x.shape[1]), 0.0
         for _ in range(rounds):
             p = 1 / (1 + np.exp(-(x @ w + bias)))
             g = (p - goal) * share
             w -= step * (x.T @ g + decay * w)
             bias -= step * g.sum()
-        models[kind] = (w.tolist(), float(bias))
+        models[kind] = (w[:len(LABELERS)].tolist(), dict(zip(slots, w[len(LABELERS):].tolist())), float(bias))
     return models
 
 
+def probability(models: dict, kind: str, text: str, a: int, b: int, vs: tuple[int, ...]) -> float:
+    """The classifier's verdict on one candidate; 0 for a kind never seen."""
+    if kind not in models:
+        return 0.0
+    w, slots, bias = models[kind]
+    z = sum(x * y for x, y in zip(w, vs)) + bias
+    if slots:
+        z += sum(slots.get(i, 0.0) for i in features(kind, text, a, b))
+    return float(1 / (1 + np.exp(-z)))
+
+
 def marks(text: str | None, models: dict, threshold: float = THRESHOLD):
     """Strict spans and marked spans, (kind, start, end), by kind, then start."""
     base, marked = [], []
     for kind, a, b, strict, vs in candidates(text or ""):
         if strict:
             base.append((kind, a, b))
-        elif kind in models:
-            w, bias = models[kind]
-            z = sum(x * y for x, y in zip(w, vs)) + bias
-            if 1 / (1 + np.exp(-z)) >= threshold:
-                marked.append((kind, a, b))
+        elif probability(models, kind, text, a, b, vs) >= threshold:
+            marked.append((kind, a, b))
     place = lambda s: (KINDS.index(s[0]), s[1])
     return sorted(base, key=place), sorted(base + marked, key=place)
 
 
-def fit(docs: DataFrame, text_col: str = "text") -> dict:
-    """Reliabilities and classifier from all texts; at most 4 * 3 ** 6 rows
+def fit(docs: DataFrame, text_col: str = "text", per_kind: int = PER_KIND) -> dict:
+    """Reliabilities from all candidates of all texts, the classifier from a
+    sample of them; at most 4 * 3 ** 6 counts and 4 * ``per_kind`` candidates
     come to the driver."""
-    return train([tuple(r) for r in vote_counts(docs, text_col).collect()])
+    counted, counted_at = stage_at(candidate_counts(docs, text_col), "pii-candidates")
+    per_vote = (counted.groupBy("kind", "votes").agg(F.sum("n").alias("n"), F.count("*").alias("distinct")).collect())
+    distinct: Counter = Counter()
+    for r in per_vote:
+        distinct[r["kind"]] += r["distinct"]
+    drawn = sampled(counted, dict(distinct), per_kind).collect() if distinct else []
+    discard(docs.sparkSession, counted_at)
+    return train([(r["kind"], r["votes"], r["n"]) for r in per_vote], [tuple(r) for r in drawn])
 
 
 def find(docs: DataFrame, models: dict | None = None, id_col: str = "doc_id", text_col: str = "text",

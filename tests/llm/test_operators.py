@@ -218,6 +218,67 @@ def test_labelers_add_worded_addresses():
     assert pii.marks("we met at noon. then left", models) == ([], [])
 
 
+def planted_personal_data(n=400, seed=5):
+    """(text, planted wide spans): strict forms, worded and loose ones, and
+    look-alikes that are none."""
+    rng = random.Random(seed)
+    number = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
+    name = lambda: "".join(rng.choice("abcdefghij") for _ in range(rng.randrange(4, 9)))
+    texts = []
+    for i in range(n):
+        where = rng.choice(["contact", "mail", "reach me at", "write to"])
+        worded = f"{name()} [at] {name()} [dot] {rng.choice(['com', 'org', 'net', 'de'])}"
+        loose = f"({number(3)}) {number(3)}-{number(4)}"
+        call = rng.choice(["call", "phone", "tel"])
+        texts += [(f"{name()} {where} {name()}@{name()}.com today", []),
+                  (f"{name()} {call} +1 ({number(3)}) 555-{number(4)} now", []),
+                  (f"please {where}: {worded} soon", [worded]),
+                  (f"please {call} {loose} soon", [loose]),
+                  (f"we sat {name()} (at) {name()}.{name()[:2]}x{number(1)} {name()}", []),
+                  (f"order {number(4)}.{number(4)}.{number(4)}.{number(4)} was late", []),
+                  (f"invoice total {number(2)}.{number(3)}.{number(3)} paid", [])]
+    return texts
+
+
+def test_pii_precision_and_recall_of_added_spans(spark):
+    planted = planted_personal_data()
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(planted)], "doc_id bigint, text string")
+    hit = added = wanted = 0
+    for r in pii.find(df).collect():
+        text, want = planted[r.doc_id]
+        strict = {(a, b) for spans in pii.strict_spans(text).values() for a, b in spans}
+        spans = [tuple(map(int, s.split(":")[1:])) for s in r.spans.split(",") if s]
+        new = [text[a:b] for a, b in spans if (a, b) not in strict]
+        hit, added, wanted = hit + len(set(new) & set(want)), added + len(new), wanted + len(want)
+    assert hit >= 0.9 * wanted and hit >= 0.95 * added
+
+
+def test_pii_classifier_sees_the_context(spark):
+    """Equal votes, unlike words: strict spans teach what stands before one."""
+    rng = random.Random(6)
+    number = lambda k: "".join(rng.choice("23456789") for _ in range(k))
+    texts = [f"dial +1 {number(3)} {number(3)} {number(4)}" for _ in range(300)]
+    texts += [f"lot {number(3)}.{number(3)}.{number(4)}" for _ in range(300)]
+    models = pii.fit(spark.createDataFrame([(t,) for t in texts], "text string"))
+    scores = []
+    for word in ("dial", "lot"):
+        text = f"{word} {number(3)} {number(3)} {number(4)}"
+        (kind, a, b, strict, vs), = pii.candidates(text)
+        scores.append((vs, pii.probability(models, kind, text, a, b, vs)))
+        assert kind == "phone" and not strict
+    assert scores[0][0] == scores[1][0] and scores[0][1] > scores[1][1]
+
+
+def test_pii_sample_is_bounded_and_ignores_copies(spark):
+    texts = ["call (555) 555-1234 now"] * 500 + [f"{chr(97 + i // 26)}{chr(97 + i % 26)} call ({i:03d}) 555-1234 {chr(97 + i % 26)}b" for i in range(600)]
+    counted = pii.candidate_counts(spark.createDataFrame([(t,) for t in texts], "text string")).cache()
+    n = counted.count()
+    drawn = pii.sampled(counted, {"phone": n}, per_kind=50)
+    assert n > 200 and drawn.count() == 50
+    assert sorted(drawn.collect()) == sorted(pii.sampled(counted.repartition(7), {"phone": n}, per_kind=50).collect())
+    assert counted.agg({"n": "sum"}).first()[0] == len(texts)
+
+
 def test_packing_is_gapless_and_round_trips(spark, edge):
     cut = packing.pieces(edge, keep_ids=True).toPandas()
     packed = packing.pack_documents(edge).toPandas()
