@@ -1,4 +1,7 @@
 """Aggregations, rankings, lookups, sampling and their properties."""
+import itertools
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -62,6 +65,21 @@ def test_correlation_constant_column_is_null(spark):
     assert m[("x", "y")] == 1.0                       # pairwise: the null row is ignored
 
 
+def test_correlations_with_every_pattern_of_nulls(spark):
+    rng = np.random.default_rng(4)
+    x = rng.normal(1e6, 1, (400, 4)) @ rng.normal(0, 1, (4, 4))
+    x[rng.random(x.shape) < 0.3] = np.nan
+    rows = [[None if np.isnan(v) else float(v) for v in r] for r in x]
+    df = spark.createDataFrame(rows + [[None] * 4], "a double, `b.c` double, d double, e double")
+    names = ["a", "b.c", "d", "e"]
+    m = {(r.column_a, r.column_b): r.corr for r in X.correlation_matrix(df, names).collect()}
+    assert len(m) == 6
+    for (i, a), (j, b) in itertools.combinations(enumerate(names), 2):
+        both = ~np.isnan(x[:, i]) & ~np.isnan(x[:, j])
+        assert abs(m[a, b] - np.corrcoef(x[both, i], x[both, j])[0, 1]) < 2e-6
+    assert X.correlation_matrix(df.limit(0), names).collect() == []
+
+
 def test_box_stats_whiskers(spark):
     df = spark.createDataFrame([(float(v),) for v in [1, 2, 3, 4, 5, 6, 7, 8, 100]], "v double")
     r = X.box_stats(df, ["v"]).first()

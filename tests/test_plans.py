@@ -78,3 +78,9 @@ def test_correlations_unpivot_in_the_map_stage(spark, written):
     p = plan(X.correlation_matrix(gold, GOLD_NUMERIC))
     assert "Generate stack" in p and "partial_" in p
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p
+
+
+def test_leakage_screen_computes_pairs_with_the_label_only(spark, written):
+    _, gold = written
+    p = plan(X.leakage_screen(gold, "price_log", GOLD_NUMERIC))
+    assert f"stack({len(GOLD_NUMERIC) - 1}," in p
