@@ -738,9 +738,10 @@ _INDEX_SQL = " UNION ALL ".join(
 
 def _indexed(spark, sf_dir) -> DataFrame:
     """Gold rows with the index and the one-hot slot of each categorical
-    column, both fitted on the training part."""
+    column, both fitted on the training part. Every fit and the result read
+    these columns, so they are made once."""
     from pyspark.ml import Pipeline
-    g = L.gold(spark, sf_dir).select(COLS.key, *M.CATEGORICAL)
+    g = L.gold(spark, sf_dir).select(COLS.key, *M.CATEGORICAL).persist()
     train, _ = T.train_test(g, 0.8, COLS.key, SEED)
     stages = M.feature_stages(g, numeric=[])[:-1]
     return Pipeline(stages=stages).fit(train).transform(g)

@@ -14,7 +14,7 @@ from lodgeframe.operators import sampling as T
 from lodgeframe.operators.enrich import dashboard_frame, gold_features
 from lodgeframe.plans import listings as L
 from lodgeframe.plans.bindings import listings_typed
-from lodgeframe.plans.registry import GOLD_NUMERIC
+from lodgeframe.plans.registry import GOLD_NUMERIC, QUERIES
 from lodgeframe.sources import sinks as SK
 
 
@@ -84,3 +84,8 @@ def test_leakage_screen_computes_pairs_with_the_label_only(spark, written):
     _, gold = written
     p = plan(X.leakage_screen(gold, "price_log", GOLD_NUMERIC))
     assert f"stack({len(GOLD_NUMERIC) - 1}," in p
+
+
+def test_indexed_columns_are_made_once(spark, sf_small):
+    for name in ("m1_string_index", "m2_one_hot"):
+        assert "InMemoryTableScan" in plan(QUERIES[name](spark, sf_small))
