@@ -123,11 +123,12 @@ def train(df: DataFrame, root: str, kind: str = "gbt", iteration: int = 1, cols:
     spark = df.sparkSession
     categorical = list(categorical or (cols.kind, cols.subzone))
     label = "log_label"
-    data = with_distances(df, cols).withColumn(label, S.log_label(cols.value)).persist()
+    used = dict.fromkeys([cols.key, cols.subzone, cols.kind, *categorical, *request_features(cols), label])
+    data = with_distances(df, cols).withColumn(label, S.log_label(cols.value)).select(*used).persist()
     try:
         fitted_on, test = M.train_test(data, train_fraction, cols.key, M.SEED)
         stages = M.feature_stages(data, categorical=categorical, numeric=request_features(cols))
-        model = M.fit(fitted_on, stages, M.estimator(kind, iteration, label=label))
+        model = M.fit(M.evened(fitted_on, data.count()), stages, M.estimator(kind, iteration, label=label))
         metrics = M.evaluate(model.transform(test), label, plus_one=False)
         features = E.imputed_features(cols)
         tables = {"group_medians": E.group_medians(data, [cols.subzone, cols.kind], features),

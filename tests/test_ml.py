@@ -154,3 +154,15 @@ def test_ordinal_codes_of_unknown_labels(spark):
     asked = spark.createDataFrame([("a", "z"), ("c", None), (None, "x")], "k string, z string")
     assert [(r.k_code, r.z_code) for r in M.apply_ordinal(asked, codes, ["k", "z"]).orderBy("z").collect()] == [
         (-1.0, -1.0), (-1.0, 0.0), (0.0, 2.0)]
+
+
+def test_training_rows_lie_in_few_partitions(spark, sf_small):
+    cores = spark.sparkContext.defaultParallelism
+    g = L.gold(spark, sf_small).repartition(5 * cores, COLS.key)
+    held = M.prepared(g)[:2]
+    assert all(1 <= part.rdd.getNumPartitions() <= cores for part in held)
+    assert sum(part.count() for part in held) == g.count()
+    # Many rows keep their partitions.
+    assert M.evened(g, 10 * cores, each=1).rdd.getNumPartitions() == 5 * cores
+    for part in held:
+        part.unpersist()
