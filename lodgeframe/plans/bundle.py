@@ -128,7 +128,7 @@ def train(df: DataFrame, root: str, kind: str = "gbt", iteration: int = 1, cols:
     try:
         fitted_on, test = M.train_test(data, train_fraction, cols.key, M.SEED)
         stages = M.feature_stages(data, categorical=categorical, numeric=request_features(cols))
-        model = M.fit(M.evened(fitted_on, data.count()), stages, M.estimator(kind, iteration, label=label))
+        model = M.fit_evened(fitted_on, data.count(), stages, M.estimator(kind, iteration, label=label))
         metrics = M.evaluate(model.transform(test), label, plus_one=False)
         features = E.imputed_features(cols)
         tables = {"group_medians": E.group_medians(data, [cols.subzone, cols.kind], features),

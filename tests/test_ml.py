@@ -166,3 +166,26 @@ def test_training_rows_lie_in_few_partitions(spark, sf_small):
     assert M.evened(g, 10 * cores, each=1).rdd.getNumPartitions() == 5 * cores
     for part in held:
         part.unpersist()
+
+
+def test_training_rows_of_few_partitions_are_dealt_anew(spark):
+    cores = spark.sparkContext.defaultParallelism
+    n = 100 * cores
+    df = spark.range(n).select("id", (F.col("id") % 7).cast("double").alias("x"),
+                               F.log1p(F.col("id") % 11).alias(M.LABEL)).coalesce(1).persist()
+    stages, seen = [VectorAssembler(inputCols=["x"], outputCol="features")], []
+    est = M.estimator("lr")
+    fit = est.fit
+
+    class Watched(type(est)):
+        def fit(self, rows):
+            seen.extend(r["count"] for r in rows.groupBy(F.spark_partition_id()).count().collect())
+            return fit(rows)
+    est.__class__ = Watched
+    model = M.fit_evened(df, n, stages, est, each=25)
+    # One partition held them all.
+    assert sum(seen) == n and len(seen) == 4 * cores and max(seen) <= 50
+    plain = M.fit(df, stages, M.estimator("lr"))
+    assert model.stages[-1].coefficients[0] == pytest.approx(plain.stages[-1].coefficients[0])
+    assert len(model.stages) == 2 and model.transform(df).count() == n
+    df.unpersist()
