@@ -20,10 +20,11 @@ is lost. Sets with equal signatures are candidates, and every candidate pair
 that matters is verified on its exact sets.
 
 Components. Equal sets are one node from the start, so copies are never
-paired. First the nodes of a signature are compared with its most popular
+paired. Of signatures with the same nodes one is kept. First the nodes of a signature are compared with its most popular
 node, and connected components are taken of the links. Then nodes that share a
 signature, but no component, are compared, block by block of a signature's
-nodes. Pairs inside a component need no test: they cannot change it. So no
+nodes. Nodes of crowded signatures know which of these they have, and a pair
+is compared in the least it shares only. Pairs inside a component need no test: they cannot change it. So no
 link between different texts is lost.
 
 Comparing. Each node also has a bit sketch (each shingle flips one bit) of 4
@@ -59,6 +60,8 @@ from lodgeframe.llm.words import END_ID, Words, mix
 
 SHINGLE = 5
 PERCENT = 80
+#: A signature with more nodes than this is crowded.
+CROWD = 64
 _SALT = np.array([0x8F14E45FCEEA167A, 0x6512BD43D9CAA6E0, 0x3C59DC048E885024], np.uint64)
 
 
@@ -227,12 +230,22 @@ def sketched(docs: DataFrame, id_col: str, text_col: str, k: int, percent: int):
     found, found_at = stage_at(packed.join(replies, "pack", "left").mapInArrow(list_members, schema), "jaccard-members")
     discard(docs.sparkSession, packs_at)
     # Packs that hold equal sets list their signatures alike.
-    members, members_at = stage_at(found.filter("sig is not null").select("sig", "node").distinct(), "jaccard-signatures")
+    listed, listed_at = stage_at(found.filter("sig is not null").select("sig", "node").distinct(), "jaccard-listed")
     nodes = stage(found.filter("sig is null").drop("sig"), "jaccard-nodes")
-    discard(docs.sparkSession, found_at)
+    members, members_at = stage_at(telling(listed), "jaccard-signatures")
+    discard(docs.sparkSession, found_at, listed_at)
     return texts, members, nodes, members_at
 
 
+def telling(members: DataFrame) -> DataFrame:
+    """The members of one signature of those that have the same nodes: the
+    others give the same pairs."""
+    name = [F.bit_xor(F.xxhash64("node", F.lit(i))).alias(f"name_{i}") for i in (0, 1)]
+    same = members.groupBy("sig").agg(F.count("*").alias("crowd"), *name)
+    kept = same.filter("crowd > 1").groupBy("crowd", "name_0", "name_1").agg(F.min("sig").alias("sig")).select("sig")
+    return members.join(kept, "sig", "left_semi")
+
+
 def _sketch_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) that sizes and bit sketches allow."""
     light = nodes.groupBy("node").agg(F.first("size").alias("size"), F.first("sketch").alias("sketch"))
@@ -298,22 +311,29 @@ def star_pairs(members: DataFrame) -> DataFrame:
 
 
 def cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent: int,
-                block: int = 4096) -> DataFrame:
+                block: int = 4096, crowd: int = CROWD) -> DataFrame:
     """Pairs that share a signature but no component, and that sizes and brief
     sketches allow. A signature's nodes are dealt into blocks; every two
-    blocks are compared once."""
+    blocks are compared once. The nodes of crowded signatures bring whole
+    sketches and the list of these signatures, as many as a node has."""
     placed = stage(members.join(labels, "node", "left")
                    .select("sig", "node", F.coalesce("label", "node").alias("label")), "jaccard-placed")
     open_ = (placed.groupBy("sig").agg(F.count("*").alias("crowd"), F.min("label").alias("low"),
                                        F.max("label").alias("high"))
-             .filter("low < high").select("sig", F.ceil(F.col("crowd") / block).cast("int").alias("blocks")))
-    light = nodes.groupBy("node").agg(F.first("size").alias("size"), F.first("brief").alias("brief"))
+             .filter("low < high").select("sig", F.ceil(F.col("crowd") / block).cast("int").alias("blocks"),
+                                          (F.col("crowd") > crowd).alias("crowded")))
+    shared = (placed.join(open_.filter("crowded"), "sig").groupBy("node")
+              .agg(F.sort_array(F.collect_set("sig")).alias("crowds")))
+    light = nodes.groupBy("node").agg(F.first("size").alias("size"), F.first("brief").alias("brief"),
+                                      F.first("sketch").alias("sketch")).join(shared, "node", "left")
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     each = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda x: F.struct(
         F.least(F.col("own"), x).alias("i"), F.greatest(F.col("own"), x).alias("j")))
     dealt = (placed.join(open_, "sig").withColumn("own", own).withColumn("part", F.explode(each))
-             .select("sig", "part.i", "part.j", "own", "node", "label").join(light, "node")
-             .select("sig", "i", "j", "own", "node", "label", "size", "brief"))
+             .select("sig", "part.i", "part.j", "own", "node", "label", "crowded").join(light, "node")
+             .select("sig", "i", "j", "own", "node", "label", "size",
+                     F.when(F.col("crowded"), F.col("sketch")).otherwise(F.col("brief")).alias("brief"),
+                     F.when(F.col("crowded"), F.col("crowds")).alias("crowds")))
     parts = int(dealt.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
     def compared(group: pa.RecordBatch):
@@ -322,6 +342,9 @@ def cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent
         i, j = group.column(1)[0].as_py(), group.column(2)[0].as_py()
         raw = group.column(7).to_pylist()
         bits = folded(raw, min(map(len, raw)))
+        sig, crowds = group.column(0)[0].as_py(), group.column(8).to_pylist()
+        # The signatures before this one: where a pair shares one, it is compared there.
+        before = [frozenset(c[:c.index(sig)]) for c in crowds] if crowds[0] is not None else None
         left = np.flatnonzero(own == i)
         right = np.flatnonzero(own == j)
         for x in left.tolist():
@@ -331,7 +354,8 @@ def cross_pairs(members: DataFrame, labels: DataFrame, nodes: DataFrame, percent
             if len(y):
                 apart = np.bitwise_count(bits[y] ^ bits[x]).sum(axis=1)
                 for z in y[apart <= differing(np.minimum(size[x], size[y]), percent)].tolist():
-                    yield int(node[x]), int(node[z])
+                    if before is None or before[x].isdisjoint(before[z]):
+                        yield int(node[x]), int(node[z])
 
     def run(batches):
         held, own = [], None

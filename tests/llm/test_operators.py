@@ -525,3 +525,35 @@ def test_bit_sliced_search_edges(spark):
         far = spark.createDataFrame([(0, [v] * 20), (1, [v] * 20)], "vec_id bigint, embedding array<double>")
         with pytest.raises(Exception, match="OverflowError"):
             bitslice.top_k(far).collect()
+
+
+def test_crowded_signatures_lose_no_link(spark, monkeypatch):
+    rng = random.Random(3)
+    base = [f"w{i}" for i in range(60)]
+    texts = []
+    for _ in range(40):
+        c = list(base)
+        for _ in range(rng.choice([1, 1, 2, 3])):
+            c[rng.randrange(len(c))] = f"z{rng.randrange(900)}"
+        texts.append(" ".join(c))
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    plain = sorted(map(tuple, jaccard_join.classes(df, k=4, percent=85).collect()))
+    assert 1 < len({c for *_, c in plain}) < len(plain)
+    # All links have to come from the crowded signatures, in several blocks.
+    star, cross = jaccard_join.star_pairs, jaccard_join.cross_pairs
+    monkeypatch.setattr(jaccard_join, "star_pairs", lambda members: star(members).limit(0))
+    monkeypatch.setattr(jaccard_join, "cross_pairs", lambda *a: cross(*a, block=8, crowd=1))
+    assert sorted(map(tuple, jaccard_join.classes(df, k=4, percent=85).collect())) == plain
+
+
+def test_signatures_of_the_same_nodes_are_compared_once(spark):
+    rows = [(s, n) for s in (1, 2, 3) for n in (10, 11, 12)] + [(4, 10), (4, 11), (5, 12)]
+    kept = jaccard_join.telling(spark.createDataFrame(rows, "sig bigint, node bigint"))
+    assert sorted(map(tuple, kept.collect())) == [(1, 10), (1, 11), (1, 12), (4, 10), (4, 11)]
+    # A crowded signature's nodes are compared by their whole sketches.
+    nodes = spark.createDataFrame([(n, 100, bytes(8), bytes([255 * (n == 12)] * 8)) for n in (10, 11, 12)],
+                                  "node bigint, size bigint, brief binary, sketch binary")
+    labels = spark.createDataFrame([], "node bigint, label bigint")
+    for crowd, pairs in ((64, [(10, 11), (10, 12), (11, 12)]), (1, [(10, 11)])):
+        found = jaccard_join.cross_pairs(kept, labels, nodes, 85, crowd=crowd)
+        assert sorted(map(tuple, found.collect())) == pairs
