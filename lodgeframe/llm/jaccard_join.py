@@ -32,7 +32,8 @@ to 8 bits per shingle, and a brief one of 1 to 2 bits, which is the other
 folded; a wider one folds onto a narrower. A pair whose bit sketches differ in
 more than d bits cannot link. Members of a signature carry brief sketches only,
 as a node has many signatures; pairs that pass are compared by the whole
-sketches, then verified on their exact sets.
+sketches, then verified on their exact sets, whose texts are fetched through a
+broadcast bit filter of bounded size.
 
 Shuffle shape: packs send distinct signatures by range and learn by one bit
 which ones another node shares; only shared ones become rows. Rows are then
@@ -62,6 +63,9 @@ SHINGLE = 5
 PERCENT = 80
 #: A signature with more nodes than this is crowded.
 CROWD = 64
+#: The filter by which texts are fetched has up to 2**FILTER_BITS bits: a table
+#: of 4 MB at most, whatever the input.
+FILTER_BITS = 24
 _SALT = np.array([0x8F14E45FCEEA167A, 0x6512BD43D9CAA6E0, 0x3C59DC048E885024], np.uint64)
 
 
@@ -268,11 +272,25 @@ def _sketch_pairs(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame
         .mapInArrow(run, "a bigint, b bigint")
 
 
+def likely(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
+    """All rows of ``nodes`` that are in ``pairs`` (a, b), and few others: those
+    whose first bits are a paired node's. These bits are set in 64-bit words,
+    16 bits for each node of ``pairs`` or 2**FILTER_BITS in all, and the words
+    are broadcast, so the texts of the other nodes are not exchanged."""
+    bits = min(FILTER_BITS, max(7, (32 * pairs.count()).bit_length()))
+    word = F.shiftrightunsigned("node", 64 - bits + 6)
+    bit = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(node, {64 - bits}) & 63 as int))")
+    words = (pairs.select(F.explode(F.array("a", "b")).alias("node")).groupBy(word.alias("word"))
+             .agg(F.bit_or(bit).alias("bits")))
+    # A semi join: Spark would move that of ``verified`` in front of an inner one.
+    return nodes.join(F.broadcast(words), (word == F.col("word")) & (F.col("bits").bitwiseAND(bit) != 0), "left_semi")
+
+
 def verified(pairs: DataFrame, nodes: DataFrame, k: int, percent: int) -> DataFrame:
     """Pairs (a, b) whose exact sets link. Texts are fetched for these only."""
     pairs, pairs_at = stage_at(pairs, "jaccard-pairs")
     needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-    texts, texts_at = stage_at(nodes.select("node", "text").join(needed, "node", "left_semi")
+    texts, texts_at = stage_at(likely(nodes.select("node", "text"), pairs).join(needed, "node", "left_semi")
                                .dropDuplicates(["node"]), "jaccard-pair-texts")
     both = (pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("text_a")), "a")
             .join(texts.select(F.col("node").alias("b"), F.col("text").alias("text_b")), "b"))

@@ -10,6 +10,7 @@ from collections import Counter
 import numpy as np
 import pyarrow as pa
 import pytest
+import zstandard
 
 from pyspark.sql import functions as F
 
@@ -546,6 +547,32 @@ def test_crowded_signatures_lose_no_link(spark, monkeypatch):
     assert sorted(map(tuple, jaccard_join.classes(df, k=4, percent=85).collect())) == plain
 
 
+def test_texts_of_unpaired_nodes_are_left_out_before_the_exchange(spark, monkeypatch):
+    rng = random.Random(5)
+    names = [rng.randrange(-2**63, 2**63) for _ in range(2000)] + [-2**63, -1, 0, 1, 2**63 - 1]
+    nodes = spark.createDataFrame([(n, str(n)) for n in names], "node bigint, text string")
+    paired = names[:40] + names[-5:-1]
+    pairs = spark.createDataFrame([*zip(paired[::2], paired[1::2]), (names[0], names[-1])], "a bigint, b bigint")
+    needed = {*paired, names[-1]}
+    few = [n for n, _ in jaccard_join.likely(nodes, pairs).collect()]
+    assert needed <= set(few) and len(few) < len(needed) + 200
+    # A filter that is too small lets more through, but loses none.
+    monkeypatch.setattr(jaccard_join, "FILTER_BITS", 7)
+    some = [n for n, _ in jaccard_join.likely(nodes, pairs).collect()]
+    assert needed <= set(some) and len(few) < len(some) < len(names)
+    assert jaccard_join.likely(nodes, pairs.limit(0)).isEmpty()
+    # Pairs are verified on what it lets through.
+    press, seen, likely = zstandard.ZstdCompressor(), [], jaccard_join.likely
+    monkeypatch.setattr(jaccard_join, "FILTER_BITS", 24)
+    monkeypatch.setattr(jaccard_join, "likely", lambda n, p: seen.append(likely(n, p).count()) or likely(n, p))
+    texts = [(n, press.compress((f"w{i // 2} " + "b c d e f g " * 9 + "h i j" * (i == 3)).encode()))
+             for i, n in enumerate(names)]
+    nodes = spark.createDataFrame(texts, "node bigint, text binary")
+    pairs = spark.createDataFrame([(names[i], names[i + 1]) for i in (0, 1, 2)], "a bigint, b bigint")
+    links = jaccard_join.verified(pairs, nodes, 4, 85)
+    assert list(map(tuple, links.collect())) == [(names[0], names[1])] and 4 <= seen[0] < 200
+
+
 def test_signatures_of_the_same_nodes_are_compared_once(spark):
     rows = [(s, n) for s in (1, 2, 3) for n in (10, 11, 12)] + [(4, 10), (4, 11), (5, 12)]
     kept = jaccard_join.telling(spark.createDataFrame(rows, "sig bigint, node bigint"))
