@@ -7,6 +7,8 @@ number of ranges follows the size of the input, so a range's keys fit a task.
 """
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 import zstandard
@@ -25,18 +27,24 @@ def summed(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return (key[head], *(np.add.reduceat(v[order], head) if len(key) else v for v in values))
 
 
+@functools.cache
+def _coders() -> tuple[zstandard.ZstdCompressor, zstandard.ZstdDecompressor]:
+    """Made once in a worker: small blocks take less time than these."""
+    return zstandard.ZstdCompressor(level=1), zstandard.ZstdDecompressor()
+
+
 def pack(key: np.ndarray, *values: np.ndarray) -> bytes:
     """Sorted keys as differences, and counts, each byte plane by itself,
     compressed."""
     step = np.diff(key, prepend=np.uint64(0))
     planes = [np.ascontiguousarray(a.view(np.uint8).reshape(len(key), -1).T).tobytes()
               for a in (step, *(v.astype("<i8") for v in values))]
-    return zstandard.ZstdCompressor(level=1).compress(
+    return _coders()[0].compress(
         len(key).to_bytes(8, "little") + b"".join(planes))
 
 
 def unpack(block: bytes, n_values: int) -> tuple[np.ndarray, ...]:
-    raw = zstandard.ZstdDecompressor().decompress(block)
+    raw = _coders()[1].decompress(block)
     n, at, out = int.from_bytes(raw[:8], "little"), 8, []
     for width, kind in ((8, "<u8"), *((8, "<i8"),) * n_values):
         plane = np.frombuffer(raw, np.uint8, n * width, at).reshape(width, n)

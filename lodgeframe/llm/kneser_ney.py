@@ -63,18 +63,23 @@ def tokens(w: Words) -> tuple[np.ndarray, np.ndarray]:
     return name, first
 
 
+def sum_fields(k: int) -> tuple[str, ...]:
+    """Only words, the contexts of level 2, have distinct words before them."""
+    return SUMS if k == 2 else SUMS[:4]
+
+
 class Ranged:
     """Arrays sorted by key over several files, as one array."""
 
-    def __init__(self, folder: str, sizes: list[tuple[int, int]]):
-        self.folder = folder
+    def __init__(self, folder: str, sizes: list[tuple[int, int]], fields: tuple[str, ...] = ("count",)):
+        self.folder, self.fields = folder, fields
         self.ranges = [r for r, _ in sizes]
         self.base = np.concatenate([[0], np.cumsum([n for _, n in sizes])]).astype(np.int64)
 
     def find(self, key: np.ndarray, borders: np.ndarray, *fields: str) -> list[np.ndarray]:
         """For sorted keys: their places (-1 if absent) and fields (0 if absent)."""
         place = np.full(len(key), -1, np.int64)
-        out = [np.zeros(len(key), np.int64) for _ in fields]
+        out = [(self.fields.index(f), np.zeros(len(key), np.int64)) for f in fields]
         cut = [0, *np.searchsorted(key, borders).tolist(), len(key)]
         for i, r in enumerate(self.ranges):
             a, b = cut[r], cut[r + 1]
@@ -83,9 +88,9 @@ class Ranged:
             at = shared_arrays.find_keys(self.folder, f"key-{r}", key[a:b])
             has = np.flatnonzero(at >= 0)
             place[a + has] = self.base[i] + at[has]
-            for o, f in zip(out, fields):
-                o[a + has] = shared_arrays.counts_at(self.folder, f"{f}-{r}", at[has])
-        return [place, *out]
+            for f, o in out if len(has) else ():
+                o[a + has] = shared_arrays.counts_at(self.folder, f"counts-{r}", at[has], f)
+        return [place, *(o for _, o in out)]
 
     def keys(self, place: np.ndarray) -> np.ndarray:
         """The keys at given places."""
@@ -97,15 +102,15 @@ class Ranged:
         return out
 
 
-def _writer(folder: str, n_values: int, fields: tuple[str, ...], tail, with_key: bool = True):
-    """Task function: merge blocks, write the keys and the first values as
-    ``fields``, report each range's size, and what ``tail`` makes of them."""
+def _writer(folder: str, n_values: int, n_fields: int, tail, with_key: bool = True):
+    """Task function: merge blocks, write the keys and the first ``n_fields``
+    values, report each range's size, and what ``tail`` makes of them."""
     def run(batches):
         for r, key, *values in merged(batches, n_values):
             if with_key:
                 shared_arrays.save_keys(folder, f"key-{r}", key)
-            for f, v in zip(fields, values):
-                shared_arrays.save_counts(folder, f"{f}-{r}", v)
+            if n_fields:
+                shared_arrays.save_counts(folder, f"counts-{r}", *values[:n_fields])
             yield tail(r, key, values)
     return run
 
@@ -135,7 +140,7 @@ class Model:
 
     def opened(self):
         return ({k: self.level(k) for k in self.sizes},
-                {k: Ranged(f"{self.folder}/sums-{k}", self.sum_sizes[k]) for k in self.sum_sizes})
+                {k: Ranged(f"{self.folder}/sums-{k}", self.sum_sizes[k], sum_fields(k)) for k in self.sum_sizes})
 
     def contexts(self, k: int) -> int:
         """Contexts of level k: the places of level k - 1, and the start."""
@@ -150,12 +155,15 @@ class Model:
         return borders_of(self.ranges, max(self.contexts(k), self.ranges))
 
     def grams(self, levels: dict, name: np.ndarray, first: np.ndarray, top: int, *fields: str):
-        """Yields (k, contexts' places, keys, own places, ``fields``) of the
-        k-grams that end at each token, up to level ``top`` (whose places are
-        left out if it is not in ``levels``); -1 where unknown. Level 1 comes
-        with counts for contexts."""
-        ids, count = _numbers(levels[1], name, self.borders(1))
-        yield 1, count, None, ids, ()
+        """Yields (k, contexts' places, keys, own places, ``fields``, distinct)
+        of the k-grams that end at each token, up to level ``top`` (whose places
+        are left out if it is not in ``levels``); -1 where unknown. Level 1 comes
+        with counts for contexts. ``distinct`` are the different places in
+        order, -1 among them where unknown, and each token's place in these."""
+        words, inverse = np.unique(name, return_inverse=True)
+        own, count = levels[1].find(words, self.borders(1), "count")
+        ids = own[inverse]
+        yield 1, count[inverse], None, ids, (), (own, inverse)
         place = ids
         for k in range(2, top + 1):
             before = np.concatenate([[-1], place[:-1]])[:len(place)]
@@ -165,11 +173,16 @@ class Model:
                 + np.where(known, ids, 0).astype(np.uint64)
             place = np.full(len(ids), -1, np.int64)
             values = [np.zeros(len(ids), np.int64) for _ in fields]
+            distinct = None
             if k in levels:
-                distinct, inverse = np.unique(key[known], return_inverse=True)
-                for own, found in zip((place, *values), levels[k].find(distinct, self.borders(k), *fields)):
-                    own[known] = found[inverse]
-            yield k, before, np.where(known, key, np.uint64(0)), np.where(known, place, -2), values
+                grams, inverse = np.unique(key[known], return_inverse=True)
+                found = levels[k].find(grams, self.borders(k), *fields)
+                for own, f in zip((place, *values), found):
+                    own[known] = f[inverse]
+                index = np.full(len(ids), -1, np.int64)
+                index[known] = inverse
+                distinct = found[0], index
+            yield k, before, np.where(known, key, np.uint64(0)), np.where(known, place, -2), values, distinct
 
     def begins(self, levels: dict, context: np.ndarray, k: int) -> np.ndarray:
         """Whether the contexts of level k begin with the start token."""
@@ -211,7 +224,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
         return report(r, len(key), values[0])
 
     counted = exchange(text.mapInArrow(count_words, "range int, block binary"), ranges)
-    words = counted.mapInArrow(_writer(f"{folder}/1", 1, ("count",), word_report), sized).collect()
+    words = counted.mapInArrow(_writer(f"{folder}/1", 1, 1, word_report), sized).collect()
     model = Model(folder=folder, ranges=ranges, order=order, sizes={1: sorted((r["range"], r["size"]) for r in words)},
                   sum_sizes={}, discounts={}, n_tokens=sum(r["total"] for r in words))
     model.n_words = sum(n for _, n in model.sizes[1])
@@ -247,7 +260,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
             levels = model.opened()[0]
             for chunk in chunks(batches, "text", COUNT_CHUNK):
                 name, first = tokens(words_of(chunk, "text", True))
-                *_, (_, _, key, place, _) = model.grams(levels, name, first, k)
+                *_, (_, _, key, place, _, _) = model.grams(levels, name, first, k)
                 key, n = np.unique(key[place > -2], return_counts=True)
                 yield as_batch(by_range(key, model.borders(k), n))
         return count_grams
@@ -274,8 +287,8 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     for k in range(2, order + 1):
         grams = exchange(text.mapInArrow(counter(k), blocks), ranges)
         # Below the highest level, counts are known only when the next one has passed them on.
-        written = _writer(f"{folder}/{k}", 1, (), opener(k)) if k < order else \
-            _writer(f"{folder}/{k}", 1, ("count",), passer(k))
+        written = _writer(f"{folder}/{k}", 1, 0, opener(k)) if k < order else \
+            _writer(f"{folder}/{k}", 1, 1, passer(k))
         passed, passed_at = openers[k] = stage_at(grams.mapInArrow(written, blocks), "kneser-ney-sums")
         # One report row per range.
         rows = reports(passed)
@@ -285,7 +298,7 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
             both = exchange(part(openers[k][0], 0).union(part(passed, 1)), ranges)
             used = openers[k][1], passed_at
             passed, passed_at = stage_at(
-                both.mapInArrow(_writer(f"{folder}/{k}", 1, ("count",), passer(k), False), blocks), "kneser-ney-sums")
+                both.mapInArrow(_writer(f"{folder}/{k}", 1, 1, passer(k), False), blocks), "kneser-ney-sums")
             discard(spark, *used)
             rows = reports(passed)
             assert sorted((r[0], r[1]) for r in rows) == model.sizes[k], "an n-gram has no count"
@@ -295,10 +308,8 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
             t = values[4][key < np.uint64(model.n_words)] if k == 2 else values[4][:0]
             return report(r, len(key), t)
 
-        # Only words, the contexts of level 2, have distinct words before them.
-        fields = SUMS if k == 2 else SUMS[:4]
         sums = exchange(part(passed, 0), ranges) \
-            .mapInArrow(_writer(f"{folder}/sums-{k}", len(SUMS), fields, sum_report), sized).collect()
+            .mapInArrow(_writer(f"{folder}/sums-{k}", len(SUMS), len(sum_fields(k)), sum_report), sized).collect()
         model.sum_sizes = {**model.sum_sizes, k: sorted((r["range"], r["size"]) for r in sums)}
     discard(spark, passed_at)
     model.types = sum(r["total"] for r in sums)
@@ -308,13 +319,6 @@ def train(docs: DataFrame, text_col: str = "text", order: int = 2) -> Model:
     return model
 
 
-def _numbers(vocabulary: Ranged, name: np.ndarray, borders: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Each token's number (-1 if unknown) and count."""
-    key, inverse = np.unique(name, return_inverse=True)
-    place, count = vocabulary.find(key, borders, "count")
-    return place[inverse], count[inverse]
-
-
 def _discount(count: np.ndarray, d: list[float]) -> np.ndarray:
     return np.array([0.0, *d])[np.minimum(count, 3)]
 
@@ -324,23 +328,37 @@ def chunk_scores(model: Model, opened, name: np.ndarray, first: np.ndarray):
     levels, sums = opened
     n = model.n_words
     grams = model.grams(levels, name, first, model.order, "count")
-    _, count, _, ids, _ = next(grams)
+    _, count, _, ids, _, distinct = next(grams)
     base = np.log10((count + 1) / (model.n_tokens + n + 1))
     known = np.flatnonzero(ids >= 0)
 
-    def looked(array: Ranged, key: np.ndarray, borders: np.ndarray, *fields: str) -> list[np.ndarray]:
-        distinct, inverse = np.unique(key, return_inverse=True)
-        return [x[inverse] for x in array.find(distinct.astype(np.uint64), borders, *fields)[1:]]
+    def context_sums(k: int, own: np.ndarray) -> list[np.ndarray]:
+        """The sums of contexts in order; in the last place those of the start."""
+        has = np.flatnonzero(own >= 0)
+        asked = own[has] if k > 2 else np.append(own[has], n)
+        out = []
+        for found in sums[k].find(asked.astype(np.uint64), model.sum_borders(k), *sum_fields(k))[1:]:
+            x = np.zeros(len(own) + 1, np.int64)
+            x[has] = found[:len(has)]
+            x[-1:] = found[len(has):] if k == 2 else 0
+            out.append(x)
+        return out
 
     p = np.full(len(ids), model.low_gamma / (n + 1))
-    if len(known):
-        (t,) = looked(sums[2], ids[known], model.sum_borders(2), "before")
-        p[known] += np.maximum(t - _discount(t, model.low), 0) / max(model.types, 1)
-    for k, before, _, place, (c,) in grams:
+    *found, t = context_sums(2, distinct[0])
+    t = t[distinct[1][known]]
+    p[known] += np.maximum(t - _discount(t, model.low), 0) / max(model.types, 1)
+    for k, before, _, place, (c,), here in grams:
+        if k > 2:
+            found = context_sums(k, distinct[0])
+        # The context ends with the token before; a text's first one has the start.
+        index = np.concatenate([[-1], distinct[1][:-1]])[:len(ids)]
+        index[first[:-1]] = -1
+        distinct = here
         ctx = np.flatnonzero(before >= 0)
         if not len(ctx) or not model.n_tokens:
             continue
-        total, one, two, more = looked(sums[k], before[ctx], model.sum_borders(k), "total", "one", "two", "more")
+        total, one, two, more = (x[index[ctx]] for x in found)
         seen = total > 0
         ctx, total, one, two, more = (x[seen] for x in (ctx, total, one, two, more))
         d1, d2, d3 = model.discounts[k]

@@ -18,6 +18,7 @@ import corpus_pipeline
 from lodgeframe.llm import (bitslice, jaccard_join, kneser_ney, langid, line_quality, mixing, packing, pii,
                             recompression, toxicity)
 from lodgeframe.llm.langid import _chain
+from lodgeframe.llm.words import Words, text_buffer
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, node string, held_out string, label int, size int"
 LONG = "word " * 30000 + "x" * 70000
@@ -156,6 +157,18 @@ def test_kneser_ney_matches_a_plain_model(docs):
         assert math.isclose(r.score, sum(math.log10(p(a, b)) for a, b in zip(["start", *w], w)), rel_tol=1e-9)
 
 
+def test_kneser_ney_looks_each_table_up_once_a_chunk(spark, monkeypatch):
+    """Lookups open files range by range, so their number is what grows with the input."""
+    d = spark.createDataFrame([(i, f"the {w} cat sat on the {w} mat") for i, w in enumerate("abcdefgh")],
+                              "doc_id bigint, text string")
+    model, asked = kneser_ney.train(d, order=3), []
+    find = kneser_ney.Ranged.find
+    monkeypatch.setattr(kneser_ney.Ranged, "find", lambda self, *a: asked.append(self.folder) or find(self, *a))
+    name, first = kneser_ney.tokens(Words(*text_buffer(pa.array(["the a cat sat", "the zebra sat on", ""])), True))
+    kneser_ney.chunk_scores(model, model.opened(), name, first)
+    assert sorted(f.rsplit("/", 1)[1] for f in asked) == ["1", "2", "3", "sums-2", "sums-3"]
+
+
 @pytest.mark.parametrize("order", [3, 4])
 def test_kneser_ney_of_higher_order_matches_a_plain_model(spark, order):
     rng = random.Random(order)

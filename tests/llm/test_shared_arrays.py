@@ -35,3 +35,32 @@ def test_few_arrays_stay_mapped(tmp_path):
         shared_arrays.save_counts(str(tmp_path), f"count-{i}", np.array([i % 200], np.int64))
         assert shared_arrays.counts_at(str(tmp_path), f"count-{i}", np.array([0])).tolist() == [i % 200]
     assert shared_arrays.mapped.cache_info().currsize <= shared_arrays.MOST_OPEN
+
+
+@pytest.mark.parametrize("count", [[255] * 9, [255] * 9 + [0], [256] * 3])
+def test_many_counts_of_255_keep_their_values(tmp_path, count):
+    count = np.array(count, np.int64)
+    shared_arrays.save_counts(str(tmp_path), "count", count)
+    assert shared_arrays.counts_at(str(tmp_path), "count", np.arange(len(count))).tolist() == count.tolist()
+
+
+def test_fields_of_a_range_lie_in_one_file(tmp_path):
+    fields = [np.array(c, np.int64) for c in ([1, 2, 3] * 20, [7] * 59 + [10**9], [300] * 60)]
+    shared_arrays.save_counts(str(tmp_path), "counts", *fields)
+    shared_arrays.save_keys(str(tmp_path), "key", np.arange(60, dtype=np.uint64) << np.uint64(34))
+    assert sorted(f.name for f in tmp_path.iterdir()) == ["counts.npy", "key.npy"]
+    place = np.arange(60)[::-1]
+    for i, f in enumerate(fields):
+        assert shared_arrays.counts_at(str(tmp_path), "counts", place, i).tolist() == f[place].tolist()
+
+
+@pytest.mark.parametrize("asked", [40, 4_000])
+def test_few_and_many_keys_are_sought_in_many_stretches(tmp_path, asked):
+    rng = np.random.default_rng(5)
+    key = np.unique(rng.integers(0, 2**40, 30_000).astype(np.uint64))
+    shared_arrays.save_keys(str(tmp_path), "key", key)
+    some = np.unique(np.concatenate([rng.choice(key, asked), rng.integers(0, 2**41, asked).astype(np.uint64)]))
+    at = {k: i for i, k in enumerate(key.tolist())}
+    assert shared_arrays.find_keys(str(tmp_path), "key", some).tolist() == [at.get(k, -1) for k in some.tolist()]
+    dense = np.arange(int(key[0]), int(key[0]) + 50_000, dtype=np.uint64)
+    assert shared_arrays.find_keys(str(tmp_path), "key", dense).tolist() == [at.get(k, -1) for k in dense.tolist()]
